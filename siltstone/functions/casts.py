@@ -21,6 +21,16 @@ _DECIMAL_TEXT = (
 )
 
 
+# What a floating-point literal can look like, and a little more. Text outside of
+# it cannot be read, and is left out before the cast: a failing cast is an
+# exception per value, some twenty times as dear as this match.
+_NUMBER_LIKE = (
+    r"^[\x00-\x20]*[+-]?(?:[0-9.][0-9a-fA-FxXpP.+-]*|[iI][nN][fF][a-zA-Z]*|[nN][aA][nN])[\x00-\x20]*\z"
+)
+
+_ISO_DAY = r"^\d{4}-\d{2}-\d{2}\z"
+
+
 def lenient_int(c: Column) -> Column:
     """Text to INT, dropping a fraction: ``3.7`` is 3, ``.5`` is 0, ``1e3`` is null.
 
@@ -34,7 +44,7 @@ def lenient_int(c: Column) -> Column:
 
 def lenient_double(c: Column) -> Column:
     """Text to DOUBLE, null where it is not a number."""
-    return c.try_cast("double")
+    return F.when(c.rlike(_NUMBER_LIKE), c.try_cast("double"))
 
 
 def double_to_int(c: Column) -> Column:
@@ -72,9 +82,9 @@ def whole_number(c: Column) -> Column:
     return F.when(is_whole(value), double_to_int(value))
 
 
-def strict_date(c: Column, pattern: str = "yyyy-MM-dd") -> Column:
-    """Text to DATE in exactly one format: ``2023-1-1`` and ``2023-02-30`` are null."""
-    return F.try_to_date(c, pattern)
+def strict_date(c: Column) -> Column:
+    """Text to DATE in the form ``yyyy-MM-dd`` only: ``2023-1-1`` and ``2023-02-30`` are null."""
+    return F.when(c.rlike(_ISO_DAY), c.try_cast("date"))
 
 
 def lenient_date(c: Column) -> Column:

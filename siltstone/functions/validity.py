@@ -41,8 +41,8 @@ def is_plain_non_negative(c: Column) -> Column:
 
 
 def is_numeric(c: Column) -> Column:
-    value = lenient_double(c)
-    return value.isNotNull() & ~F.isnan(value)
+    """Readable as a number, which NaN (greater than infinity here) is not."""
+    return lenient_double(c) <= float("inf")
 
 
 def is_whole_number(c: Column) -> Column:

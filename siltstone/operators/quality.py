@@ -154,13 +154,14 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Rows per non-empty bin of equal width between the smallest and largest value.
 
     The bounds come from a scalar subquery of two numbers; the last bin holds
-    its upper bound. Nulls are left out; equal bounds give one bin.
+    its upper bound. Nulls are left out; equal bounds give bin 1.
     """
     value = F.col(column).cast("double")
     rows = df.where(value.isNotNull() & ~F.isnan(value))
     bounds = rows.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
-    lo, hi = bounds["lo"], bounds["hi"]
-    bucket = F.when(lo == hi, F.lit(1)).otherwise(F.least(F.width_bucket(value, lo, hi, F.lit(bins)), F.lit(bins)))
+    # width_bucket is null for equal bounds.
+    bucket = F.coalesce(F.width_bucket(value, bounds["lo"], bounds["hi"], F.lit(bins)), F.lit(1))
+    bucket = F.least(bucket, F.lit(bins))
     return (
         rows.groupBy(bucket.cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("row_count"), F.min(column).alias("smallest"), F.max(column).alias("largest"))

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.functions.validity import holds
+
 SNAPSHOT = "snapshot_date"
 
 
@@ -46,8 +48,11 @@ def spine_counts(df: DataFrame, column: str = SNAPSHOT) -> DataFrame:
 
 
 def on_snapshots(days: Iterable[date], column: str = SNAPSHOT) -> Column:
-    """True for the rows of the given snapshots; false for a null date."""
-    return F.coalesce(F.col(column).isin(*days), F.lit(False))
+    """True for the rows of the given snapshots; null for a null date.
+
+    A plain membership test, so that it prunes partitions.
+    """
+    return F.col(column).isin(*days)
 
 
 def snapshot_slice(df: DataFrame, day: date | str, column: str = SNAPSHOT) -> DataFrame:
@@ -60,7 +65,7 @@ def off_spine(df: DataFrame, days: Sequence[date], column: str = SNAPSHOT) -> Da
     """One row: all rows, and those whose date is null or no snapshot of the list."""
     return df.agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.count_if(~on_snapshots(days, column)).alias("off_spine"),
+        F.count_if(~holds(on_snapshots(days, column))).alias("off_spine"),
     )
 
 

@@ -114,12 +114,22 @@ def _derive(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*[F.expr(text).alias(name) for name, text in columns.items()])
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """One partition per core for a table that lies in fewer splits than that.
+
+    Meant for the small single-file tables here: a large table has splits enough
+    and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One raw table over the whole driver tables."""
     if table in ("attributes", "financials"):
-        customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+        customers = _spread(spark.read.parquet(f"{sf_dir}/customer.parquet"))
         return _derive(customers, ATTRIBUTES if table == "attributes" else FINANCIALS)
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = _spread(spark.read.parquet(f"{sf_dir}/orders.parquet"))
     if table == "clickstream":
         return _derive(orders, CLICKSTREAM)
     if table == "loan_daily":

@@ -9,6 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.functions.validity import holds
 from siltstone.operators.snapshots import SNAPSHOT, on_snapshots
 
 
@@ -64,7 +65,7 @@ def write_snapshots(
     if cluster:
         rows = rows.hint("rebalance", SNAPSHOT)
     if count_left_out:
-        counts.append(F.count(F.when(~belongs, 1)).alias("left_out"))
+        counts.append(F.count(F.when(~holds(belongs), 1)).alias("left_out"))
     rows = rows.observe(counters, *counts)
     if count_left_out:
         rows = rows.where(belongs)
