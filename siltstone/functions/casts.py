@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 INT_MIN = -(2**31)
 INT_MAX = 2**31 - 1
 
-# Text with an optional sign, digits and an optional fraction, blanks and control
-# characters around it. At least one digit or point must follow the sign.
-_DECIMAL_TEXT = (
-    r"^[\x00-\x20\x7F]*(?<sign>[+-]?)(?=[0-9.])(?<whole>[0-9]*)(?:[.][0-9]*)?[\x00-\x20\x7F]*\z"
-)
-
+# Decimal text, blanks and control characters around it: with digits before the
+# point, and without.
+_BEFORE = r"^[\x00-\x20\x7F]*[+-]?"
+_AFTER = r"[.][0-9]*[\x00-\x20\x7F]*\z"
+_WITH_WHOLE_PART = _BEFORE + "[0-9]+" + _AFTER
+_FRACTION_ONLY = _BEFORE + _AFTER
 
 # What a floating-point literal can look like, and a little more. Text outside of
 # it cannot be read, and is left out before the cast: a failing cast is an
@@ -34,12 +34,11 @@ _ISO_DAY = r"^\d{4}-\d{2}-\d{2}\z"
 def lenient_int(c: Column) -> Column:
     """Text to INT, dropping a fraction: ``3.7`` is 3, ``.5`` is 0, ``1e3`` is null.
 
-    Plain integers take the first branch; the regular expression only runs on
-    the values which that branch cannot read.
+    Plain integers take the first branch; the patterns only run on the values
+    which that branch cannot read.
     """
-    plain = c.try_cast("int")
-    whole_part = F.regexp_replace(c, _DECIMAL_TEXT, "${sign}0${whole}")
-    return F.coalesce(plain, whole_part.try_cast("int"))
+    whole_part = F.when(c.rlike(_WITH_WHOLE_PART), F.substring_index(c, ".", 1).try_cast("int"))
+    return F.coalesce(c.try_cast("int"), whole_part.when(c.rlike(_FRACTION_ONLY), F.lit(0)))
 
 
 def lenient_double(c: Column) -> Column:
@@ -65,7 +64,8 @@ def int_or_default(
     ``min_value`` replaces smaller values by the default.
     """
     text = F.regexp_replace(c, "_", "") if strip else c
-    value = double_to_int(F.coalesce(lenient_double(text), F.lit(float(default))))
+    through_double = double_to_int(F.coalesce(lenient_double(text), F.lit(float(default))))
+    value = F.coalesce(text.try_cast("int"), through_double)
     if min_value is not None:
         value = F.when(value >= min_value, value).otherwise(F.lit(default))
     return value
@@ -79,7 +79,7 @@ def is_whole(c: Column) -> Column:
 def whole_number(c: Column) -> Column:
     """Text to INT where it holds a whole number (``10.0`` is 10), else null."""
     value = lenient_double(c)
-    return F.when(is_whole(value), double_to_int(value))
+    return F.coalesce(c.try_cast("int"), F.when(is_whole(value), double_to_int(value)))
 
 
 def strict_date(c: Column) -> Column:

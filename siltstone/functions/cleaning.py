@@ -15,7 +15,7 @@ def digits_and_points(c: Column) -> Column:
 
     Clean text is only searched, which costs a quarter of a replacement.
     """
-    return F.when(c.rlike(r"[^\d.]"), F.regexp_replace(c, r"[^\d.]", "")).otherwise(c)
+    return F.when(c.rlike("[^0-9.]"), F.regexp_replace(c, "[^0-9.]", "")).otherwise(c)
 
 
 def clean_number(
@@ -31,7 +31,7 @@ def clean_number(
         raise ValueError(f"on_null must be 'keep' or 'zero', not {on_null!r}")
     value = digits_and_points(c).try_cast("double")
     if keep_sign:
-        value = F.when(c.rlike(r"^[^\d.]*-[^\d.]*[\d.]"), -value).otherwise(value)
+        value = F.when(c.rlike("^[^0-9.]*-[^0-9.]*[0-9.]"), -value).otherwise(value)
     if scale is not None:
         value = F.round(value, scale)
     return F.coalesce(value, F.lit(0.0)) if on_null == "zero" else value

@@ -46,7 +46,7 @@ def is_numeric(c: Column) -> Column:
 
 
 def is_whole_number(c: Column) -> Column:
-    return is_whole(lenient_double(c))
+    return c.try_cast("int").isNotNull() | is_whole(lenient_double(c))
 
 
 def is_day(c: Column) -> Column:
