@@ -1,5 +1,6 @@
 """Typing and cleaning rules, value by value, with ANSI mode on and off."""
 
+import random
 from datetime import date
 
 import pytest
@@ -167,3 +168,30 @@ def test_counts_agree(session):
     df = session.createDataFrame([(i, n, k) for i, (n, k) in enumerate(pairs)], "i int, n int, k string")
     rows = df.select("i", validity.counts_agree(F.col("n"), F.col("k")).alias("y")).orderBy("i").collect()
     assert [row.y for row in rows] == [False, False, False, True, True, True, True, True]
+
+
+def test_fast_paths_change_nothing(spark):
+    """The shortcuts for clean text against the plain definitions, on random text."""
+    pick = random.Random(7)
+    alphabet = " +-.0123456789123eE_$dfxNaIn\t,"
+    values = ["".join(pick.choice(alphabet) for _ in range(pick.randint(0, 7))) for _ in range(4000)]
+    days = ["".join(pick.choice("0123-") if pick.random() < 0.1 else c for c in "2023-02-11") for _ in range(2000)]
+    x = F.col("x")
+    number = x.try_cast("double")
+    pairs = {
+        "double": (casts.lenient_double(x), number),
+        "whole": (casts.whole_number(x), F.when(number == F.floor(number), F.least(F.greatest(number, F.lit(-2147483648.0)), F.lit(2147483647.0)).cast("int"))),
+        "count": (casts.int_or_default(x), casts.double_to_int(F.coalesce(number, F.lit(0.0)))),
+        "strip": (cleaning.digits_and_points(x), F.regexp_replace(x, r"[^\d.]", "")),
+        "day": (casts.strict_date(x), F.try_to_date(x, "yyyy-MM-dd")),
+        "is_whole": (validity.holds(validity.is_whole_number(x)), validity.holds(number == F.floor(number))),
+    }
+    df = spark.createDataFrame([(v,) for v in values + days], "x string").repartition(8)
+    flags = [F.count_if(~ours.eqNullSafe(plain)).alias(name) for name, (ours, plain) in pairs.items()]
+    assert df.agg(*flags).collect()[0].asDict() == dict.fromkeys(pairs, 0)
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        differing = df.where(~casts.lenient_int(x).eqNullSafe(x.cast("int"))).count()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert differing == 0

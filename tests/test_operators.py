@@ -206,3 +206,21 @@ def test_silver_is_a_subset_with_valid_keys(spark, sf_dir):
         kept = clean(raw)
         assert 0 < kept.count() < raw.count()
         assert kept.where(~validity.matches(F.col("Customer_ID"), validity.CUSTOMER_ID)).count() == 0
+
+
+def test_a_hot_key_is_combined_before_the_shuffle(spark):
+    """A third of all rows share one key: the results are whole, the plans combine first."""
+    df = spark.range(30_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("Customer_ID"),
+        F.lit(JAN).alias("snapshot_date"),
+        (F.col("id") / 10).alias("loan_amt"),
+        F.col("id").cast("double").alias("overdue_amt"),
+    )
+    summary = loans.loan_summary(df)
+    hot = summary.where("Customer_ID = 'hot'").collect()[0]
+    assert (hot.loan_cnt, hot.loan_amt_sum, hot.max_overdue) == (10_000, sum(range(0, 30_000, 3)) / 10, 29_997.0)
+    assert summary.agg(F.sum("loan_cnt")).collect()[0][0] == 30_000
+    assert rows(dedup.duplicate_keys(df, credit.KEYS)) == [(1, 9_999)]
+    for result in (summary, dedup.duplicate_keys(df, credit.KEYS)):
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert plan.rindex("partial_count") > plan.index("Exchange hashpartitioning")

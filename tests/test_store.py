@@ -80,6 +80,24 @@ def test_a_month_ends_in_few_files(spark, tmp_path):
     assert len(store.read_snapshots(spark, path).inputFiles()) == len(days)
 
 
+def test_a_hot_month_is_split_into_several_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(90_000, numPartitions=8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(JAN)).when(F.col("id") % 50 == 1, F.lit(FEB)).otherwise(F.lit(MAR)).alias("snapshot_date"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500k")
+    try:
+        counts = store.write_snapshots(df, path, [JAN, FEB, MAR])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = store.read_snapshots(spark, path, [JAN]).inputFiles()
+    of_month = {day: sum(f"snapshot_date={day}" in name for name in files) for day in (JAN, FEB)}
+    assert of_month[JAN] > 1
+    assert counts.months[JAN] == 30_000 and counts.total == 90_000
+    assert store.read_snapshots(spark, path).select("k").distinct().count() == 90_000
+
+
 def test_csv_sources(spark, tmp_path):
     path = str(tmp_path / "raw")
     spark.createDataFrame([("007", "2023-01-01"), (None, "x")], "a string, b string").coalesce(1).write.option(
