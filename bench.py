@@ -51,6 +51,9 @@ def session(cpus):
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
+        # The JVM compiles no method above 8000 bytes; beyond that, separate
+        # operators are faster than one fused loop.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -37,7 +37,8 @@ AGE_BANDS = (
     (None, "76+"),
 )
 AGE_LABELS = tuple(label for _, label in AGE_BANDS)
-AGE_LABELS_REMOVED = ("<18", "66-75", "76+")
+# The ages of the bands that are kept: all but <18, 66-75 and 76+.
+AGES_KEPT = (18, 65)
 
 SPEND_LEVEL = r"^(High|Low)_spent_"
 PAYMENT_VALUE = r"_spent_(Small|Medium|Large)_value$"

@@ -14,36 +14,34 @@ from pyspark.sql import functions as F
 INT_MIN = -(2**31)
 INT_MAX = 2**31 - 1
 
-# Decimal text, blanks and control characters around it: with digits before the
-# point, and without.
-_BEFORE = r"^[\x00-\x20\x7F]*[+-]?"
-_AFTER = r"[.][0-9]*[\x00-\x20\x7F]*\z"
-_WITH_WHOLE_PART = _BEFORE + "[0-9]+" + _AFTER
-_FRACTION_ONLY = _BEFORE + _AFTER
-
-# What a floating-point literal can look like, and a little more. Text outside of
-# it cannot be read, and is left out before the cast: a failing cast is an
-# exception per value, some twenty times as dear as this match.
-_NUMBER_LIKE = (
-    r"^[\x00-\x20]*[+-]?(?:[0-9.][0-9a-fA-FxXpP.+-]*|[iI][nN][fF][a-zA-Z]*|[nN][aA][nN])[\x00-\x20]*\z"
+# The patterns below tell readable text from other text before a cast: a cast that
+# fails is an exception per value, up to a hundred times as dear as the match.
+# Blanks and control characters may surround a number.
+_SIGNED = r"^[\x00-\x20\x7F]*[+-]?"
+_END = r"[\x00-\x20\x7F]*\z"
+_SMALL_INTEGER = r"^-?[0-9]{1,9}\z"
+_WITH_WHOLE_PART = _SIGNED + "[0-9]+(?:[.][0-9]*)?" + _END
+_FRACTION_ONLY = _SIGNED + "[.][0-9]*" + _END
+_FLOATING = (
+    _SIGNED
+    + r"(?:(?=[0-9.])[0-9]*[.]?[0-9]*(?:[eE][+-]?[0-9]+)?[dDfF]?|0[xX].*|[iI][nN][fF].*|[nN][aA][nN])"
+    + _END
 )
-
 _ISO_DAY = r"^\d{4}-\d{2}-\d{2}\z"
 
 
 def lenient_int(c: Column) -> Column:
-    """Text to INT, dropping a fraction: ``3.7`` is 3, ``.5`` is 0, ``1e3`` is null.
-
-    Plain integers take the first branch; the patterns only run on the values
-    which that branch cannot read.
-    """
-    whole_part = F.when(c.rlike(_WITH_WHOLE_PART), F.substring_index(c, ".", 1).try_cast("int"))
-    return F.coalesce(c.try_cast("int"), whole_part.when(c.rlike(_FRACTION_ONLY), F.lit(0)))
+    """Text to INT, dropping a fraction: ``3.7`` is 3, ``.5`` is 0, ``1e3`` is null."""
+    return (
+        F.when(c.rlike(_SMALL_INTEGER), c.try_cast("int"))
+        .when(c.rlike(_WITH_WHOLE_PART), F.substring_index(c, ".", 1).try_cast("int"))
+        .when(c.rlike(_FRACTION_ONLY), F.lit(0))
+    )
 
 
 def lenient_double(c: Column) -> Column:
     """Text to DOUBLE, null where it is not a number."""
-    return F.when(c.rlike(_NUMBER_LIKE), c.try_cast("double"))
+    return F.when(c.rlike(_FLOATING), c.try_cast("double"))
 
 
 def double_to_int(c: Column) -> Column:
@@ -64,8 +62,7 @@ def int_or_default(
     ``min_value`` replaces smaller values by the default.
     """
     text = F.regexp_replace(c, "_", "") if strip else c
-    through_double = double_to_int(F.coalesce(lenient_double(text), F.lit(float(default))))
-    value = F.coalesce(text.try_cast("int"), through_double)
+    value = double_to_int(F.coalesce(lenient_double(text), F.lit(float(default))))
     if min_value is not None:
         value = F.when(value >= min_value, value).otherwise(F.lit(default))
     return value
@@ -79,7 +76,7 @@ def is_whole(c: Column) -> Column:
 def whole_number(c: Column) -> Column:
     """Text to INT where it holds a whole number (``10.0`` is 10), else null."""
     value = lenient_double(c)
-    return F.coalesce(c.try_cast("int"), F.when(is_whole(value), double_to_int(value)))
+    return F.when(is_whole(value), double_to_int(value))
 
 
 def strict_date(c: Column) -> Column:

@@ -43,9 +43,11 @@ def silver_attributes(raw: DataFrame) -> DataFrame:
     df = keep_where(raw.drop("Name"), "Customer_ID", _valid_customer, required=True)
     df = keep_where(df, "SSN", _valid_ssn)
     if "Age" in df.columns:
-        df = drop_null_present(df.withColumn("Age", int_without_underscores(F.col("Age"))), ["Age"])
+        # Filtering by the age and not by its band keeps the condition small: the
+        # optimizer writes the whole ladder out where a band is filtered.
+        df = df.withColumn("Age", int_without_underscores(F.col("Age")))
+        df = df.where(F.col("Age").between(*credit.AGES_KEPT))
         df = df.withColumn("Age_Group", band(F.col("Age"), credit.AGE_BANDS))
-        df = df.where(~F.col("Age_Group").isin(*credit.AGE_LABELS_REMOVED))
     return cast_present(df, {"snapshot_date": "date"})
 
 
