@@ -77,12 +77,23 @@ def write_snapshots(
     writer.format(file_format).save(path)
     counted = counters.get
     written = {day: counted[day.isoformat()] for day in wanted}
-    for day, count in written.items():
-        if count == 0:
-            _empty_month(df, path, day, file_format)
+    empty = [day for day, count in written.items() if count == 0]
+    if empty and any(written.values()):
+        empty = _holding_rows(df, path, empty, file_format)
+    for day in empty:
+        _empty_month(df, path, day, file_format)
     return WriteCounts(written, counted.get("left_out"))
 
 
+def _holding_rows(df: DataFrame, path: str, days: Sequence[date], file_format: str) -> list[date]:
+    """Those of the given months that hold rows on disk; reads the partition column only."""
+    reader = df.sparkSession.read.schema(df.schema).format(file_format)
+    if file_format == "csv":
+        reader = reader.option("header", True)
+    found = reader.load(path).where(on_snapshots(days)).select(SNAPSHOT).distinct().collect()
+    return [row[0] for row in found]
+
+
 def _empty_month(df: DataFrame, path: str, day: date, file_format: str) -> None:
     """Overwrites the folder of one month with no rows."""
     empty = df.sparkSession.createDataFrame([], df.drop(SNAPSHOT).schema)

@@ -50,6 +50,17 @@ def test_a_month_without_rows_is_emptied(spark, tmp_path):
     assert store.list_snapshots(spark, path) == [JAN]
 
 
+@pytest.mark.parametrize("file_format", ["parquet", "csv"])
+def test_only_stale_months_are_emptied(spark, tmp_path, file_format):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([("a", JAN), ("b", FEB)], SCHEMA)
+    store.write_snapshots(first, path, [JAN, FEB], file_format=file_format)
+    counts = store.write_snapshots(first.where("k = 'a'"), path, [JAN, FEB, MAR], file_format=file_format)
+    assert counts.months == {JAN: 1, FEB: 0, MAR: 0}
+    assert content(spark, path, file_format=file_format) == [("a", JAN)]
+    assert not (tmp_path / "t" / "snapshot_date=2023-03-01").exists()
+
+
 def test_listing_needs_a_snapshot(spark, tmp_path):
     path = str(tmp_path / "t")
     store.write_snapshots(spark.createDataFrame([], SCHEMA), path, [JAN])
