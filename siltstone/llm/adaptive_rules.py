@@ -41,15 +41,16 @@ FENCES = {
 REACH = 6
 
 
-def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Columns `row` (all columns of docs), `n_words`, `word_chars`, `n_symbols`, `n_dup_lines`,
+def measure(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Columns `row` (the columns of docs to carry; all by default), `n_words`, `word_chars`, `n_symbols`, `n_dup_lines`,
     `n_repeat_words` and `n_lines` (lines with a word).
 
     Windows are compared by 64-bit hashes chained over their words. Each step
     is a projection of its own, so nothing is computed twice.
     """
     t = F.col("t")
-    words = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("t")).select(
+    row = F.struct(*(docs[c] for c in carry or docs.columns))
+    words = docs.select(row.alias("row"), F.coalesce(F.col(text), F.lit("")).alias("t")).select(
         "row", "t", F.array_remove(F.split(t, f"[{WHITE}]+"), "").alias("words"),
         F.filter(F.split(t, "\n"), lambda line: line.rlike(f"[^{WHITE}]")).alias("lines"),
     )
@@ -100,6 +101,11 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.select(*plain, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """The documents that the rules keep, with their columns."""
+    return adaptive_rules(docs).filter("kept").select("row.*")
+
+
 def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words")
@@ -188,15 +194,18 @@ def fences(sketch: DataFrame) -> DataFrame:
     return chosen.groupBy("lang", "source").agg(*columns)
 
 
-def adaptive_rules(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """`row` (all columns of docs), the counts of `measure`, `base_failed` and `kept`.
+def adaptive_rules(
+    docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source", carry: list[str] | None = None
+) -> DataFrame:
+    """`row` (the columns of docs to carry, all by default), the counts of `measure`, `base_failed` and `kept`.
 
     The measured table is written to the shared folder, as the sketch and the
     verdict both read it. So are the fences: their known size lets Spark broadcast
     them while they are small; beyond that the join shuffles, and adaptive
     execution splits a hot language and source.
     """
-    measured = written(measure(docs, text), "measured")
+    kept = carry and list(dict.fromkeys([*carry, lang, source]))
+    measured = written(measure(docs, text, kept), "measured")
     row_lang, row_source = F.col("row")[lang], F.col("row")[source]
     limits = written(fences(sketches(measured, row_lang, row_source)), "fences").select(
         F.struct("*").alias("fence")

@@ -30,7 +30,6 @@ reads back with spaces.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -42,11 +41,12 @@ from pyspark.sql import functions as F
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
+#: -log(-log(u)) of the largest u that `uniform` gives, rounded up.
+LARGEST = 38.0
 OFFSET = 10.0
 MARK = "▁"
 #: Texts of about this many characters are worked on together.
 TOGETHER = 4_000_000
-_UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 # What a random number is for.
@@ -57,7 +57,7 @@ _WALK, _BOUND, _TURN, _ROOT = range(4)
 
 
 class Pieces:
-    """The pieces of a model, their log weights, and hashes of all their beginnings by length."""
+    """The pieces of a model, their log weights, and a trie of them."""
 
     def __init__(self, proto: bytes):
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=proto)
@@ -72,29 +72,24 @@ class Pieces:
         self.byte = np.array([p.piece_to_id(f"<0x{b:02X}>") for b in range(256)])
         self.byte_weight = float(self.weight[plain].min()) - 1.0
         self.longest = max(map(len, texts), default=1)
-        #: By length: sorted hashes of the beginnings, and the piece each is (-1: only a beginning).
-        self.begins: list[tuple[np.ndarray, np.ndarray]] = []
-        for n in range(1, self.longest + 1):
-            found: dict[str, int] = {}
-            for text, i in texts.items():
-                if len(text) >= n:
-                    found[text[:n]] = i if len(text) == n else found.get(text[:n], -1)
-            hashes = np.array([_hash(t) for t in found], dtype=np.uint64)
-            order = np.argsort(hashes)
-            if (np.diff(hashes[order]) == 0).any():
-                raise ValueError("two beginnings of pieces have one hash")
-            self.begins.append((hashes[order], np.array(list(found.values()), dtype=np.int64)[order]))
-
-
-def _hash(text: str) -> int:
-    value = 0
-    for c in text:
-        value = ((value + ord(c) + 1) * int(_PRIME) ^ (value >> 29)) & (1 << 64) - 1
-    return value
-
-
-def _hashed(value: np.ndarray, c: np.ndarray) -> np.ndarray:
-    return (value + c.astype(np.uint64) + np.uint64(1)) * _PRIME ^ (value >> np.uint64(29))
+        # A trie of the pieces: state 0 is none; by character the state it begins, and by state and
+        # class of the next character the state that follows.
+        begins = {t[:k] for t in texts for k in range(1, len(t) + 1)}
+        inner = sorted({t[:k] for t in texts for k in range(1, len(t))})
+        state = {t: i for i, t in enumerate([*inner, *sorted(begins - set(inner))], 1)}
+        later = sorted({c for t in texts for c in t[1:]})
+        self.inner, self.kinds = len(inner), len(later) + 1
+        self.kind = np.zeros(0x110000, dtype=np.int32)
+        self.kind[[ord(c) for c in later]] = np.arange(1, self.kinds)
+        self.root = np.zeros(0x110000, dtype=np.int32)
+        self.next = np.zeros((self.inner + 1) * self.kinds, dtype=np.int32)
+        self.piece = np.full(len(state) + 1, -1, dtype=np.int32)
+        for t, i in state.items():
+            if len(t) == 1:
+                self.root[ord(t)] = i
+            else:
+                self.next[state[t[:-1]] * self.kinds + self.kind[ord(t[-1])]] = i
+            self.piece[i] = texts.get(t, -1)
 
 
 @lru_cache(maxsize=2)
@@ -114,67 +109,66 @@ class Lattices:
     """The lattices of distinct units of text: nodes are places before a character, by their distance to the
     unit's end; edges are pieces, together by node."""
 
-    def __init__(self, units: list[str], pieces: Pieces):
-        joined = "".join(units)
-        chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        length = np.array([len(u) for u in units], dtype=np.int64)
-        stop = np.repeat(np.cumsum(length), length)
+    def __init__(self, chars: np.ndarray, length: np.ndarray, pieces: Pieces):
+        stop = np.repeat(np.cumsum(length), length).astype(np.int32)
         n = len(chars)
-        starts, sizes, ids = [], [], []
-        active, value = np.arange(n), np.zeros(n, dtype=np.uint64)
-        single = np.zeros(n, dtype=bool)
+        found_at: list[tuple[np.ndarray, np.ndarray]] = []
+        kind = pieces.kind[chars]
+        active, state = np.arange(n, dtype=np.int32), pieces.root[chars]
+        self.degree = np.zeros(n, dtype=np.int32)
         for size in range(1, pieces.longest + 1):
-            inside = active + size <= stop[active]
-            active, value = active[inside], value[inside]
-            if not len(active):
-                break
-            value = _hashed(value, chars[active + size - 1])
-            hashes, known = pieces.begins[size - 1]
-            at = np.minimum(np.searchsorted(hashes, value), len(hashes) - 1)
-            found = hashes[at] == value
-            active, value, at = active[found], value[found], at[found]
-            piece = known[at]
+            piece = pieces.piece[state]
             whole = piece >= 0
-            starts.append(active[whole])
-            sizes.append(np.full(int(whole.sum()), size))
-            ids.append(piece[whole])
+            found_at.append((active[whole], piece[whole]))
+            self.degree[found_at[-1][0]] += 1
             if size == 1:
-                single[active[whole]] = True
-        spelt = np.flatnonzero(~single)  # characters without a piece
-        start = np.concatenate([*starts, spelt])
-        size = np.concatenate([*sizes, np.ones(len(spelt), dtype=np.int64)])
-        piece = np.concatenate([*ids, np.full(len(spelt), -1)])
-        in_bytes = [pieces.byte[list(joined[i].encode("utf-8", "surrogatepass"))] for i in spelt]
-        counts = np.array([len(b) for b in in_bytes], dtype=np.int64)
-
-        rest = stop - np.arange(n)
+                spelt = np.flatnonzero(self.degree == 0)  # characters without a piece
+                self.degree[spelt] += 1
+            on = (state > 0) & (state <= pieces.inner) & (active + size < stop[active])
+            active, state = active[on], state[on]
+            state = pieces.next[state * pieces.kinds + kind[active + size]]
+            on = state > 0
+            active, state = active[on], state[on]
+            if not len(active):
+                break
+        in_bytes = [pieces.byte[list(chr(chars[i]).encode("utf-8", "surrogatepass"))] for i in spelt]
+
+        rest = stop - np.arange(n, dtype=np.int32)
         by_rest = np.argsort(rest, kind="stable")
-        node = np.empty(n, dtype=np.int64)
-        node[by_rest] = np.arange(n)
-        spelling = np.concatenate([np.zeros(len(start) - len(spelt), dtype=np.int64), counts])
-        order = np.argsort(node[start] * (pieces.longest + 1) + size, kind="stable")
-        start, self.size, piece, spelling = start[order], size[order], piece[order], spelling[order]
-        end = start + self.size
-        self.final = end == stop[start]
+        node = np.empty(n, dtype=np.int32)
+        node[by_rest] = np.arange(n, dtype=np.int32)
+        distance, self.degree = rest[by_rest], self.degree[by_rest]
+        self.first = np.r_[0, np.cumsum(self.degree)]
+        edges = int(self.first[-1])
+        self.size, piece = np.ones(edges, dtype=np.int32), np.full(edges, -1, dtype=np.int32)
+        free = self.first[node]  # by character: the place of its next edge
+        origin = np.empty(edges, dtype=np.int32)
+        origin[free[spelt]] = spelt
+        spelt_edges = free[spelt].copy()
+        free[spelt] += 1
+        for size, (start, whole) in enumerate(found_at, 1):
+            place = free[start]
+            self.size[place], piece[place], origin[place] = size, whole, start
+            free[start] += 1
+        spelling = np.zeros(edges, dtype=np.int32)
+        spelling[spelt_edges] = [len(b) for b in in_bytes]
+        end = origin + self.size
+        self.final = end == stop[origin]
         self.to = np.where(self.final, -1, node[np.minimum(end, n - 1)])
-        self.at = node[start]
-        self.first = np.searchsorted(self.at, np.arange(n + 1))
-        weight = np.where(piece >= 0, pieces.weight[np.maximum(piece, 0)], spelling * pieces.byte_weight)
+        self.at = node[origin]
+        weight = np.where(piece >= 0, pieces.weight[piece], spelling * pieces.byte_weight)
 
         # Ids of an edge: one piece, or several bytes.
         self.n_ids = np.where(piece >= 0, 1, spelling)
         self.ids_from = np.cumsum(self.n_ids) - self.n_ids
         self.ids = np.empty(int(self.n_ids.sum()), dtype=np.int32)
         self.ids[self.ids_from[piece >= 0]] = piece[piece >= 0]
-        if len(spelt):
-            bytes_from = dict(zip(spelt.tolist(), in_bytes, strict=True))
-            for e in np.flatnonzero(piece < 0):
-                self.ids[self.ids_from[e] : self.ids_from[e] + self.n_ids[e]] = bytes_from[int(start[e])]
+        for e, own in zip(spelt_edges, in_bytes, strict=True):
+            self.ids[self.ids_from[e] : self.ids_from[e] + len(own)] = own
 
         # Sums of weights to the unit's end, from the end on: all nodes of one distance at once.
         self.mass = np.empty(n)
-        value = np.empty(len(start))
-        distance = rest[by_rest]
+        value = np.empty(edges)
         last = int(distance[-1]) if n else 0
         bounds = np.searchsorted(distance, np.arange(1, last + 2))
         for low, high in zip(bounds[:-1], bounds[1:], strict=True):
@@ -186,19 +180,25 @@ class Lattices:
             top = np.maximum.reduceat(value[part], at)
             spread = np.exp(value[part] - np.repeat(top, self.first[low + 1 : high + 1] - self.first[low:high]))
             self.mass[low:high] = top + np.log(np.add.reduceat(spread, at))
-        #: Log probability of each edge among those of its node, and the running sum that draws one.
+        #: Log probability of each edge among those of its node.
         self.log_q = value - self.mass[self.at]
-        q = np.exp(self.log_q)
-        running = np.cumsum(q)
-        before = running[self.first[:-1]] - q[self.first[:-1]] if n else running
-        self.draw = self.at + np.minimum(running - before[self.at], 1.0)
-        self.degree = np.diff(self.first)
+        self.q = np.exp(self.log_q)
+        running = np.cumsum(self.q)
+        before = running[self.first[:-1]] - self.q[self.first[:-1]]
+        #: Running sums within a node; the last edge takes what is left.
+        self.upto = running - before[self.at]
+        self.upto[self.first[1:] - 1] = 2.0
         #: The first node of each unit.
         self.entry = node[np.cumsum(length) - length]
 
     def drawn(self, at: np.ndarray, u: np.ndarray) -> np.ndarray:
-        edge = np.searchsorted(self.draw, at + u, side="right")
-        return np.clip(edge, self.first[at], self.first[at + 1] - 1)
+        """The edges of the nodes that the numbers u fall on."""
+        edge = self.first[at]
+        over = np.flatnonzero(u >= self.upto[edge])
+        while len(over):
+            edge[over] += 1
+            over = over[u[over] >= self.upto[edge[over]]]
+        return edge
 
 
 # ---------------------------------------------------------------- sampling
@@ -220,182 +220,221 @@ def truncated(location: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndar
     return location - np.log(np.exp(location - bound) - np.log(u))
 
 
+def _ranges(start: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    return np.arange(counts.sum()) + np.repeat(start - _firsts(counts), counts)
+
+
+def _units(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The characters of all texts, the lengths of their units (word marks and what follows), and units per text."""
+    seen = [marked(t) for t in texts]
+    chars = np.frombuffer("".join(seen).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    length = np.array([len(t) for t in seen], dtype=np.int64)
+    is_mark = chars == ord(MARK)
+    begins = is_mark.copy()
+    begins[1:] &= ~is_mark[:-1]
+    begins[_firsts(length)[length > 0]] = True
+    at = np.flatnonzero(begins)
+    return chars, np.diff(np.r_[at, len(chars)]), np.diff(np.searchsorted(at, np.r_[0, np.cumsum(length)]))
+
+
+def _distinct(chars: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the number of each unit among the distinct ones, the first unit of each).
+
+    Units are grouped by a hash and then compared, so equal numbers mean equal units."""
+    first = _firsts(length)
+    place = (np.arange(len(chars)) - np.repeat(first, length)).astype(np.uint64)
+    value = (chars.astype(np.uint64) + _PRIME) * (place * np.uint64(0xBF58476D1CE4E5B9) + _PRIME)
+    value ^= value >> np.uint64(29)
+    value *= np.uint64(0x94D049BB133111EB)
+    value ^= value >> np.uint64(32)
+    _, firsts, unit = np.unique(np.add.reduceat(value, first), return_index=True, return_inverse=True)
+    if (length[firsts[unit]] == length).all() and (chars[_ranges(first[firsts[unit]], length)] == chars).all():
+        return unit, firsts
+    units = [chars[a : a + c].tobytes() for a, c in zip(first, length, strict=True)]
+    book = {t: i for i, t in enumerate(dict.fromkeys(units))}
+    unit = np.array([book[t] for t in units])
+    return unit, np.unique(unit, return_index=True)[1]
+
+
 def _firsts(counts: np.ndarray) -> np.ndarray:
     return np.cumsum(counts) - counts
 
 
 class _Paths:
-    """One path per text: edges in order, the place of each, and the bounds of the sets that branch off."""
+    """One path per text: edges in order, and the bounds of the sets that branch off. turn and excluded: the
+    place at which a path left its parent, and the edges that are ruled out there, by text."""
 
-    def __init__(self, edges: np.ndarray, places: np.ndarray, doc: np.ndarray, n: int, lattices: Lattices):
-        self.edges, self.places, self.doc = edges, places, doc
-        self.counts = np.bincount(doc, minlength=n)
-        self.first = _firsts(self.counts)
+    def __init__(self, edges: np.ndarray, counts: np.ndarray, turn: np.ndarray, excluded: np.ndarray, lattices: Lattices):
+        self.edges, self.counts, self.turn, self.excluded = edges, counts, turn, excluded
+        self.first = _firsts(counts)
         log_q = lattices.log_q[edges]
         total = np.cumsum(log_q)
         before = np.r_[0.0, total][self.first]
-        self.before = total - log_q - before[doc]  # of the tokens before each
-        self.log_prob = np.r_[0.0, total][self.first + self.counts] - before
+        self.log_prob = np.r_[0.0, total][self.first + counts] - before
+        #: Log probability of the tokens before each; falls along a path.
+        self.before = total - log_q - np.repeat(before, counts)
         self.bounds = np.full(len(edges), -np.inf)
 
+    def places(self, token: np.ndarray, doc: np.ndarray, lattices: Lattices) -> np.ndarray:
+        """How many characters lie before the given tokens of the given texts."""
+        if not hasattr(self, "through"):
+            self.through = np.r_[0, np.cumsum(lattices.size[self.edges], dtype=np.int64)]
+        return self.through[token] - self.through[self.first[doc]]
 
-def _walk(lattices: Lattices, at: np.ndarray, place: np.ndarray, doc: np.ndarray, seed: np.ndarray, salt: int) -> tuple[np.ndarray, ...]:
-    """Random paths from nodes to the ends of their units: (walker, edge, place), in order of walkers."""
+
+def _walk(lattices: Lattices, at: np.ndarray, place: np.ndarray, seed: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """Random paths from nodes to the ends of their units: (edges in order of walkers, their numbers)."""
     who = np.argsort(at, kind="stable")  # neighbours in the lattice stay neighbours in memory
-    at, place = at[who], place[who]
-    walkers, edges, places, steps = [], [], [], []
-    step = 0
+    at, place, seed = at[who], place[who], seed[who]
+    steps = np.zeros(len(who), dtype=np.int64)
+    taken: list[tuple[np.ndarray, np.ndarray]] = []
     while len(who):
-        edge = lattices.drawn(at, uniform(seed[doc[who]], _WALK, salt, place))
-        walkers.append(who)
-        edges.append(edge)
-        places.append(place)
-        steps.append(np.full(len(who), step))
-        more = ~lattices.final[edge]
-        who, place, at = who[more], (place + lattices.size[edge])[more], lattices.to[edge[more]]
-        step += 1
-    if not walkers:
-        none = np.zeros(0, dtype=np.int64)
-        return none, none, none
-    walker, edge, place, step = map(np.concatenate, (walkers, edges, places, steps))
-    first = _firsts(np.bincount(walker, minlength=len(doc)))
-    to = first[walker] + step
-    out = [np.empty_like(x) for x in (walker, edge, place)]
-    for x, y in zip(out, (walker, edge, place), strict=True):
-        x[to] = y
-    return tuple(out)
+        edge = lattices.drawn(at, uniform(seed, _WALK, salt, place))
+        taken.append((who, edge))
+        steps[who] += 1
+        more = np.flatnonzero(~lattices.final[edge])
+        who, edge, seed = who[more], edge[more], seed[more]
+        place, at = place[more] + lattices.size[edge], lattices.to[edge]
+    first = _firsts(steps)
+    out = np.empty(int(steps.sum()), dtype=np.int64)
+    for step, (who, edge) in enumerate(taken):
+        out[first[who] + step] = edge
+    return out, steps
+
+
+def _branch_bounds(path: _Paths, perturbed: np.ndarray, has: np.ndarray, rank: int, seeds: np.ndarray, lattices: Lattices) -> None:
+    """Draws the bounds of the sets that branch off a path, from its turn on.
+
+    A Gumbel variable is below LARGEST: a set that cannot reach the best bound found needs none."""
+    n = len(has)
+    doc = np.repeat(np.arange(n), path.counts)
+    lowest = np.where(has, 0.0, np.inf)
+    for _ in range(2):  # first as if a bound of 0 were found, then by the best found
+        at = np.flatnonzero((path.before >= (lowest - LARGEST)[doc]) & (path.bounds == -np.inf))
+        of = doc[at]
+        edge, place = path.edges[at], at - path.first[of]
+        node = lattices.at[edge]
+        left, others = 1 - lattices.q[edge], lattices.degree[node] - 1
+        turned = np.flatnonzero(place == path.turn[of])
+        gone = path.excluded[of[turned]]
+        left[turned] -= np.where(gone >= 0, lattices.q[np.maximum(gone, 0)], 0.0).sum(1)
+        others[turned] -= (gone >= 0).sum(1)
+        open_ = (place >= path.turn[of]) & (others > 0) & (left > 0)
+        at, of, left = at[open_], of[open_], left[open_]
+        path.bounds[at] = truncated(
+            path.before[at] + np.log(left), perturbed[of],
+            uniform(seeds[of], _BOUND, rank, path.places(at, of, lattices)),
+        )
+        lowest = np.where(has, -np.inf, np.inf)
+        np.maximum.at(lowest, of, path.bounds[at])
 
 
 def segmentations(texts: list[str], seeds: np.ndarray, pieces: Pieces, samples: int) -> list[tuple[np.ndarray, ...]]:
     """Per rank, from the first: (text, ids, their first places, counts, log probability, perturbed, inclusion),
     for the texts that have that many segmentations."""
     n = len(texts)
-    book: dict[str, int] = {}
-    add = book.setdefault
-    per_text = [[add(u, len(book)) for u in _UNIT.findall(marked(t))] for t in texts]
-    n_units = np.array([len(x) for x in per_text], dtype=np.int64)
-    unit = np.array([c for x in per_text for c in x], dtype=np.int64)
-    if not len(unit):
-        lattices = None
-        empty = np.arange(n)
-        zero = np.zeros(n)
-        root = -np.log(-np.log(uniform(seeds, _ROOT, 0, zero.astype(np.int64))))
-        none = np.zeros(n, dtype=np.int64)
-        return [(empty, np.zeros(0, np.int32), none, none, zero, root, np.ones(n))]
-    lattices = Lattices(list(book), pieces)
-    unit_length = np.array([len(u) for u in book], dtype=np.int64)[unit]
+    chars, unit_length, n_units = _units(texts)
+    perturbed = -np.log(-np.log(uniform(seeds, _ROOT, 0, np.zeros(n, dtype=np.int64))))
+    if not len(unit_length):
+        zero, none = np.zeros(n), np.zeros(n, dtype=np.int64)
+        return [(np.arange(n), np.zeros(0, np.int32), none, none, zero, perturbed, np.ones(n))]
+    unit, firsts = _distinct(chars, unit_length)
+    own = unit_length[firsts]
+    lattices = Lattices(chars[_ranges(_firsts(unit_length)[firsts], own)], own, pieces)
     unit_doc = np.repeat(np.arange(n), n_units)
-    unit_first = _firsts(n_units)
     through = np.cumsum(unit_length)
-    unit_place = through - unit_length - np.r_[0, through][unit_first][unit_doc]
+    unit_place = through - unit_length - np.r_[0, through][_firsts(n_units)][unit_doc]
     entry = lattices.entry[unit]
 
-    walker, edge, place = _walk(lattices, entry, unit_place, unit_doc, seeds, 0)
-    paths = [_Paths(edge, place, unit_doc[walker], n, lattices)]
-    on = np.arange(n)  # the texts that have this path
-    perturbed = -np.log(-np.log(uniform(seeds, _ROOT, 0, np.zeros(n, dtype=np.int64))))
+    def per_text(walkers: np.ndarray, steps: np.ndarray) -> np.ndarray:
+        return np.bincount(walkers, steps, n).astype(np.int64)
+
+    edges, steps = _walk(lattices, entry, unit_place, seeds[unit_doc], 0)
+    none = np.full(n, -1)
+    paths = [_Paths(edges, per_text(unit_doc, steps), none, np.full((n, samples), -1), lattices)]
     has = np.ones(n, dtype=bool)
-    excluded = np.full((n, samples), -1)  # edges ruled out at the token where the path left its parent
-    turn = np.full(n, -1)  # that token's place in the path
     emitted = []
     for rank in range(samples):
-        path = paths[-1]
-        # Bounds of the sets that branch off this path, from the turn on.
-        index = np.arange(len(path.edges)) - path.first[path.doc]
-        left = 1 - np.exp(lattices.log_q[path.edges])
-        many = lattices.degree[lattices.at[path.edges]] > 1
-        turned = np.flatnonzero((turn >= 0) & has)
-        if len(turned):
-            token = path.first[turned] + turn[turned]
-            gone = excluded[turned]
-            taken = np.where(gone >= 0, np.exp(lattices.log_q[np.maximum(gone, 0)]), 0.0).sum(1)
-            node = lattices.at[path.edges[token]]
-            left[token] = 1 - np.exp(lattices.log_q[path.edges[token]]) - taken
-            many[token] = lattices.degree[node] > 1 + (gone >= 0).sum(1)
-        open_ = many & (left > 0) & (index >= np.maximum(turn, 0)[path.doc])
-        at = np.flatnonzero(open_)
-        path.bounds[at] = truncated(
-            path.before[at] + np.log(left[at]), perturbed[path.doc[at]],
-            uniform(seeds[path.doc[at]], _BOUND, rank, path.places[at]),
-        )
-        emitted.append((on, path, perturbed.copy(), has.copy()))
+        _branch_bounds(paths[-1], perturbed, has, rank, seeds, lattices)
+        emitted.append((paths[-1], perturbed, has))
         # The best set of each text over all its paths.
-        best, where, which = np.full(n, -np.inf), np.full(n, -1), np.full(n, -1)
-        for k, earlier in enumerate(paths):
-            some = np.flatnonzero(earlier.counts)
-            if not len(some):
-                continue
+        best, where, which = np.full(n, -np.inf), none.copy(), none.copy()
+        for k, path in enumerate(paths):
+            some = np.flatnonzero(path.counts)
             top = np.full(n, -np.inf)
-            top[some] = np.maximum.reduceat(earlier.bounds, earlier.first[some])
+            top[some] = np.maximum.reduceat(path.bounds, path.first[some]) if len(some) else 0.0
             better = top > best
-            hit = np.flatnonzero((earlier.bounds == top[earlier.doc]) & better[earlier.doc])
+            hit = np.flatnonzero(path.bounds > -np.inf)
+            of = np.searchsorted(path.first + path.counts, hit, side="right")
+            chosen = (path.bounds[hit] == top[of]) & better[of]
+            where[of[chosen]] = hit[chosen]
             best, which = np.where(better, top, best), np.where(better, k, which)
-            where[earlier.doc[hit]] = hit
         if rank + 1 == samples or not np.isfinite(best).any():
             break
         # Its best path: the parent's tokens before the turn, another edge there, a free walk after it.
-        has = np.isfinite(best)
-        parents = np.flatnonzero(has)
-        parts: list[tuple[np.ndarray, ...]] = []
-        new_excluded, new_turn = np.full((n, samples), -1), np.full(n, -1)
-        for k, earlier in enumerate(paths):
-            mine = parents[which[parents] == k]
-            if not len(mine):
-                continue
-            token = where[mine]
-            earlier.bounds[token] = -np.inf
-            new_turn[mine] = token - earlier.first[mine]
-            gone = np.full((len(mine), samples), -1)
-            if k:  # at the token where it left its own parent, that parent's edges stay ruled out
-                again = earlier.turn[mine] == new_turn[mine]
-                gone[again] = earlier.excluded[mine[again]]
-            gone[np.arange(len(mine)), (gone >= 0).sum(1)] = earlier.edges[token]
-            new_excluded[mine] = gone
-            node = lattices.at[earlier.edges[token]]
-            choice = lattices.first[node][:, None] + np.arange(int(lattices.degree[node].max()))
-            allowed = choice < lattices.first[node + 1][:, None]
-            allowed &= ~(choice[:, :, None] == gone[:, None, :]).any(2)
-            weight = np.where(allowed, np.exp(lattices.log_q[np.minimum(choice, len(lattices.log_q) - 1)]), 0.0)
-            running = np.cumsum(weight, axis=1)
-            u = uniform(seeds[mine], _TURN, rank, earlier.places[token]) * running[:, -1]
-            pick = np.minimum((running <= u[:, None]).sum(1), allowed.shape[1] - 1 - allowed[:, ::-1].argmax(1))
-            edge = choice[np.arange(len(mine)), pick]
-            keep = np.zeros(n, dtype=np.int64)
-            keep[mine] = new_turn[mine]
-            index = np.arange(len(earlier.edges)) - earlier.first[earlier.doc]
-            prefix = np.flatnonzero(index < keep[earlier.doc])
-            parts.append((earlier.doc[prefix], earlier.places[prefix], earlier.edges[prefix]))
-            parts.append((mine, earlier.places[token], edge))
-            # What is left of the unit, then the units after it.
-            going = ~lattices.final[edge]
-            from_place = np.full(n, np.iinfo(np.int64).max)
-            from_place[mine] = earlier.places[token]
-            after = np.flatnonzero(unit_place > from_place[unit_doc])
-            start = np.r_[lattices.to[edge[going]], entry[after]]
-            doc = np.r_[mine[going], unit_doc[after]]
-            begin = np.r_[(earlier.places[token] + lattices.size[edge])[going], unit_place[after]]
-            walker, walked, place = _walk(lattices, start, begin, doc, seeds, rank + 1)
-            parts.append((doc[walker], place, walked))
-        doc, place, edge = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((place, doc))
-        new = _Paths(edge[order], place[order], doc[order], n, lattices)
-        new.turn, new.excluded = new_turn, new_excluded
-        paths.append(new)
-        turn, excluded, perturbed = new_turn, new_excluded, best.copy()
-        on = np.arange(n)
-    threshold = best  # the first bound that was not emitted
+        has, perturbed = np.isfinite(best), best
+        mine = np.flatnonzero(has)
+        turn, excluded = np.full(n, len(chars) + 1), np.full((n, samples), -1)
+        turn_place, edge = np.zeros(n, dtype=np.int64), none.copy()
+        prefix: list[tuple[np.ndarray, np.ndarray]] = []
+        for k, path in enumerate(paths):
+            of = mine[which[mine] == k]
+            token = where[of]
+            path.bounds[token] = -np.inf
+            turn[of] = token - path.first[of]
+            turn_place[of] = path.places(token, of, lattices)
+            again = path.turn[of] == turn[of]
+            excluded[of[again]] = path.excluded[of[again]]
+            excluded[of, (excluded[of] >= 0).sum(1)] = path.edges[token]
+            node = lattices.at[path.edges[token]]
+            edge[of] = _another(lattices, node, excluded[of], uniform(seeds[of], _TURN, rank, turn_place[of]))
+            prefix.append((of, path.edges[_ranges(path.first[of], turn[of])]))
+        # What is left of the unit, then the units after it.
+        going = mine[~lattices.final[edge[mine]]]
+        after = np.flatnonzero((unit_place > turn_place[unit_doc]) & has[unit_doc])
+        walkers = np.r_[going, unit_doc[after]]
+        start = np.r_[lattices.to[edge[going]], entry[after]]
+        place = np.r_[turn_place[going] + lattices.size[edge[going]], unit_place[after]]
+        order = np.argsort(walkers, kind="stable")
+        walkers, start, place = walkers[order], start[order], place[order]
+        walked, steps = _walk(lattices, start, place, seeds[walkers], rank + 1)
+        walked_counts = per_text(walkers, steps)
+        counts = np.where(has, turn + 1, 0) + walked_counts
+        first, edges = _firsts(counts), np.empty(int(counts.sum()), dtype=np.int64)
+        for of, tokens in prefix:
+            edges[_ranges(first[of], turn[of])] = tokens
+        edges[first[mine] + turn[mine]] = edge[mine]
+        edges[_ranges(np.where(has, first + turn + 1, 0), walked_counts)] = walked
+        paths.append(_Paths(edges, counts, turn, excluded, lattices))
     out = []
-    for _, path, g, has in emitted:
-        counts = lattices.n_ids[path.edges]
-        ids = lattices.ids[np.repeat(lattices.ids_from[path.edges] - _firsts(counts), counts) + np.arange(counts.sum())]
-        per_doc = np.bincount(path.doc, counts, n).astype(np.int64)
-        gap = np.where(np.isfinite(threshold), path.log_prob - np.where(np.isfinite(threshold), threshold, 0.0), np.inf)
-        inclusion = np.where(np.isfinite(gap), -np.expm1(-np.exp(np.where(np.isfinite(gap), gap, 0.0))), 1.0)
+    for path, g, has in emitted:
+        n_ids = lattices.n_ids[path.edges]
+        if (n_ids == 1).all():
+            ids, per_doc = lattices.ids[lattices.ids_from[path.edges]], path.counts
+        else:
+            ids = lattices.ids[_ranges(lattices.ids_from[path.edges], n_ids)]
+            per_doc = np.diff(np.r_[0, np.cumsum(n_ids)][np.r_[path.first, len(path.edges)]])
+        # best: the first bound that was not emitted.
+        gap = path.log_prob - np.where(np.isfinite(best), best, 0.0)
+        inclusion = np.where(np.isfinite(best), -np.expm1(-np.exp(np.minimum(gap, 700.0))), 1.0)
         which = np.flatnonzero(has)
         out.append((which, ids, _firsts(per_doc)[which], per_doc[which], path.log_prob[which], g[which], inclusion[which]))
     return out
 
 
+def _another(lattices: Lattices, node: np.ndarray, gone: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """An edge of each node that is not among the gone ones, by the edges' probabilities."""
+    if not len(node):
+        return node
+    choice = lattices.first[node][:, None] + np.arange(int(lattices.degree[node].max()))
+    allowed = choice < lattices.first[node + 1][:, None]
+    allowed &= ~(choice[:, :, None] == gone[:, None, :]).any(2)
+    running = np.cumsum(np.where(allowed, lattices.q[np.minimum(choice, len(lattices.q) - 1)], 0.0), axis=1)
+    last = allowed.shape[1] - 1 - allowed[:, ::-1].argmax(1)
+    pick = np.minimum((running <= (u * running[:, -1])[:, None]).sum(1), last)
+    return choice[np.arange(len(node)), pick]
+
+
 # ---------------------------------------------------------------- the operator
 
 
@@ -404,6 +443,7 @@ def model_bytes(model_file: str = MODEL_FILE) -> bytes:
         return file.read()
 
 
+COLUMNS = ("sample", "n_pieces", "log_prob", "perturbed", "inclusion", "pieces", "reads_back")
 _SAMPLED = "sample int, n_pieces int, log_prob double, perturbed double, inclusion double, pieces array<int>, reads_back boolean"
 
 

@@ -171,8 +171,10 @@ def within(placed: DataFrame, state: DataFrame, digits: list[str]) -> DataFrame:
     return placed.filter("rank IS NOT NULL").join(state, same)
 
 
-def pareto_mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """`row` (all columns of docs), `size`, `source_size`, `target`, `copies`, `inclusion` (the
+def pareto_mix(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", carry: list[str] | None = None
+) -> DataFrame:
+    """`row` (the columns of docs to carry, all by default), `size`, `source_size`, `target`, `copies`, `inclusion` (the
     probability of the last copy) for each row of docs; copies is 0 for what the mix leaves out.
 
     The sized rows are written once to the shared folder; every later step reads
@@ -182,7 +184,7 @@ def pareto_mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", s
     u = (F.shiftrightunsigned(F.xxhash64(F.lit("pareto"), F.col(doc_id), F.col(text)), 12) + F.lit(0.5)) / F.lit(float(1 << 52))
     sized = written(
         docs.select(
-            F.struct("*").alias("row"), F.col(source).alias("source"), size.alias("size"), u.alias("u"),
+            F.struct(*(docs[c] for c in carry or docs.columns)).alias("row"), F.col(source).alias("source"), size.alias("size"), u.alias("u"),
             F.monotonically_increasing_id().alias("row_no"),
         ).withColumn(
             "longness",
@@ -221,5 +223,3 @@ def mixed(docs: DataFrame) -> DataFrame:
     """The documents of the mix, each as often as it is taken."""
     copies = F.explode(F.sequence(F.lit(1), F.col("copies")))
     return pareto_mix(docs).filter("copies > 0").select("row", copies.alias("copy")).select("row.*")
-
-
