@@ -35,6 +35,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ LARGEST = 38.0
 OFFSET = 10.0
 MARK = "▁"
 #: Texts of about this many characters are worked on together.
-TOGETHER = 4_000_000
+TOGETHER = 2_000_000
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 # What a random number is for.
@@ -64,6 +65,7 @@ class Pieces:
         p = self.processor
         size = p.get_piece_size()
         plain = [i for i in range(size) if not (p.is_control(i) or p.is_unknown(i) or p.is_byte(i) or p.is_unused(i))]
+        set_of_plain = set(plain)
         texts = {p.id_to_piece(i): i for i in plain}
         scores = np.array([p.get_score(i) for i in range(size)], dtype=np.float64)
         # Ranks are whole numbers from 0 down; log probabilities are not.
@@ -90,6 +92,13 @@ class Pieces:
             else:
                 self.next[state[t[:-1]] * self.kinds + self.kind[ord(t[-1])]] = i
             self.piece[i] = texts.get(t, -1)
+        # What each piece spells, side by side.
+        spelt = [p.id_to_piece(i).replace(MARK, " ").encode() if i in set_of_plain else b"" for i in range(size)]
+        for b in range(256):
+            spelt[self.byte[b]] = bytes([b])
+        self.spelling_sizes = np.array([len(x) for x in spelt], dtype=np.int64)
+        self.spelling_from = np.cumsum(self.spelling_sizes) - self.spelling_sizes
+        self.spellings = np.frombuffer(b"".join(spelt), dtype=np.uint8)
 
 
 @lru_cache(maxsize=2)
@@ -134,7 +143,8 @@ class Lattices:
         in_bytes = [pieces.byte[list(chr(chars[i]).encode("utf-8", "surrogatepass"))] for i in spelt]
 
         rest = stop - np.arange(n, dtype=np.int32)
-        by_rest = np.argsort(rest, kind="stable")
+        short = n and rest.max() < 1 << 15  # numbers of 16 bits are sorted by digits
+        by_rest = np.argsort(rest.astype(np.int16) if short else rest, kind="stable")
         node = np.empty(n, dtype=np.int32)
         node[by_rest] = np.arange(n, dtype=np.int32)
         distance, self.degree = rest[by_rest], self.degree[by_rest]
@@ -284,14 +294,14 @@ class _Paths:
 
 def _walk(lattices: Lattices, at: np.ndarray, place: np.ndarray, seed: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
     """Random paths from nodes to the ends of their units: (edges in order of walkers, their numbers)."""
-    who = np.argsort(at, kind="stable")  # neighbours in the lattice stay neighbours in memory
+    who = np.argsort(at)  # neighbours in the lattice stay neighbours in memory
     at, place, seed = at[who], place[who], seed[who]
     steps = np.zeros(len(who), dtype=np.int64)
     taken: list[tuple[np.ndarray, np.ndarray]] = []
     while len(who):
         edge = lattices.drawn(at, uniform(seed, _WALK, salt, place))
         taken.append((who, edge))
-        steps[who] += 1
+        steps[who] = len(taken)
         more = np.flatnonzero(~lattices.final[edge])
         who, edge, seed = who[more], edge[more], seed[more]
         place, at = place[more] + lattices.size[edge], lattices.to[edge]
@@ -463,7 +473,7 @@ def sampled(docs: DataFrame, *, text: str = "text", samples: int = SAMPLES, mode
         pieces = pieces_of(proto)
         for batch in batches:
             low = size = 0
-            lengths = [len(t) for t in batch.column("t").to_pylist()]
+            lengths = pa.compute.utf8_length(batch.column("t")).to_pylist()
             for high in range(1, batch.num_rows + 1):
                 size += lengths[high - 1]
                 if size >= TOGETHER or high == batch.num_rows:
@@ -482,10 +492,7 @@ def _samples_of(batch: pa.RecordBatch, pieces: Pieces, samples: int) -> Iterator
             lists = pa.ListArray.from_arrays(pa.array(np.r_[first, len(ids)].astype(np.int32)), pa.array(ids))
         else:
             lists = pa.array([ids[a : a + c] for a, c in zip(first, count, strict=True)], pa.list_(pa.int32()))
-        back = [
-            decoded(pieces, ids[a : a + c]) == texts[i].replace(MARK, " ")
-            for i, a, c in zip(which.tolist(), first.tolist(), count.tolist(), strict=True)
-        ]
+        back = reads_back(pieces, ids, count, [texts[i] for i in which])
         yield pa.RecordBatch.from_arrays(
             [batch.column("row").take(pa.array(which)), pa.array(np.full(len(which), rank + 1, np.int32)),
              pa.array(count.astype(np.int32)), pa.array(log_prob), pa.array(g), pa.array(inclusion), lists, pa.array(back, pa.bool_())],
@@ -493,5 +500,33 @@ def _samples_of(batch: pa.RecordBatch, pieces: Pieces, samples: int) -> Iterator
         )
 
 
-def decoded(pieces: Pieces, ids: np.ndarray) -> str:
-    return pieces.processor.decode(ids.tolist())
+def decoded(pieces: Pieces, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """The texts, in UTF-8, of pieces side by side: counts says how many each text has."""
+    size = pieces.spelling_sizes[ids]
+    raw = pieces.spellings[_ranges(pieces.spelling_from[ids], size)].tobytes()
+    ends = np.r_[0, np.cumsum(size)][np.cumsum(counts)].tolist()
+    begins = [0, *ends[:-1]]
+    # The mark that stands before the first word is no space of the text.
+    return [raw[a + (raw[a : a + 1] == b" ") : b] for a, b in zip(begins, ends, strict=True)]
+
+
+def reads_back(pieces: Pieces, ids: np.ndarray, counts: np.ndarray, texts: list[str]) -> list[bool]:
+    read = decoded(pieces, ids, counts)
+    return [a == b.replace(MARK, " ").encode("utf-8", "surrogatepass") for a, b in zip(read, texts, strict=True)]
+
+
+def decode(encoded: DataFrame, *, pieces: str = "pieces", model_file: str = MODEL_FILE) -> DataFrame:
+    """`row` (all columns of encoded) and `text`; null pieces give null. Bytes that are no UTF-8 read as U+FFFD."""
+    proto = model_bytes(model_file)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = pieces_of(proto)
+        for batch in batches:
+            lists = batch.column("p")
+            counts = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            read = decoded(model, lists.flatten().to_numpy(zero_copy_only=False), counts.astype(np.int64))
+            texts = [r.decode("utf-8", "replace") if x.is_valid else None for r, x in zip(read, lists, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
+
+    picked = encoded.select(F.struct("*").alias("row"), F.col(pieces).cast("array<int>").alias("p"))
+    return picked.mapInArrow(run, picked.select("row", F.lit("").cast("string").alias("text")).schema)
