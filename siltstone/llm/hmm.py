@@ -44,9 +44,9 @@ TOP, TAIL = 3000, 400
 #: Share of the class distribution of all training tokens in each state's emissions.
 FLOOR = 0.01
 PIECE = 512
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 #: Texts whose recursions run side by side hold about this many tokens.
-SIDE_BY_SIDE = 1_000_000
+SIDE_BY_SIDE = 500_000
 SEED = 11
 END = b"\n"  # white space, so no word
 CLASSES = TOP + TAIL + 1
@@ -71,6 +71,21 @@ def words_of(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), END]
 
 
+_ZSTD = pa.Codec("zstd", 1)
+
+
+def packed(codes: np.ndarray) -> bytes:
+    """Numbers as their number, then all their lowest bytes, all their second bytes and so on, compressed."""
+    planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(codes).to_bytes(8, "little") + _ZSTD.compress(planes, asbytes=True)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:8], "little")
+    planes = np.frombuffer(_ZSTD.decompress(raw[8:], 4 * n), dtype=np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(n)
+
+
 def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per block of texts: a row per text with the codes of its tokens, and a row per distinct word
     with its code and its count in training texts."""
@@ -82,17 +97,21 @@ def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
 
     def flushed() -> Iterator[pa.RecordBatch]:
-        none = [None] * len(docs)
+        none, n = [None] * len(docs), len(book)
+        # Codes by falling frequency: most are small, and pack well.
+        order = np.argsort(-np.bincount(np.concatenate([d[2] for d in docs]), minlength=n), kind="stable")
+        rank = np.empty(n, dtype=np.int32)
+        rank[order] = np.arange(n, dtype=np.int32)
+        words = list(book)
         yield pa.RecordBatch.from_arrays(
             [pa.array([block] * len(docs), pa.int64()), pa.array([d[0] for d in docs], pa.int64()),
-             pa.array([d[1] for d in docs], pa.bool_()), pa.array([d[2].tobytes() for d in docs], pa.binary()),
+             pa.array([d[1] for d in docs], pa.bool_()), pa.array([packed(rank[d[2]]) for d in docs], pa.binary()),
              pa.array(none, pa.binary()), pa.array(none, pa.int32()), pa.array(none, pa.int64())], schema=_ENCODED
         )
-        n = len(book)
-        counts = np.bincount(np.concatenate(trained), minlength=n) if trained else np.zeros(n, np.int64)
+        counts = np.bincount(np.concatenate([np.zeros(0, np.int32), *trained]), minlength=n)[order]
         yield pa.RecordBatch.from_arrays(
             [pa.array([block] * n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()),
-             pa.nulls(n, pa.binary()), pa.array(list(book), pa.binary()), pa.array(np.arange(n, dtype=np.int32)),
+             pa.nulls(n, pa.binary()), pa.array([words[i] for i in order], pa.binary()), pa.array(np.arange(n, dtype=np.int32)),
              pa.array(counts.astype(np.int64))], schema=_ENCODED
         )
 
@@ -155,7 +174,7 @@ def _sequences(docs: DataFrame, coded: DataFrame, shares: Shares) -> DataFrame:
         c, classes = np.zeros(size, np.int64), np.zeros(size, np.int16)
         c[right["code"]], classes[right["code"]] = right["c"], right["class"]
         base, within = np.log10(c + 1.0) - floor, shares.within(c, classes)
-        rows = [np.frombuffer(x, dtype=np.int32) for x in left["codes"]]
+        rows = [unpacked(x) for x in left["codes"]]
         return pd.DataFrame({
             "doc_id": left["doc_id"], "held_out": left["held_out"],
             "n_tokens": np.array([len(r) for r in rows], np.int64),

@@ -46,7 +46,7 @@ class Written:
     def __init__(self, df: DataFrame, name: str):
         self.spark = df.sparkSession
         self.path = new_path(self.spark, name)
-        df.write.parquet(self.path)
+        df.write.option("compression", "zstd").parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
