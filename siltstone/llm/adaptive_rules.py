@@ -101,11 +101,6 @@ def measure(docs: DataFrame, text: str = "text", carry: list[str] | None = None)
     return found.select(*plain, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
-def kept_documents(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with their columns."""
-    return adaptive_rules(docs).filter("kept").select("row.*")
-
-
 def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words")
@@ -144,8 +139,10 @@ def sketches(measured: DataFrame, lang: Column, source: Column) -> DataFrame:
 
     Only documents that pass the base rule enter: what fails anyway shifts no fence."""
     return (
-        measured.filter(~base_failed())
-        .select(lang.alias("lang"), source.alias("source"), F.explode(measures()).alias("m"))
+        measured.select(
+            lang.alias("lang"), source.alias("source"), F.explode_outer(F.when(~base_failed(), measures())).alias("m")
+        )
+        .filter("m IS NOT NULL")
         .groupBy("lang", "source", "m.measure", bin_of(F.col("m.value")).alias("bin"))
         .agg(F.count("*").alias("n"))
     )
@@ -200,16 +197,36 @@ def adaptive_rules(
     """`row` (the columns of docs to carry, all by default), the counts of `measure`, `base_failed` and `kept`.
 
     The measured table is written to the shared folder, as the sketch and the
-    verdict both read it. So are the fences: their known size lets Spark broadcast
-    them while they are small; beyond that the join shuffles, and adaptive
-    execution splits a hot language and source.
+    verdict both read it.
     """
-    kept = carry and list(dict.fromkeys([*carry, lang, source]))
-    measured = written(measure(docs, text, kept), "measured")
-    row_lang, row_source = F.col("row")[lang], F.col("row")[source]
-    limits = written(fences(sketches(measured, row_lang, row_source)), "fences").select(
-        F.struct("*").alias("fence")
+    measured = written(measure(docs, text, carry and list(dict.fromkeys([*carry, lang, source]))), "measured")
+    return _judged(measured, measured, lang, source).select(
+        "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+def kept_documents(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """The documents that the rules keep, with their columns.
+
+    Docs are measured twice, for the sketch and for the verdict, so that texts are not stored again."""
+    judged = _judged(measure(docs, text, [lang, source]), measure(docs, text), lang, source)
+    return _where(judged, F.col("kept")).select("row.*")
+
+
+def _where(df: DataFrame, condition: Column) -> DataFrame:
+    """The rows that meet the condition. As a filter it would be pushed below the projections of
+    `measure`, each of which would then be written out once per use, without end."""
+    return df.select("*", F.explode_outer(F.when(condition, F.array(F.lit(1)))).alias("_met")).filter("_met = 1").drop("_met")
+
+
+def _judged(for_sketch: DataFrame, measured: DataFrame, lang: str, source: str) -> DataFrame:
+    """measured with `base_failed` and `kept`.
+
+    The fences are written: their known size lets Spark broadcast them while they are small;
+    beyond that the join shuffles, and adaptive execution splits a hot language and source."""
+    row_lang, row_source = F.col("row")[lang], F.col("row")[source]
+    sketch = written(sketches(for_sketch, row_lang, row_source), "sketch")
+    limits = written(fences(sketch), "fences").select(F.struct("*").alias("fence"))
     judged = measured.withColumn("base_failed", base_failed()).join(
         limits,
         row_lang.eqNullSafe(F.col("fence.lang")) & row_source.eqNullSafe(F.col("fence.source")),
@@ -221,7 +238,4 @@ def adaptive_rules(
         verdict = verdict & F.coalesce(of[name] <= F.col(f"fence.{name}_high"), F.lit(True))
         if below is not None:
             verdict = verdict & F.coalesce(of[name] >= F.col(f"fence.{name}_low"), F.lit(True))
-    return judged.select(
-        "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        verdict.alias("kept"),
-    )
+    return judged.withColumn("kept", verdict)
