@@ -205,7 +205,12 @@ def parse(page: str | None) -> tuple[list[dict], list[dict]]:
         blocks = inside  # a form; one that holds most of the page is a frame around it
     if not any(b["main"] for b in blocks):
         blocks = [b for b in blocks if not b["links"]] or []
-    styles = [{"key": n.key, "style": _hash(" ".join(n.children)), "kinds": len(set(n.children))} for n in nodes]
+    looks: dict[int, set[str]] = {}  # a node's styles on this page, taken together
+    for n in nodes:
+        looks.setdefault(n.key, set()).add(" ".join(n.children))
+    styles = [
+        {"key": k, "style": _hash("|".join(sorted(v))), "kinds": len(set(" ".join(v).split()))} for k, v in looks.items()
+    ]
     return blocks, styles
 
 
