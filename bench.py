@@ -51,9 +51,6 @@ def session(cpus):
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
-        # The JVM compiles no method above 8000 bytes; beyond that, separate
-        # operators are faster than one fused loop.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -95,7 +92,8 @@ def main():
             run = lambda: QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             seconds[name] = median(run, runs)
     if "backfill_24_months" in names:
-        with tempfile.TemporaryDirectory(prefix="bench-") as folder:
+        # BENCH_FOLDER: a folder that all executors share, on a cluster.
+        with tempfile.TemporaryDirectory(prefix="bench-", dir=os.environ.get("BENCH_FOLDER")) as folder:
             sources = write_csv_sources(spark, sf_dir, f"{folder}/csv")
             run = lambda: backfill(spark, sources, f"{folder}/mart")
             seconds["backfill_24_months"] = median(run, 1)

@@ -28,7 +28,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SLICE_DAY = date(2023, 6, 1)
 FIRST_YEAR = snapshots.month_starts("2023-01-01", "2023-12-01")
-SECOND_YEAR = snapshots.month_starts("2024-01-01", "2024-12-01")
 
 _SILVER = {
     "clickstream": silver_clickstream,
@@ -46,17 +45,16 @@ def _bronze(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return rewrite_present(raw_table(spark, sf_dir, table), {"snapshot_date": lenient_date})
 
 
-def _gold(spark: SparkSession, sf_dir: str, *, with_loans: bool = False, months=None) -> DataFrame:
-    def table(name: str) -> DataFrame:
-        df = _silver(spark, sf_dir, name)
-        return df if months is None else df.where(snapshots.on_snapshots(months))
+def _gold(spark: SparkSession, sf_dir: str, *, with_loans: bool = False) -> DataFrame:
+    tables = [_silver(spark, sf_dir, name) for name in ("clickstream", "attributes", "financials")]
+    if not with_loans:
+        return gold.gold_features(*tables)
+    return _rounded_sum(gold.gold_features(*tables, _silver(spark, sf_dir, "loan_daily")))
 
-    return gold.gold_features(
-        table("clickstream"),
-        table("attributes"),
-        table("financials"),
-        table("loan_daily") if with_loans else None,
-    )
+
+def _rounded_sum(df: DataFrame) -> DataFrame:
+    """A sum of doubles depends on the order of addition; cents do not."""
+    return df.withColumn("loan_amt_sum", F.round("loan_amt_sum", 2))
 
 
 def _performance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,9 +77,17 @@ def off_spine_rows(spark, sf_dir):
 
 
 def feature_store_union(spark, sf_dir):
-    first = _gold(spark, sf_dir, months=FIRST_YEAR)
-    second = _gold(spark, sf_dir, months=SECOND_YEAR)
-    return snapshots.union_snapshots([first, second.select(*reversed(second.columns))])
+    """The feature store over all its snapshots: inputs are deduplicated and joined once, for all months."""
+    features = _gold(spark, sf_dir)
+    return snapshots.union_snapshots([features.select(*reversed(features.columns))])
+
+
+def label_store_union(spark, sf_dir):
+    """The label stores of one year and of all other dates, their columns in another order."""
+    labels = gold.gold_labels(_silver(spark, sf_dir, "loan_daily"))
+    first = F.coalesce(snapshots.on_snapshots(FIRST_YEAR), F.lit(False))
+    rest = labels.where(~first)
+    return snapshots.union_snapshots([labels.where(first), rest.select(*reversed(rest.columns))])
 
 
 def row_counts_by_stage(spark, sf_dir):
@@ -273,7 +279,7 @@ def keep_first_clickstream(spark, sf_dir):
 
 
 def loan_summary(spark, sf_dir):
-    return loans.loan_summary(_silver(spark, sf_dir, "loan_daily"))
+    return _rounded_sum(loans.loan_summary(_silver(spark, sf_dir, "loan_daily")))
 
 
 def gold_labels(spark, sf_dir):
@@ -341,5 +347,6 @@ QUERIES: dict[str, Query] = {
     "bad_rate_by_mob": bad_rate_by_mob,
     "final_installment_rows": final_installment_rows,
     "feature_store_union": feature_store_union,
+    "label_store_union": label_store_union,
     "row_counts_by_stage": row_counts_by_stage,
 }

@@ -30,7 +30,7 @@ def _round(value: str, scale: int) -> str:
 
 
 def _strip(c: str) -> str:
-    return f"regexp_replace({c}, '[^0-9.]', '', 'g')"
+    return f"regexp_replace({c}, '{credit.DIRT}', '', 'g')"
 
 
 def _dirty(c: str, scale: int | None, zero: bool = False, signed: bool = False) -> str:
@@ -220,18 +220,23 @@ def _gold() -> str:
 
 _LOAN_SUMMARY = (
     f"SELECT {_KEYS}, count(*) AS loan_cnt, "
-    "cast(sum(cast(loan_amt AS decimal(28,6))) AS double) AS loan_amt_sum, max(overdue_amt) AS max_overdue "
+    "round(sum(loan_amt), 2) AS loan_amt_sum, max(overdue_amt) AS max_overdue "
     f"FROM silver_loan_daily GROUP BY {_KEYS}"
 )
 
 _PERFORMANCE = """
-SELECT *, cast(coalesce(date_diff('day', first_missed_date, snapshot_date), 0) AS integer) AS dpd FROM (
-  SELECT *, CASE WHEN installments_missed > 0
-    THEN cast(snapshot_date - to_months(installments_missed) AS date) END AS first_missed_date FROM (
-      SELECT *, installment_num AS mob,
-        CASE WHEN overdue_amt > 0 AND due_amt > 0 THEN cast(ceil(overdue_amt / due_amt) AS integer) ELSE 0 END
-          AS installments_missed
-      FROM silver_loan_daily) counted) dated
+SELECT *,
+  CASE WHEN installments_missed > 0 AND snapshot_date IS NOT NULL
+    THEN date_diff('day', cast(snapshot_date - to_months(cast(installments_missed % 4800 AS integer)) AS date), snapshot_date)
+      + (installments_missed // 4800) * 146097
+    ELSE 0 END AS dpd,
+  CASE WHEN installments_missed > 0 AND installments_missed <= (year(snapshot_date) - 1) * 12 + month(snapshot_date) - 1
+    THEN cast(snapshot_date - to_months(cast(installments_missed AS integer)) AS date) END AS first_missed_date
+FROM (
+  SELECT *, installment_num AS mob,
+    CASE WHEN overdue_amt > 0 AND due_amt > 0 THEN cast(ceil(overdue_amt / due_amt) AS bigint) ELSE 0 END
+      AS installments_missed
+  FROM silver_loan_daily) counted
 """
 
 _LABELS = (
@@ -574,6 +579,7 @@ ORACLE: dict[str, str] = {
         "SELECT * FROM silver_loan_daily WHERE installment_num = 10", "silver_loan_daily"
     ),
     "feature_store_union": _query("SELECT * FROM gold", "gold"),
+    "label_store_union": _query("SELECT * FROM labels", "labels"),
     "row_counts_by_stage": _query(
         " UNION ALL ".join(
             [

@@ -25,6 +25,9 @@ MIN_PAYMENT_ANSWERS = ("Yes", "No", "NM")
 
 UNKNOWN_OCCUPATION = "_______"
 
+# What dirty amounts are stripped of.
+DIRT = r"[^\d.]"
+
 # Inclusive upper bound and label.
 AGE_BANDS = (
     (17, "<18"),
@@ -37,8 +40,16 @@ AGE_BANDS = (
     (None, "76+"),
 )
 AGE_LABELS = tuple(label for _, label in AGE_BANDS)
-# The ages of the bands that are kept: all but <18, 66-75 and 76+.
-AGES_KEPT = (18, 65)
+AGE_LABELS_REMOVED = ("<18", "66-75", "76+")
+
+
+def _ages_kept() -> tuple[int, int]:
+    """The first and the last age of the bands that are kept, which lie side by side."""
+    kept = [i for i, (_, label) in enumerate(AGE_BANDS) if label not in AGE_LABELS_REMOVED]
+    return AGE_BANDS[kept[0] - 1][0] + 1, AGE_BANDS[kept[-1]][0]
+
+
+AGES_KEPT = _ages_kept()
 
 SPEND_LEVEL = r"^(High|Low)_spent_"
 PAYMENT_VALUE = r"_spent_(Small|Medium|Large)_value$"

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from siltstone import credit
 from siltstone.functions.casts import lenient_double, lenient_int
 
 
@@ -15,7 +16,7 @@ def digits_and_points(c: Column) -> Column:
 
     Clean text is only searched, which costs a quarter of a replacement.
     """
-    return F.when(c.rlike("[^0-9.]"), F.regexp_replace(c, "[^0-9.]", "")).otherwise(c)
+    return F.when(c.rlike(credit.DIRT), F.regexp_replace(c, credit.DIRT, "")).otherwise(c)
 
 
 def clean_number(

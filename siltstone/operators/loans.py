@@ -10,35 +10,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.cleaning import flag_at_least
 
-# Beyond this many missed installments the count saturates, so that the date
-# arithmetic on dirty amounts cannot overflow.
-MISSED_MAX = 24_000
-
-# Amounts below this bound are summed exactly as decimals.
-EXACT_BOUND = 1e20
-
-
-def exact_sum(c: Column) -> Column:
-    """Sum of a DOUBLE which does not depend on the order of addition.
-
-    Adds with six decimal places; falls back to the plain sum where a value is
-    too large for that, NaN or infinite.
-    """
-    fits = F.abs(c) < EXACT_BOUND
-    as_decimal = F.sum(F.when(fits, c).try_cast("decimal(28,6)")).cast("double")
-    return F.when(F.count_if(c.isNotNull() & ~fits) == 0, as_decimal).otherwise(F.sum(c))
+# The calendar repeats after this many months, which have this many days.
+CYCLE_MONTHS, CYCLE_DAYS = 4800, 146_097
 
 
 def loan_summary(df: DataFrame, keys: Sequence[str] = ("Customer_ID", "snapshot_date")) -> DataFrame:
     """Number of loans, their total amount and the largest overdue amount per key."""
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("loan_cnt"),
-        exact_sum(F.col("loan_amt")).alias("loan_amt_sum"),
+        F.sum("loan_amt").alias("loan_amt_sum"),
         F.max("overdue_amt").alias("max_overdue"),
     )
 
@@ -47,18 +32,25 @@ def with_days_past_due(df: DataFrame) -> DataFrame:
     """Adds ``mob``, ``installments_missed``, ``first_missed_date`` and ``dpd``.
 
     ``mob`` (months on book) is the installment number. A loan has missed
-    ``ceil(overdue / due)`` installments, none where nothing is due or overdue;
-    the first missed one lies that many months before the snapshot, and ``dpd``
-    is the number of days since then.
+    ``ceil(overdue / due)`` installments (BIGINT), none where nothing is due or
+    overdue; the first missed one lies that many months before the snapshot, and
+    ``dpd`` (BIGINT) is the number of days since then. Where that month lies before
+    year 1, ``first_missed_date`` is null and ``dpd`` counts on in the same calendar:
+    whole cycles of 400 years and the months left over.
     """
     overdue, due, day = F.col("overdue_amt"), F.col("due_amt"), F.col("snapshot_date")
+    missed = F.col("installments_missed")
     owed = (overdue > 0) & (due > 0)
-    missed = F.when(owed, F.least(F.ceil(F.try_divide(overdue, due)), F.lit(MISSED_MAX))).otherwise(F.lit(0))
-    first = F.when(F.col("installments_missed") > 0, F.add_months(day, -F.col("installments_missed")))
+    count = F.when(owed, F.ceil(F.try_divide(overdue, due))).otherwise(F.lit(0)).cast("bigint")
+    since_year_one = (F.year(day) - 1) * 12 + F.month(day) - 1
+    first = F.when((missed > 0) & (missed <= since_year_one), F.add_months(day, -missed.cast("int")))
+    left_over = F.datediff(day, F.add_months(day, -(missed % CYCLE_MONTHS).cast("int"))).cast("bigint")
+    cycles = F.try_multiply(F.floor(missed / CYCLE_MONTHS).cast("bigint"), F.lit(CYCLE_DAYS).cast("bigint"))
+    days = F.coalesce(F.try_add(cycles, left_over), F.lit((1 << 63) - 1))
     return (
-        df.withColumns({"mob": F.col("installment_num"), "installments_missed": missed.cast("int")})
+        df.withColumns({"mob": F.col("installment_num"), "installments_missed": count})
         .withColumn("first_missed_date", first)
-        .withColumn("dpd", F.coalesce(F.datediff(day, F.col("first_missed_date")), F.lit(0)))
+        .withColumn("dpd", F.when((missed > 0) & day.isNotNull(), days).otherwise(F.lit(0)).cast("bigint"))
     )
 
 

@@ -38,12 +38,18 @@ def date_spine(df: DataFrame, column: str = SNAPSHOT) -> DataFrame:
 
 
 def spine_counts(df: DataFrame, column: str = SNAPSHOT) -> DataFrame:
-    """Rows per month of the spine; a month without rows counts 0."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
-    return (
-        date_spine(counts, column)
-        .join(counts, column, "left")
-        .select(column, F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count"))
+    """Rows per month of the spine; a month without rows counts 0.
+
+    One pass: the counts, a row per date, give both the bounds and what is looked up.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
+    one = counts.agg(
+        F.min(column).alias("lo"),
+        F.max(column).alias("hi"),
+        F.map_from_entries(F.collect_list(F.struct(column, "row_count"))).alias("found"),
+    )
+    return one.select("found", F.explode(spine_between(F.col("lo"), F.col("hi"))).alias(column)).select(
+        column, F.coalesce(F.try_element_at("found", column), F.lit(0).cast("bigint")).alias("row_count")
     )
 
 

@@ -93,7 +93,8 @@ def build_labels(
 ) -> WriteCounts:
     """The gold label store."""
     loans = read_snapshots(spark, layout.table("silver", "loan_daily"), months)
-    return write_snapshots(gold_labels(loans, dpd=dpd, mob=mob), layout.table("gold", "label_store"), months)
+    labels = gold_labels(loans, dpd=dpd, mob=mob)  # narrow: lies by month as its input does
+    return write_snapshots(labels, layout.table("gold", "label_store"), months, cluster=False)
 
 
 def backfill(

@@ -5,7 +5,6 @@ import re
 import pytest
 
 from siltstone.catalog.queries import QUERIES
-from siltstone.plans import silver
 from siltstone.plans.quality_report import profile_table
 from siltstone.sources.derived import TABLES, raw_table
 
@@ -22,10 +21,21 @@ def test_no_python_and_no_cross_join(spark, sf_dir, name):
 
 @pytest.mark.parametrize("table", TABLES)
 def test_silver_has_no_shuffle(spark, sf_dir, table):
-    raw = raw_table(spark, sf_dir, table)
-    text = spark.createDataFrame([tuple("x" for _ in raw.columns)] * 2, raw.schema)
-    plan = plan_of(getattr(silver, f"silver_{table}")(text))
+    plan = plan_of(QUERIES[f"silver_{table}"](spark, sf_dir))
     assert "Exchange" not in plan and "Window" not in plan
+    assert plan.count("FileScan") == 1
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_round_robin(spark, sf_dir, name):
+    assert "RoundRobin" not in plan_of(QUERIES[name](spark, sf_dir))
+
+
+@pytest.mark.parametrize(
+    ("name", "scans"), [("date_spine", 1), ("feature_store_union", 3), ("label_store_union", 2), ("gold_labels", 1)]
+)
+def test_scans(spark, sf_dir, name, scans):
+    assert plan_of(QUERIES[name](spark, sf_dir)).count("FileScan") == scans
 
 
 @pytest.mark.parametrize("table", TABLES)
@@ -41,7 +51,7 @@ def test_gold_shuffles_each_input_once(spark, sf_dir):
         plan = plan_of(QUERIES["gold_features"](spark, sf_dir))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert plan.count("Exchange hashpartitioning") == 3
+    assert plan.count("Exchange ") == plan.count("Exchange hashpartitioning") == 3
     assert plan.count("FileScan") == 3
 
 
