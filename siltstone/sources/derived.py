@@ -41,13 +41,14 @@ _K = "c_custkey"
 
 ATTRIBUTES = {
     "Customer_ID": _customer_id(_K),
-    "Name": "c_name",
+    "Name": f"CASE {_K} % 4 WHEN 0 THEN 'Anna Smith' WHEN 1 THEN 'A' WHEN 2 THEN repeat('Long Name ', 30) ELSE c_name END",
     "Age": f"CASE WHEN {_K} % 37 = 0 THEN NULL WHEN {_K} % 11 = 0 "
     f"THEN concat(cast(12 + {_K} % 70 AS string), '_') ELSE cast(12 + {_K} % 70 AS string) END",
     "SSN": f"CASE WHEN {_K} % 13 = 0 THEN 'invalid-ssn' ELSE concat(cast(100 + {_K} % 900 AS string), '-', "
     f"cast(10 + {_K} % 90 AS string), '-', cast(1000 + {_K} % 9000 AS string)) END",
     "Occupation": f"CASE WHEN {_K} % 17 = 0 THEN '_______' ELSE c_mktsegment END",
-    "snapshot_date": _month(f"{_K} % 24"),
+    # Not always the month of the customer's financials.
+    "snapshot_date": _month(f"({_K} + {_K} % 5 % 2) % 24"),
 }
 
 FINANCIALS = {
@@ -89,21 +90,25 @@ CLICKSTREAM = {
         f"ELSE cast((o_orderkey * 31 + {i} * 17) % 401 - 200 AS string) END"
         for i, name in enumerate(CLICK_FEATURES, start=1)
     },
-    "snapshot_date": _month("o_custkey % 24"),
+    # The orders of a customer fall into three months.
+    "snapshot_date": _month("(o_custkey + o_orderkey % 3) % 24"),
 }
 
 # One row per order and installment number `i`, 0 to LAST_INSTALLMENT.
 LOAN_DAILY = {
     "loan_id": f"concat({_customer_id('o_custkey')}, '_', replace({_month('o_custkey % 14')}, '-', '_'))",
     "Customer_ID": _customer_id("o_custkey"),
-    "loan_start_date": f"CASE WHEN o_orderkey % 53 = 0 THEN '2023-02-30' ELSE {_month('o_custkey % 14')} END",
+    "loan_start_date": f"CASE o_orderkey % 53 WHEN 0 THEN '2023-02-30' WHEN 1 THEN '2023-1-5' WHEN 2 THEN 'soon' "
+    f"WHEN 3 THEN '01.03.2023' ELSE {_month('o_custkey % 14')} END",
     "tenure": "CASE WHEN o_orderkey % 59 = 0 THEN '10.5' ELSE '10' END",
     "installment_num": "cast(i AS string)",
-    "loan_amt": _money("o_totalprice"),
-    "due_amt": f"concat('$', {_money('1000 + o_orderkey % 100')})",
+    "loan_amt": _suffix_if("o_orderkey % 61 = 0", _money("o_totalprice"), "_"),
+    "due_amt": f"concat(CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE '$' END, {_money('1000 + o_orderkey % 100')})",
     "paid_amt": f"CASE WHEN (o_orderkey + i) % 4 = 0 THEN {_money('0')} ELSE {_money('1000')} END",
-    "overdue_amt": f"CASE WHEN i = 0 THEN NULL ELSE {_money('((o_orderkey + i) % 4) * 1000')} END",
-    "balance": _money("cast(o_totalprice AS decimal(14,2)) * (10 - i) * 0.1"),
+    "overdue_amt": f"CASE WHEN i = 0 THEN NULL "
+    # More installments missed than the calendar has months before the snapshot.
+    f"WHEN o_orderkey % 101 = 7 THEN '60000000' ELSE {_money('((o_orderkey + i) % 4) * 1000')} END",
+    "balance": _suffix_if("o_orderkey % 67 = 0", _money("cast(o_totalprice AS decimal(14,2)) * (10 - i) * 0.1"), "_"),
     "snapshot_date": _month("o_custkey % 14 + i"),
 }
 
