@@ -27,8 +27,8 @@ from siltstone.plans.silver import (
     silver_loan_daily,
 )
 from siltstone.sources.snapshot_store import (
+    NoSnapshotsError,
     WriteCounts,
-    list_snapshots,
     read_snapshots,
     write_snapshots,
 )
@@ -139,7 +139,10 @@ def backfill(
 def read_back(spark: SparkSession, root: str, name: str = "feature_store") -> DataFrame:
     """A whole gold table over all its snapshots; an error where there is none."""
     path = Layout(root).table("gold", name)
-    return read_snapshots(spark, path, list_snapshots(spark, path))
+    table = read_snapshots(spark, path)
+    if table.isEmpty():
+        raise NoSnapshotsError(f"no snapshots in {path}")
+    return table
 
 
 def _together(jobs: Mapping[tuple[str, str], Callable[[], WriteCounts]]) -> dict[tuple[str, str], WriteCounts]:
