@@ -16,29 +16,18 @@ from siltstone.operators import loans, quality, snapshots
 from siltstone.operators.dedup import duplicate_keys, keep_first
 from siltstone.operators.rules import rewrite_present
 from siltstone.plans import gold, quality_report
-from siltstone.plans.silver import (
-    silver_attributes,
-    silver_clickstream,
-    silver_financials,
-    silver_loan_daily,
-)
-from siltstone.sources.derived import TABLES, raw_table, raw_tables
+from siltstone.plans.stage_counts import row_counts
+from siltstone.plans.silver import CLEANERS, silver_financials, silver_loan_daily
+from siltstone.sources.derived import raw_table, raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SLICE_DAY = date(2023, 6, 1)
 FIRST_YEAR = snapshots.month_starts("2023-01-01", "2023-12-01")
 
-_SILVER = {
-    "clickstream": silver_clickstream,
-    "attributes": silver_attributes,
-    "financials": silver_financials,
-    "loan_daily": silver_loan_daily,
-}
-
 
 def _silver(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return _SILVER[table](raw_table(spark, sf_dir, table))
+    return CLEANERS[table](raw_table(spark, sf_dir, table))
 
 
 def _bronze(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -91,19 +80,8 @@ def label_store_union(spark, sf_dir):
 
 
 def row_counts_by_stage(spark, sf_dir):
-    def stage(zone, table, df):
-        return df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(zone).alias("zone"), F.lit(table).alias("table_name"), "row_count"
-        )
-
-    return snapshots.union_snapshots(
-        [
-            *[stage("bronze", table, _bronze(spark, sf_dir, table)) for table in TABLES],
-            *[stage("silver", table, _silver(spark, sf_dir, table)) for table in TABLES],
-            stage("gold", "feature_store", _gold(spark, sf_dir)),
-            stage("gold", "label_store", gold.gold_labels(_silver(spark, sf_dir, "loan_daily"))),
-        ]
-    )
+    """Rows of every table of every zone; each raw table is read once."""
+    return row_counts(raw_tables(spark, sf_dir))
 
 
 # --- silver
@@ -239,6 +217,25 @@ def invalid_day_reasons(spark, sf_dir):
     return reasons.groupBy("loan_start_date", "reason").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def loan_day_patterns(spark, sf_dir):
+    """The most frequent bad texts of both dates of a loan, each with what is wrong with it."""
+    raw = raw_table(spark, sf_dir, "loan_daily")
+    days = ("loan_start_date", "snapshot_date")
+    return snapshots.union_snapshots([quality_report.day_patterns(raw, name) for name in days])
+
+
+def invalid_loan_day_samples(spark, sf_dir):
+    """Rows with a bad start date, with the columns that identify them."""
+    rule = quality.Rule("strict_day", "loan_start_date", validity.is_strict_day)
+    ids = ("loan_id", "Customer_ID", "installment_num")
+    return quality.invalid_samples(raw_table(spark, sf_dir, "loan_daily"), rule, 20, ids=ids)
+
+
+def invalid_customer_samples(spark, sf_dir):
+    rule = quality.Rule("ssn", "SSN", lambda c: validity.matches(c, validity.SSN))
+    return quality.invalid_samples(raw_table(spark, sf_dir, "attributes"), rule, ids=("Customer_ID", "Name"))
+
+
 def occupation_counts(spark, sf_dir):
     return quality.value_counts(raw_table(spark, sf_dir, "attributes"), "Occupation", nulls=True)
 
@@ -330,6 +327,9 @@ QUERIES: dict[str, Query] = {
     "invalid_samples": invalid_samples,
     "invalid_patterns": invalid_patterns,
     "invalid_day_reasons": invalid_day_reasons,
+    "loan_day_patterns": loan_day_patterns,
+    "invalid_loan_day_samples": invalid_loan_day_samples,
+    "invalid_customer_samples": invalid_customer_samples,
     "occupation_counts": occupation_counts,
     "unknown_occupation": unknown_occupation,
     "distinct_occupations": distinct_occupations,

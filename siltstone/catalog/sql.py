@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from siltstone import credit
 from siltstone.functions import validity as v
-from siltstone.sources.derived import TABLES, raw_sql
+from siltstone.sources.derived import FINANCIALS, TABLES, raw_sql
 
 _KEYS = ", ".join(credit.KEYS)
 
@@ -191,22 +191,8 @@ def _first_rows(table: str, columns: list[str]) -> str:
     )
 
 
-_FIN_COLUMNS = [
-    *_RAW_FINANCIALS,
-    *credit.COUNT_COLUMNS,
-    "Annual_Income",
-    "Monthly_Inhand_Salary",
-    "Changed_Credit_Limit",
-    "Outstanding_Debt",
-    "Credit_Utilization_Ratio",
-    "Total_EMI_per_month",
-    "Amount_invested_monthly",
-    "Monthly_Balance",
-    "Payment_of_Min_Amount",
-    "Spend_Level",
-    "Payment_Value",
-    "snapshot_date",
-]
+# In the order of the raw table: rows of one key are ordered by their columns in turn.
+_FIN_COLUMNS = [*FINANCIALS, "Spend_Level", "Payment_Value"]
 
 
 def _gold() -> str:
@@ -331,8 +317,8 @@ def _profile_lines(table: str) -> list[str]:
             "Monthly_Balance",
         )
         return [
-            *_family(table, "whole_number", {c: _is_whole(c) for c in credit.COUNT_COLUMNS[:6]}),
-            _line(table, "Num_Credit_Inquiries", "whole_number", _is_whole("Num_Credit_Inquiries")),
+            *_family(table, "whole_number", {c: _is_whole(c) for c in credit.ACCOUNT_COUNTS}),
+            _line(table, credit.INQUIRIES, "whole_number", _is_whole(credit.INQUIRIES)),
             _line(table, "Customer_ID", "customer_id", customer),
             *[_line(table, c, "plain_number", _match(c, v.PLAIN_NUMBER)) for c in plain],
             *[
@@ -426,6 +412,16 @@ def _stage(zone: str, table: str, relation: str) -> str:
     return f"SELECT '{zone}' AS zone, '{table}' AS table_name, count(*) AS row_count FROM {relation}"
 
 
+def _day_patterns(column: str) -> str:
+    return (
+        f"SELECT * FROM (SELECT '{column}' AS column_name, {column} AS pattern, count(*) AS row_count, "
+        f"CASE WHEN try_cast({column} AS date) IS NULL THEN 'Invalid Format' "
+        "ELSE 'Valid Format but Invalid Date' END AS reason FROM raw_loan_daily "
+        f"WHERE {column} IS NOT NULL AND {_strict_day(column)} IS NULL GROUP BY ALL "
+        f"ORDER BY row_count DESC, pattern LIMIT 5) top_{column}"
+    )
+
+
 _AGE = _whole_part("replace(Age, '_', '')")
 _AGE_TRUNCATED = f"cast(trunc({_double('replace(Age, chr(95), chr(32))')}) AS integer)"
 
@@ -531,6 +527,20 @@ ORACLE: dict[str, str] = {
         f"WHERE {_strict_day('loan_start_date')} IS NULL GROUP BY 1, 2",
         "raw_loan_daily",
     ),
+    "loan_day_patterns": _query(
+        " UNION ALL ".join(_day_patterns(c) for c in ("loan_start_date", "snapshot_date")), "raw_loan_daily"
+    ),
+    "invalid_loan_day_samples": _query(
+        "SELECT DISTINCT loan_id, Customer_ID, installment_num, loan_start_date FROM raw_loan_daily "
+        f"WHERE {_strict_day('loan_start_date')} IS NULL "
+        "ORDER BY loan_start_date, loan_id, Customer_ID, installment_num LIMIT 20",
+        "raw_loan_daily",
+    ),
+    "invalid_customer_samples": _query(
+        f"SELECT DISTINCT Customer_ID, Name, SSN FROM raw_attributes WHERE NOT {_match('SSN', v.SSN)} "
+        "ORDER BY SSN, Customer_ID, Name LIMIT 10",
+        "raw_attributes",
+    ),
     "occupation_counts": _query(_counts("raw_attributes", "Occupation", "Occupation"), "raw_attributes"),
     "unknown_occupation": _query(
         "SELECT * FROM raw_attributes WHERE Occupation = '_______'", "raw_attributes"

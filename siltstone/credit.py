@@ -7,15 +7,16 @@ KEYS = ("Customer_ID", "snapshot_date")
 
 CLICK_FEATURES = tuple(f"fe_{i}" for i in range(1, 21))
 
-COUNT_COLUMNS = (
+ACCOUNT_COUNTS = (
     "Num_Bank_Accounts",
     "Num_Credit_Card",
     "Interest_Rate",
     "Num_of_Loan",
     "Delay_from_due_date",
     "Num_of_Delayed_Payment",
-    "Num_Credit_Inquiries",
 )
+INQUIRIES = "Num_Credit_Inquiries"
+COUNT_COLUMNS = (*ACCOUNT_COUNTS, INQUIRIES)
 
 LOAN_COUNT_COLUMNS = ("tenure", "installment_num")
 

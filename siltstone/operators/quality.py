@@ -18,13 +18,17 @@ ANY_OF_FAMILY = "*"
 class Rule:
     """A named check of one column; null counts as a failure.
 
-    ``distinct`` also asks for the number of distinct failing values.
+    ``distinct`` also asks for the number of distinct failing values: exactly, or
+    with a relative standard deviation of ``within``, in a sketch of fixed size.
+    The exact number makes a group per failing value, so choose ``within`` where
+    a table may hold very many of them.
     """
 
     name: str
     column: str
     check: Callable[[Column], Column]
     distinct: bool = False
+    within: float | None = None
 
     def passes(self) -> Column:
         return holds(self.check(F.col(self.column)))
@@ -38,6 +42,7 @@ class RowRule:
     column: str
     condition: Column
     distinct: bool = False
+    within: float | None = None
 
     def passes(self) -> Column:
         return holds(self.condition)
@@ -66,7 +71,9 @@ def profile(df: DataFrame, table: str, rules: Sequence[Rule | RowRule]) -> DataF
         counters.append(F.count_if(failing).alias(f"invalid_{index}"))
         distinct = F.lit(None).cast("bigint")
         if rule.distinct:
-            counters.append(F.count_distinct(F.when(failing, F.col(rule.column))).alias(f"distinct_{index}"))
+            bad = F.when(failing, F.col(rule.column))
+            number = F.count_distinct(bad) if rule.within is None else F.approx_count_distinct(bad, rule.within)
+            counters.append(number.alias(f"distinct_{index}"))
             distinct = F.col(f"distinct_{index}")
         nulls = F.lit(None).cast("bigint")
         if rule.column in known:
@@ -108,14 +115,25 @@ def invalid_rows(df: DataFrame, rule: Rule | RowRule) -> DataFrame:
     return df.where(~rule.passes())
 
 
-def invalid_samples(df: DataFrame, rule: Rule, n: int = 10) -> DataFrame:
-    """The ``n`` smallest distinct values that fail a rule."""
-    return invalid_rows(df, rule).select(rule.column).distinct().orderBy(F.col(rule.column).asc_nulls_first()).limit(n)
+def invalid_samples(df: DataFrame, rule: Rule, n: int = 10, *, ids: Sequence[str] = ()) -> DataFrame:
+    """The ``n`` smallest distinct values that fail a rule.
+
+    With ``ids``, the columns that identify a row: the first ``n`` distinct rows of ids and
+    value, in the order of the value, then of the ids.
+    """
+    order = [F.col(name).asc_nulls_first() for name in (rule.column, *ids)]
+    return invalid_rows(df, rule).select(*ids, rule.column).distinct().orderBy(*order).limit(n)
 
 
-def invalid_patterns(df: DataFrame, rule: Rule, n: int = 5) -> DataFrame:
-    """The ``n`` most frequent non-null values that fail a rule, ties by value."""
-    return value_counts(invalid_rows(df, rule), rule.column).limit(n)
+def invalid_patterns(
+    df: DataFrame, rule: Rule, n: int = 5, *, reason: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """The ``n`` most frequent non-null values that fail a rule, ties by value.
+
+    ``reason`` adds what it tells of a value: it is worked out for the ``n`` values only.
+    """
+    found = value_counts(invalid_rows(df, rule), rule.column).limit(n)
+    return found if reason is None else found.withColumn("reason", reason(F.col(rule.column)))
 
 
 def value_counts(df: DataFrame, column: str, *, nulls: bool = False) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Rules which apply only to the columns a table has."""
+"""Rules which apply only to the columns a table has.
+
+Filters drop rows, or mark them: on a table from `marking`, they only clear its column
+MARK, so that one pass can tell the rows before and after all filters.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.functions.validity import holds
+
+MARK = "_kept"
+
+
+def marking(df: DataFrame) -> DataFrame:
+    """The table with a column MARK, true for now, that the filters below clear instead of dropping rows."""
+    return df.withColumn(MARK, F.lit(True))
+
+
+def _filtered(df: DataFrame, condition: Column) -> DataFrame:
+    if MARK in df.columns:
+        return df.withColumn(MARK, F.col(MARK) & holds(condition))
+    return df.where(condition)
+
 
 def rewrite_present(df: DataFrame, rules: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
     """Rewrites in one projection each named column that ``df`` has."""
@@ -26,7 +45,7 @@ def keep_where(
     missing = [name for name in names if name not in df.columns]
     if missing and required:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    return df if missing else df.where(condition(*[F.col(name) for name in names]))
+    return df if missing else _filtered(df, condition(*[F.col(name) for name in names]))
 
 
 def drop_null_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -37,4 +56,4 @@ def drop_null_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     number once the columns are computed ones.
     """
     present = [F.col(name).isNotNull() for name in columns if name in df.columns]
-    return df.where(reduce(Column.__and__, present)) if present else df
+    return _filtered(df, reduce(Column.__and__, present)) if present else df

@@ -20,12 +20,7 @@ from siltstone.functions.casts import lenient_date
 from siltstone.operators.rules import rewrite_present
 from siltstone.operators.snapshots import SNAPSHOT, month_starts
 from siltstone.plans.gold import gold_features, gold_labels
-from siltstone.plans.silver import (
-    silver_attributes,
-    silver_clickstream,
-    silver_financials,
-    silver_loan_daily,
-)
+from siltstone.plans.silver import CLEANERS
 from siltstone.sources.snapshot_store import (
     NoSnapshotsError,
     WriteCounts,
@@ -33,13 +28,6 @@ from siltstone.sources.snapshot_store import (
     write_snapshots,
 )
 
-CLEANERS: Mapping[str, Callable[[DataFrame], DataFrame]] = {
-    "clickstream": silver_clickstream,
-    "attributes": silver_attributes,
-    "financials": silver_financials,
-    "loan_daily": silver_loan_daily,
-}
-
 
 @dataclass(frozen=True)
 class Layout:
@@ -56,14 +44,24 @@ def all_months() -> list[date]:
     return month_starts(credit.FIRST_SNAPSHOT, credit.LAST_SNAPSHOT)
 
 
-def land_bronze(raw: DataFrame, path: str, months: Sequence[date], *, full: bool = True) -> WriteCounts:
+def land_bronze(
+    raw: DataFrame,
+    path: str,
+    months: Sequence[date],
+    *,
+    full: bool = True,
+    cluster: bool = True,
+    file_format: str = "parquet",
+) -> WriteCounts:
     """Raw text to the bronze table, sliced by snapshot; values stay as they came.
 
     ``full`` also counts the rows of no wanted month; leave it out for a run
-    over a few months, which then filters before it shuffles.
+    over a few months, which then filters before it shuffles. ``cluster`` and
+    ``file_format`` are those of `write_snapshots`: without clustering nothing is
+    shuffled, which suits raw files that already lie by month.
     """
     dated = rewrite_present(raw, {SNAPSHOT: lenient_date})
-    return write_snapshots(dated, path, months, count_left_out=full)
+    return write_snapshots(dated, path, months, count_left_out=full, cluster=cluster, file_format=file_format)
 
 
 def build_silver(

@@ -6,6 +6,7 @@ for columns which a table lacks are skipped; the key columns are mandatory.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -46,7 +47,7 @@ def silver_attributes(raw: DataFrame) -> DataFrame:
         # Filtering by the age and not by its band keeps the condition small: the
         # optimizer writes the whole ladder out where a band is filtered.
         df = df.withColumn("Age", int_without_underscores(F.col("Age")))
-        df = df.where(F.col("Age").between(*credit.AGES_KEPT))
+        df = keep_where(df, "Age", lambda age: age.between(*credit.AGES_KEPT))
         df = df.withColumn("Age_Group", band(F.col("Age"), credit.AGE_BANDS))
     return cast_present(df, {"snapshot_date": "date"})
 
@@ -139,3 +140,11 @@ def silver_loan_daily(raw: DataFrame, *, keep_sign: bool = False) -> DataFrame:
         },
     )
     return drop_null_present(df, ["loan_start_date", *credit.LOAN_COUNT_COLUMNS])
+
+
+CLEANERS: Mapping[str, Callable[[DataFrame], DataFrame]] = {
+    "clickstream": silver_clickstream,
+    "attributes": silver_attributes,
+    "financials": silver_financials,
+    "loan_daily": silver_loan_daily,
+}

@@ -37,10 +37,20 @@ def _suffix_if(condition: str, text: str, suffix: str) -> str:
     return f"CASE WHEN {condition} THEN concat({text}, '{suffix}') ELSE {text} END"
 
 
+def _dated(key: str, month: str) -> str:
+    """The month, with faults by key: missing, impossible, unpadded, beyond all snapshots, no date."""
+    return (
+        f"CASE {key} % 71 WHEN 3 THEN NULL WHEN 4 THEN '2023-02-30' WHEN 5 THEN '2023-5-1' "
+        f"WHEN 6 THEN '2031-07-01' WHEN 8 THEN 'n/a' ELSE {month} END"
+    )
+
+
 _K = "c_custkey"
+# One customer in twenty has two rows of the same key.
+_OWNER = f"(CASE WHEN {_K} % 20 = 7 THEN {_K} - 1 ELSE {_K} END)"
 
 ATTRIBUTES = {
-    "Customer_ID": _customer_id(_K),
+    "Customer_ID": _customer_id(_OWNER),
     "Name": f"CASE {_K} % 4 WHEN 0 THEN 'Anna Smith' WHEN 1 THEN 'A' WHEN 2 THEN repeat('Long Name ', 30) ELSE c_name END",
     "Age": f"CASE WHEN {_K} % 37 = 0 THEN NULL WHEN {_K} % 11 = 0 "
     f"THEN concat(cast(12 + {_K} % 70 AS string), '_') ELSE cast(12 + {_K} % 70 AS string) END",
@@ -48,22 +58,22 @@ ATTRIBUTES = {
     f"cast(10 + {_K} % 90 AS string), '-', cast(1000 + {_K} % 9000 AS string)) END",
     "Occupation": f"CASE WHEN {_K} % 17 = 0 THEN '_______' ELSE c_mktsegment END",
     # Not always the month of the customer's financials.
-    "snapshot_date": _month(f"({_K} + {_K} % 5 % 2) % 24"),
+    "snapshot_date": _dated(_OWNER, _month(f"({_OWNER} + {_OWNER} % 5 % 2) % 24")),
 }
 
 FINANCIALS = {
-    "Customer_ID": _customer_id(_K),
+    "Customer_ID": _customer_id(_OWNER),
     "Annual_Income": _suffix_if(f"{_K} % 9 = 0", _text("cast(c_acctbal AS decimal(12,2)) * 12"), "_"),
     "Monthly_Inhand_Salary": f"CASE WHEN {_K} % 29 = 0 THEN NULL ELSE {_text('cast(c_acctbal AS decimal(12,2))')} END",
     "Num_Bank_Accounts": f"CASE WHEN {_K} % 23 = 0 THEN NULL WHEN {_K} % 19 = 0 "
     f"THEN concat(cast({_K} % 11 AS string), '_') ELSE cast({_K} % 11 AS string) END",
-    "Num_Credit_Card": _text(f"({_K} * 3) % 9"),
-    "Interest_Rate": f"concat(cast({_K} % 34 AS string), '.0')",
+    "Num_Credit_Card": _suffix_if(f"{_K} % 47 = 0", _text(f"({_K} * 3) % 9"), "_"),
+    "Interest_Rate": f"concat(cast({_K} % 34 AS string), CASE WHEN {_K} % 49 = 0 THEN '.5' ELSE '.0' END)",
     "Num_of_Loan": _suffix_if(f"{_K} % 31 = 0", _text(f"{_K} % 5"), "_"),
     "Type_of_Loan": f"CASE {_K} % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '   ' ELSE 'Auto Loan' END",
-    "Delay_from_due_date": _text(f"{_K} % 60 - 5"),
+    "Delay_from_due_date": _suffix_if(f"{_K} % 57 = 0", _text(f"{_K} % 60 - 5"), "_"),
     "Num_of_Delayed_Payment": _suffix_if(f"{_K} % 43 = 0", _text(f"{_K} % 25"), "_"),
-    "Changed_Credit_Limit": f"CASE WHEN {_K} % 15 = 0 THEN '_' ELSE {_money(f'{_K} % 2000 - 300')} END",
+    "Changed_Credit_Limit": f"CASE WHEN {_K} % 15 = 0 THEN '_' ELSE {_money(f'{_K} * 13 % 2000 - 300')} END",
     "Num_Credit_Inquiries": f"CASE WHEN {_K} % 27 = 0 THEN NULL ELSE concat(cast({_K} % 12 AS string), '.0') END",
     "Credit_Mix": "c_mktsegment",
     "Outstanding_Debt": f"CASE WHEN {_K} % 33 = 0 THEN NULL WHEN {_K} % 8 = 0 "
@@ -80,7 +90,7 @@ FINANCIALS = {
     f"CASE WHEN {_K} % 4 = 0 THEN '_payments' ELSE '' END)",
     "Monthly_Balance": f"CASE WHEN {_K} % 26 = 0 THEN NULL WHEN {_K} % 16 = 0 "
     f"THEN concat('-', {_money(f'{_K} % 1200')}) ELSE {_money(f'{_K} % 1200')} END",
-    "snapshot_date": _month(f"{_K} % 24"),
+    "snapshot_date": _dated(_OWNER, _month(f"{_OWNER} % 24")),
 }
 
 CLICKSTREAM = {
@@ -91,7 +101,7 @@ CLICKSTREAM = {
         for i, name in enumerate(CLICK_FEATURES, start=1)
     },
     # The orders of a customer fall into three months.
-    "snapshot_date": _month("(o_custkey + o_orderkey % 3) % 24"),
+    "snapshot_date": _dated("o_orderkey", _month("(o_custkey + o_orderkey % 3) % 24")),
 }
 
 # One row per order and installment number `i`, 0 to LAST_INSTALLMENT.
@@ -101,15 +111,15 @@ LOAN_DAILY = {
     "loan_start_date": f"CASE o_orderkey % 53 WHEN 0 THEN '2023-02-30' WHEN 1 THEN '2023-1-5' WHEN 2 THEN 'soon' "
     f"WHEN 3 THEN '01.03.2023' ELSE {_month('o_custkey % 14')} END",
     "tenure": "CASE WHEN o_orderkey % 59 = 0 THEN '10.5' ELSE '10' END",
-    "installment_num": "cast(i AS string)",
+    "installment_num": "CASE WHEN o_orderkey % 79 = 0 THEN 'first' ELSE cast(i AS string) END",
     "loan_amt": _suffix_if("o_orderkey % 61 = 0", _money("o_totalprice"), "_"),
     "due_amt": f"concat(CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE '$' END, {_money('1000 + o_orderkey % 100')})",
-    "paid_amt": f"CASE WHEN (o_orderkey + i) % 4 = 0 THEN {_money('0')} ELSE {_money('1000')} END",
+    "paid_amt": f"CASE WHEN (o_orderkey + i) % 4 = 0 THEN {_money('0')} WHEN o_orderkey % 73 = 0 THEN '1000.00_' ELSE {_money('1000')} END",
     "overdue_amt": f"CASE WHEN i = 0 THEN NULL "
     # More installments missed than the calendar has months before the snapshot.
     f"WHEN o_orderkey % 101 = 7 THEN '60000000' ELSE {_money('((o_orderkey + i) % 4) * 1000')} END",
     "balance": _suffix_if("o_orderkey % 67 = 0", _money("cast(o_totalprice AS decimal(14,2)) * (10 - i) * 0.1"), "_"),
-    "snapshot_date": _month("o_custkey % 14 + i"),
+    "snapshot_date": _dated("o_orderkey", _month("o_custkey % 14 + i")),
 }
 
 TABLES = ("clickstream", "attributes", "financials", "loan_daily")

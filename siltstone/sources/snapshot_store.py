@@ -6,13 +6,20 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.validity import holds
 from siltstone.operators.snapshots import SNAPSHOT, on_snapshots
 
 
+#: Snapshots that one write may replace.
+MOST_MONTHS = 400_000
+
+#: The name that Spark gives to the folder of a null date.
+NO_SNAPSHOT = "__HIVE_DEFAULT_PARTITION__"
+
+
 class NoSnapshotsError(LookupError):
     """A table has no snapshot where at least one is needed."""
 
@@ -42,8 +49,9 @@ def write_snapshots(
     """Replaces the given months of the table and counts the rows written for each.
 
     Rows of other dates, or without one, are left out; other months on disk stay
-    as they are. A month that gets no rows is emptied, so a rerun leaves nothing
-    behind.
+    as they are. The folder of a wanted month that gets no rows is deleted, so a
+    rerun leaves nothing behind. This follows the write: where a run ends between
+    the two, stale months stay until it is run again.
 
     ``cluster`` shuffles the rows so that each month ends in few, evenly sized
     files; adaptive execution splits a month that is too large for one task.
@@ -51,16 +59,19 @@ def write_snapshots(
     another snapshot table).
 
     The counts are taken in the stage that writes, as part of the same job: a
-    task that is run again after the loss of an executor counts once. With
+    task that is run again after the loss of an executor counts once. One
+    aggregate counts all months, whatever their number, up to MOST_MONTHS. With
     ``count_left_out`` the rows of other dates travel to that stage too, which
     suits a run over (nearly) all months.
     """
     wanted = list(dict.fromkeys(months))
     if not wanted:
         raise NoSnapshotsError("no months to write")
+    if len(wanted) > MOST_MONTHS:
+        raise ValueError(f"at most {MOST_MONTHS} snapshots a write, not {len(wanted)}")
     belongs = on_snapshots(wanted)
     counters = Observation()
-    counts = [F.count(F.when(F.col(SNAPSHOT) == F.lit(day), 1)).alias(day.isoformat()) for day in wanted]
+    counts = [_counts_of(F.when(belongs, F.col(SNAPSHOT)), len(wanted)).alias("by_month")]
     rows = df if count_left_out else df.where(belongs)
     if cluster:
         rows = rows.hint("rebalance", SNAPSHOT)
@@ -76,31 +87,47 @@ def write_snapshots(
         writer = writer.option("header", True)
     writer.format(file_format).save(path)
     counted = counters.get
-    written = {day: counted[day.isoformat()] for day in wanted}
-    empty = [day for day, count in written.items() if count == 0]
-    if empty and any(written.values()):
-        empty = _holding_rows(df, path, empty, file_format)
-    for day in empty:
-        _empty_month(df, path, day, file_format)
+    found = {row["item"]: row["count"] for row in counted["by_month"] or ()}
+    written = {day: found.get(day, 0) for day in wanted}
+    folders = _folders(df.sparkSession, path)
+    for day, count in written.items():
+        if count == 0 and (folder := folders.pop(day, None)):
+            _file_system(df.sparkSession, folder).delete(folder, True)
+    if not folders:
+        _write_no_rows(df, path, file_format)
     return WriteCounts(written, counted.get("left_out"))
 
 
-def _holding_rows(df: DataFrame, path: str, days: Sequence[date], file_format: str) -> list[date]:
-    """Those of the given months that hold rows on disk; reads the partition column only."""
-    reader = df.sparkSession.read.schema(df.schema).format(file_format)
-    if file_format == "csv":
-        reader = reader.option("header", True)
-    found = reader.load(path).where(on_snapshots(days)).select(SNAPSHOT).distinct().collect()
-    return [row[0] for row in found]
+def _counts_of(day: Column, months: int) -> Column:
+    """Rows per date as an array of (item, count); nulls are left out.
+
+    The counts are exact: the aggregate estimates only once it meets more than three quarters of
+    the values it is set to track, and here at most one in two of them can occur.
+    """
+    return F.call_function("approx_top_k", day, F.lit(months + 1), F.lit(max(64, 2 * months + 2)))
+
+
+def _file_system(spark: SparkSession, path):
+    return path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _folders(spark: SparkSession, path: str) -> dict:
+    """The folder of each snapshot of a table: one listing of the table's own folder, no file is opened."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = _file_system(spark, root).listStatus(root)
+    folders = {status.getPath().getName(): status.getPath() for status in found if status.isDirectory()}
+    prefix = f"{SNAPSHOT}="
+    days = {name.removeprefix(prefix): folder for name, folder in folders.items() if name.startswith(prefix)}
+    return {date.fromisoformat(day): folder for day, folder in days.items() if day != NO_SNAPSHOT}
 
 
-def _empty_month(df: DataFrame, path: str, day: date, file_format: str) -> None:
-    """Overwrites the folder of one month with no rows."""
+def _write_no_rows(df: DataFrame, path: str, file_format: str) -> None:
+    """Keeps a table without any snapshot readable: a file with its columns and no rows, of no month."""
     empty = df.sparkSession.createDataFrame([], df.drop(SNAPSHOT).schema)
     writer = empty.coalesce(1).write.mode("overwrite").format(file_format)
     if file_format == "csv":
         writer = writer.option("header", True)
-    writer.save(f"{path.rstrip('/')}/{SNAPSHOT}={day.isoformat()}")
+    writer.save(f"{path.rstrip('/')}/{SNAPSHOT}={NO_SNAPSHOT}")
 
 
 def read_snapshots(
@@ -118,14 +145,13 @@ def read_snapshots(
     return df if months is None else df.where(on_snapshots(months))
 
 
-def list_snapshots(spark: SparkSession, path: str, *, file_format: str = "parquet") -> list[date]:
-    """Dates of the snapshots that hold rows, in order; an error where there is none.
+def list_snapshots(spark: SparkSession, path: str) -> list[date]:
+    """Dates of the snapshots of a table, in order; an error where there is none.
 
-    Reads no column but the partition's; one small row per month reaches the
-    driver.
+    Lists the table's folder, which has a folder for each snapshot that holds rows; starts no
+    job and opens no file, whatever their number.
     """
-    days = read_snapshots(spark, path, file_format=file_format).select(SNAPSHOT).distinct()
-    found = sorted(row[0] for row in days.collect() if row[0] is not None)
+    found = sorted(_folders(spark, path))
     if not found:
         raise NoSnapshotsError(f"no snapshots in {path}")
     return found

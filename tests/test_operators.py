@@ -219,3 +219,67 @@ def test_a_hot_key_is_combined_before_the_shuffle(spark):
     for result in (summary, dedup.duplicate_keys(df, credit.KEYS)):
         plan = result._jdf.queryExecution().executedPlan().toString()
         assert plan.rindex("partial_count") > plan.index("Exchange hashpartitioning")
+
+
+def test_marking_tells_what_filters_drop(spark, sf_dir):
+    for table, clean in silver.CLEANERS.items():
+        raw = raw_table(spark, sf_dir, table)
+        marked = clean(rules.marking(raw))
+        assert marked.count() == raw.count()
+        kept = marked.where(rules.MARK).drop(rules.MARK)
+        dropped = clean(raw)
+        assert kept.columns == dropped.columns
+        assert rows(kept) == rows(dropped) and 0 < dropped.count() < raw.count()
+
+
+def test_approximate_distinct_is_within_its_bound(spark):
+    df = spark.range(60_000).select(F.concat(F.lit("x"), F.col("id") % 20_000).alias("id_text"))
+    check = lambda c: c.rlike("^[0-9]+$")
+    exact, near = (
+        quality.profile(df, "t", [quality.Rule("digits", "id_text", check, distinct=True, within=within)]).first()
+        for within in (None, 0.02)
+    )
+    assert exact.distinct_invalid == 20_000 and abs(near.distinct_invalid - 20_000) < 0.1 * 20_000
+    assert exact.invalid == near.invalid == 60_000
+
+
+def test_samples_carry_ids(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", "x"), ("b", "x"), ("c", None), ("d", "1")], "id string, v string")
+    rule = quality.Rule("number", "v", validity.is_integer_text)
+    found = [tuple(row) for row in quality.invalid_samples(df, rule, 2, ids=["id"]).collect()]
+    assert found == [("c", None), ("a", "x")]
+    assert [tuple(row) for row in quality.invalid_samples(df, rule).collect()] == [(None,), ("x",)]
+
+
+def test_every_rule_fails_somewhere_and_passes_somewhere(spark, sf_dir):
+    from siltstone.catalog.queries import QUERIES
+
+    for row in QUERIES["quality_report"](spark, sf_dir).collect():
+        assert 0 < row.invalid < row.total, row
+
+
+def test_both_halves_of_the_key_matter(spark, sf_dir):
+    """The fixtures tell the feature join from one on either column alone."""
+    from siltstone.plans.gold import gold_features
+    from siltstone.sources.derived import TABLES
+
+    click, attributes, financials = (
+        silver.CLEANERS[name](raw_table(spark, sf_dir, name)) for name in TABLES if name != "loan_daily"
+    )
+    right = rows(gold_features(click, attributes, financials))
+    for key in credit.KEYS:
+        blocks = [click.select(key, *credit.CLICK_FEATURES), attributes.select(key, "Age", "Occupation")]
+        base = dedup.keep_first(financials, credit.KEYS)
+        joined = joins.attach(base, [dedup.keep_first(block, [key]) for block in blocks], [key], dedup=False)
+        assert rows(joined.select(*gold_features(click, attributes, financials).columns)) != right
+    assert dedup.duplicate_keys(attributes, credit.KEYS).first().duplicate_keys > 0
+    assert dedup.duplicate_keys(financials, credit.KEYS).first().duplicate_keys > 0
+
+
+def test_both_faults_of_a_day_occur(spark, sf_dir):
+    from siltstone.catalog.queries import QUERIES
+
+    found = QUERIES["loan_day_patterns"](spark, sf_dir)
+    for name in ("loan_start_date", "snapshot_date"):
+        reasons = {row.reason for row in found.where(F.col("column_name") == name).collect()}
+        assert reasons == {"Invalid Format", "Valid Format but Invalid Date"}

@@ -32,7 +32,18 @@ def test_no_round_robin(spark, sf_dir, name):
 
 
 @pytest.mark.parametrize(
-    ("name", "scans"), [("date_spine", 1), ("feature_store_union", 3), ("label_store_union", 2), ("gold_labels", 1)]
+    ("name", "scans"),
+    [
+        ("date_spine", 1),
+        ("feature_store_union", 3),
+        ("label_store_union", 2),
+        ("gold_labels", 1),
+        ("row_counts_by_stage", 4),
+        ("null_profile", 4),
+        ("quality_report", 4),
+        ("loan_day_patterns", 2),
+        ("gold_features_with_loans", 4),
+    ],
 )
 def test_scans(spark, sf_dir, name, scans):
     assert plan_of(QUERIES[name](spark, sf_dir)).count("FileScan") == scans
@@ -58,3 +69,22 @@ def test_gold_shuffles_each_input_once(spark, sf_dir):
 def test_bad_rate_aggregates_before_the_shuffle(spark, sf_dir):
     plan = plan_of(QUERIES["bad_rate_by_mob"](spark, sf_dir))
     assert plan.index("Exchange hashpartitioning") < plan.index("partial_avg")
+
+
+def exchanges(plan):
+    return re.findall(r"Exchange (\w+)", plan)
+
+
+@pytest.mark.parametrize("name", sorted(name for name in QUERIES if name.startswith("profile_")))
+def test_registered_profiles_send_counters_only(spark, sf_dir, name):
+    """Every exchange follows a partial aggregate, and the registered plan reads its table once."""
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    assert plan.count("FileScan") == 1
+    assert set(exchanges(plan)) <= {"SinglePartition", "hashpartitioning"}
+    for part in plan.split("Exchange ")[1:]:
+        assert "HashAggregate" in part.split("\n")[1] or "ObjectHashAggregate" in part.split("\n")[1]
+
+
+def test_row_counts_join_nothing(spark, sf_dir):
+    plan = plan_of(QUERIES["row_counts_by_stage"](spark, sf_dir))
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
