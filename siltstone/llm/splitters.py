@@ -1,11 +1,16 @@
 """Sharding by sampled splitters: shards of near equal bytes, cut from one key order.
 
-Keys are sampled with a probability in proportion to their record's size; quantiles of
-the sample are the splitters of RANGES_PER_SHARD ranges per shard. Records are counted
-per range; a range that is overfull gets a sample and splitters of its own, again and
-again, until none holds more than twice its due beside its largest record. A record's
-place is then its range's offset plus its place in the range, and its shard follows
-from the bytes before it, exactly.
+Keys are sampled with a probability in proportion to their record's load (its size and
+ROW_LOAD, so that very many small records are split too); quantiles of the sample are the
+splitters of RANGES_PER_SHARD ranges per shard, or more where a range's due would pass
+RANGE_LOAD. Records are counted per range; a range that is overfull gets a sample and
+splitters of its own, again and again, until none holds more than twice its due beside its
+largest record, so no task sorts more than that at any input size. A record's place is then
+its range's offset plus its place in the range, and its shard follows from the bytes before
+it, exactly.
+
+The driver holds SAMPLED_PER_RANGE keys and one count per range: at 100 TB some 100,000
+ranges, which are 60 MB.
 
 The order is by the given key, then by a row number, so records of one key stay side by
 side and a hot key is cut like any other stretch.
@@ -27,6 +32,10 @@ from pyspark.sql import functions as F
 from siltstone.llm.shared import written
 
 RANGES_PER_SHARD = 16
+#: The largest due of a range: what one task sorts is about this.
+RANGE_LOAD = 1 << 30
+#: What a record counts for beside its size.
+ROW_LOAD = 64
 #: Sampled keys per range: what the driver holds is this times the number of ranges.
 SAMPLED_PER_RANGE = 24
 _KEY = np.dtype([("k0", "<i8"), ("k1", "<i8"), ("k2", "<i8")])
@@ -50,10 +59,14 @@ def _ranged(keyed: DataFrame, splitters: np.ndarray) -> DataFrame:
     return keyed.mapInArrow(run, keyed.withColumn("range", F.lit(0).cast("long")).schema)
 
 
-def _sampled(keyed: DataFrame, per_byte: float, salt: int) -> np.ndarray:
-    """Sorted keys, each drawn with the probability size * per_byte."""
+def _load() -> Column:
+    return F.col("size") + ROW_LOAD
+
+
+def _sampled(keyed: DataFrame, per_load: float, salt: int) -> np.ndarray:
+    """Sorted keys, each drawn with the probability load * per_load."""
     chance = F.shiftrightunsigned(F.xxhash64(F.lit(salt), "k2"), 11) / F.lit(float(1 << 53))
-    rows = keyed.filter(chance < F.col("size") * F.lit(per_byte)).select(*_KEY.names).toArrow()
+    rows = keyed.filter(chance < _load() * F.lit(per_load)).select(*_KEY.names).toArrow()
     out = np.empty(rows.num_rows, dtype=_KEY)
     for name in _KEY.names:
         out[name] = rows.column(name).to_numpy()
@@ -69,7 +82,10 @@ def _counted(ranged: DataFrame) -> list:
     """A row per range: their number is bounded by that of the splitters."""
     return (
         ranged.groupBy("range")
-        .agg(F.sum("size").alias("bytes"), F.max("size").alias("largest"), F.count("*").alias("n"))
+        .agg(
+            F.sum("size").alias("bytes"), F.sum(_load()).alias("load"), F.max(_load()).alias("largest"),
+            F.count("*").alias("n"),
+        )
         .orderBy("range")
         .collect()
     )
@@ -88,19 +104,19 @@ def splitter_shards(records: DataFrame, size: Column, key: list[Column], shards:
         "keyed",
     )
     slim = keyed.drop("row")
-    total = slim.agg(F.sum("size")).first()[0] or 0
-    ranges = shards * RANGES_PER_SHARD
-    due = max(1.0, total / ranges)
+    total, load = (found or 0 for found in slim.agg(F.sum("size"), F.sum(_load())).first())
+    ranges = max(shards * RANGES_PER_SHARD, -(-load // RANGE_LOAD))
+    due = max(1.0, load / ranges)
     splitters = _quantiles(_sampled(slim, SAMPLED_PER_RANGE / due, 0), ranges)
     for salt in range(1, 64):
         counted = _counted(_ranged(slim, splitters))
-        over = [r for r in counted if r["bytes"] - r["largest"] > 2 * due]
+        over = [r for r in counted if r["load"] - r["largest"] > 2 * due]
         if not over:
             break
         inside = _ranged(slim, splitters).filter(F.col("range").isin([r["range"] for r in over]))
         keys = _sampled(inside, SAMPLED_PER_RANGE / due, salt)
         at = np.searchsorted(splitters, keys, side="right")
-        new = [_quantiles(keys[at == r["range"]], int(r["bytes"] / due) + 2) for r in over]
+        new = [_quantiles(keys[at == r["range"]], int(r["load"] / due) + 2) for r in over]
         splitters = np.unique(np.concatenate([splitters, *new]))
     spark = records.sparkSession
     before, rows = 0, []

@@ -434,6 +434,25 @@ def test_shards_of_a_hot_key_and_odd_rows(spark, odd):
     assert got.count() == 12 and got.select("row.*").columns == odd.columns
 
 
+def test_shards_do_not_depend_on_the_ranges(spark, monkeypatch):
+    """Many small ranges give the shards and slots of few large ones; records without size are split as well."""
+    docs = spark.range(6_000).select((F.col("id") % 50).alias("k"), "id", F.when(F.col("id") % 3 > 0, F.col("id") % 90).alias("n"))
+    order = lambda: sorted(
+        (r["row"]["id"], r["shard"], r["slot"])
+        for r in splitters.splitter_shards(docs, F.col("n"), [F.col("k"), F.col("id")], 3).collect()
+    )
+    few = order()
+    monkeypatch.setattr(splitters, "RANGE_LOAD", 2_000)
+    ranges = []
+    counted = splitters._counted
+    monkeypatch.setattr(splitters, "_counted", lambda df: ranges.append(counted(df)) or ranges[-1])
+    assert order() == few
+    assert len(ranges[-1]) > 200 and max(r["load"] - r["largest"] for r in ranges[-1]) <= 4_000
+    ranges.clear()
+    nothing = splitters.splitter_shards(docs, F.lit(0), [F.col("k")], 3)
+    assert nothing.count() == 6_000 and max(r["n"] for r in ranges[-1]) <= 100
+
+
 # ---------------------------------------------------------------- SimHash
 
 
