@@ -2,6 +2,14 @@
 
 Each query runs once to warm up and then BENCH_RUNS times (3 by default); the
 median counts. Results go to Spark's no-op sink, so all rows are computed.
+
+The given tables are single files of one row group, which Spark reads in one task
+whatever the number of cores. Before the timing they are therefore copied once, the
+same rows in FILES_PER_CORE files per core, as tables of a size worth measuring have.
+BENCH_LAYOUT=given times the files as they are. The line printed says which.
+
+The session has Spark's defaults. BENCH_TUNED=1 times the queries a second time with the
+settings that README.md suggests, and prints those times beside the others.
 """
 
 import json
@@ -41,6 +49,10 @@ HEADLINE = (
 )
 
 
+FILES_PER_CORE = 2
+TUNED = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
 def session(cpus):
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -69,6 +81,14 @@ def median(action, runs, warm_up=True):
     return round(statistics.median(timed(action) for _ in range(runs)), 4)
 
 
+def spread_tables(spark, sf_dir, folder, cpus):
+    """The tables that the queries read, in several files each."""
+    for table in ("customer", "orders"):
+        rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        rows.repartition(FILES_PER_CORE * int(cpus)).write.parquet(f"{folder}/{table}.parquet")
+    return folder
+
+
 def write_csv_sources(spark, sf_dir, folder):
     """The raw tables as CSV files: what the backfill starts from."""
     sources = {}
@@ -80,21 +100,33 @@ def write_csv_sources(spark, sf_dir, folder):
     return sources
 
 
+def time_queries(spark, tables, names, runs, seconds):
+    for name in names:
+        if name in QUERIES:
+            run = lambda: QUERIES[name](spark, tables).write.format("noop").mode("overwrite").save()
+            seconds[name] = median(run, runs)
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or [*HEADLINE, "backfill_24_months"]
     spark = session(cpus)
-    seconds = {}
-    for name in names:
-        if name in QUERIES:
-            run = lambda: QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            seconds[name] = median(run, runs)
-    if "backfill_24_months" in names:
-        # BENCH_FOLDER: a folder that all executors share, on a cluster.
-        with tempfile.TemporaryDirectory(prefix="bench-", dir=os.environ.get("BENCH_FOLDER")) as folder:
-            sources = write_csv_sources(spark, sf_dir, f"{folder}/csv")
+    seconds, tuned = {}, {}
+    layout = os.environ.get("BENCH_LAYOUT", "spread")
+    # BENCH_FOLDER: a folder that all executors share, on a cluster.
+    with tempfile.TemporaryDirectory(prefix="bench-", dir=os.environ.get("BENCH_FOLDER")) as folder:
+        tables = sf_dir if layout == "given" else spread_tables(spark, sf_dir, f"{folder}/tables", cpus)
+        time_queries(spark, tables, names, runs, seconds)
+        if os.environ.get("BENCH_TUNED"):
+            for key, value in TUNED.items():
+                spark.conf.set(key, value)
+            time_queries(spark, tables, names, runs, tuned)
+            for key in TUNED:
+                spark.conf.unset(key)
+        if "backfill_24_months" in names:
+            sources = write_csv_sources(spark, tables, f"{folder}/csv")
             run = lambda: backfill(spark, sources, f"{folder}/mart")
             seconds["backfill_24_months"] = median(run, 1)
     spark.stop()
@@ -107,6 +139,8 @@ def main():
                 "queries": seconds,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "cpus": int(cpus),
+                "layout": layout,
+                **({"tuned": tuned} if tuned else {}),
                 "runs": runs,
             }
         )
