@@ -6,14 +6,16 @@ below it. Two entropies say how important a node is. Presentation: a node that l
 the same on all pages has entropy 0 over its styles. Content: a text found on n of m
 pages has importance 1 - log n / log m, so a text on all pages has none. A branch's
 importance blends its own presentation with the mean importance of the texts below it.
-Branches of an importance below LEAST are removed from each page, and so are texts.
+A block's importance is the least of its text's and its branches'; blocks whose weight
+times importance is below LEAST are removed from each page.
 
-Roles that HTML states weigh in: elements that never hold content (scripts, forms,
-menus) have weight 0, as have landmarks and class names of page furniture; inside
-an article or main element all else has full weight, as there a repeated text is a
-passage and no furniture; where a page has such an element, what lies outside has no
-weight. Hosts with fewer than MIN_PAGES different pages have no statistics: roles
-alone decide.
+The weight comes from the roles that HTML states: elements that never hold content
+(scripts, forms, menus) have weight 0, as have landmarks and class names of page
+furniture. Inside an article or main element blocks weigh MAIN, so that a passage stays
+and only a text on nearly all pages goes. Where such elements hold at least half of a
+page's text, what lies outside weighs BESIDE; if most of them would go there, the pages
+are copies, and they stay. Hosts with fewer than MIN_PAGES different pages have no statistics:
+their blocks have the importance UNKNOWN, so roles alone decide.
 
 Pages are parsed once, in tasks; the trees are merged by aggregates over (host, node).
 Equal pages of a host count once, so copies do not make a text look like furniture.
@@ -40,6 +42,10 @@ MIN_PAGES = 10
 LEAST = 0.1
 #: How fast a branch's own presentation loses to what lies below it, per kind of child.
 FADE = 0.9
+#: Weights of blocks in article or main elements, and of those beside them.
+MAIN, BESIDE = 5.0, 0.5
+#: Importance on hosts without statistics: weights of LEAST / UNKNOWN and more stay.
+UNKNOWN = 0.15
 
 # Element and class names.
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "noembed", "xmp"}
@@ -110,10 +116,16 @@ def _weightless(tag: str, at: dict[str, str], main: bool) -> bool:
 
 
 def parse(page: str | None) -> tuple[list[dict], list[dict]]:
+    """(blocks, nodes) of one page, where roles alone decide."""
+    blocks, styles = tree(page)
+    return [b for b in blocks if b["weight"] * UNKNOWN >= LEAST], styles
+
+
+def tree(page: str | None) -> tuple[list[dict], list[dict]]:
     """(blocks, nodes) of one page, without weightless branches.
 
-    A block is a run of text without a block-level boundary: text, the keys of its path's nodes
-    and whether it lies in an article or main element. A node is (key, style)."""
+    A block is a run of text without a block-level boundary: text, the keys of its path's nodes,
+    whether it lies in an article or main element, and its weight. A node is (key, style)."""
     source = page or ""
     stack = [_Node("", "", 1, False, False)]
     blocks: list[dict] = []
@@ -198,13 +210,16 @@ def parse(page: str | None) -> tuple[list[dict], list[dict]]:
         if place < len(source):
             run.append(source[place:])
     flush()
-    if any(b["main"] for b in blocks):
-        blocks = [b for b in blocks if b["main"]]
-    inside = [b for b in blocks if not b["form"]]
-    if 2 * sum(len(b["text"]) for b in inside) >= sum(len(b["text"]) for b in blocks):
-        blocks = inside  # a form; one that holds most of the page is a frame around it
-    if not any(b["main"] for b in blocks):
-        blocks = [b for b in blocks if not b["links"]] or []
+    mains = [b for b in blocks if b["main"]]
+    size_of = lambda part: sum(len(b["text"]) for b in part)
+    # A form; one that holds most of the article, or of the page, is a frame around it.
+    framed = {inner: 2 * size_of(b for b in part if b["form"]) > size_of(part) for inner, part in ((True, mains), (False, blocks))}
+    blocks = [b for b in blocks if not b["form"] or framed[b["main"]]]
+    blocks = [b for b in blocks if b["main"] or not b["links"]]
+    main = size_of(b for b in blocks if b["main"])
+    beside = BESIDE if main and 2 * main >= size_of(blocks) else 1.0
+    for b in blocks:
+        b["weight"] = MAIN if b["main"] else beside
     looks: dict[int, set[str]] = {}  # a node's styles on this page, taken together
     for n in nodes:
         looks.setdefault(n.key, set()).add(" ".join(n.children))
@@ -214,17 +229,17 @@ def parse(page: str | None) -> tuple[list[dict], list[dict]]:
     return blocks, styles
 
 
-_BLOCKS = "array<struct<text:string,key:bigint,path:array<bigint>,main:boolean>>"
+_BLOCKS = "array<struct<text:string,key:bigint,path:array<bigint>,main:boolean,weight:double>>"
 _NODES = "array<struct<key:bigint,style:bigint,kinds:bigint>>"
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    block = pa.list_(pa.struct([("text", pa.string()), ("key", pa.int64()), ("path", pa.list_(pa.int64())), ("main", pa.bool_())]))
+    block = pa.list_(pa.struct([("text", pa.string()), ("key", pa.int64()), ("path", pa.list_(pa.int64())), ("main", pa.bool_()), ("weight", pa.float64())]))
     node = pa.list_(pa.struct([("key", pa.int64()), ("style", pa.int64()), ("kinds", pa.int64())]))
     for batch in batches:
         for low in range(0, batch.num_rows, 1000):
             part = batch.slice(low, 1000)
-            pages = [parse(p) for p in part.column("page").to_pylist()]
+            pages = [tree(p) for p in part.column("page").to_pylist()]
             names = [n for n in batch.schema.names if n != "page"]
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(n) for n in names), pa.array([b for b, _ in pages], block), pa.array([n for _, n in pages], node)],
@@ -233,69 +248,102 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def low_branches(parsed: DataFrame) -> DataFrame:
-    """(of, low): per host the keys of texts and nodes whose importance is below LEAST.
+    """(of, low_key, importance): texts and nodes of an importance below 1, that of a node being the least of its path's.
 
-    A host's low texts are on most of its pages, so there are hardly more than a page has blocks."""
-    outside = F.transform(
-        F.filter("blocks", lambda b: ~b["main"]), lambda b: F.struct(b["key"].alias("key"), b["path"].alias("path"))
+    Texts travel without their paths: a node has the same path on all pages, so what lies
+    below a branch is summed up over nodes. Texts seen once have the importance 1."""
+    texts = F.array_distinct(
+        F.transform("blocks", lambda b: F.struct(b["key"].alias("key"), F.element_at(b["path"], -1).alias("node")))
     )
+    paths = parsed.select("host", F.explode("blocks.path").alias("path")).groupBy(
+        "host", F.element_at("path", -1).alias("leaf")
+    ).agg(F.first("path").alias("path"))
     pages = (
         parsed.groupBy("host", F.xxhash64("blocks.key", "nodes").alias("page"))
-        .agg(F.first(outside).alias("texts"), F.first("nodes").alias("nodes"))
+        .agg(F.first(texts).alias("texts"), F.first("nodes").alias("nodes"))
     )
-    once = (
-        pages.select("host", "page", F.explode("texts").alias("b"))
-        .select("host", "page", "b.key", F.element_at("b.path", -1).alias("node"), "b.path")
-        .dropDuplicates(["host", "page", "key"])
-    )
-    seen = once.groupBy("host", "node", "key").agg(F.count("*").alias("n"), F.first("path").alias("path"))
+    seen = pages.select("host", F.explode("texts").alias("b")).groupBy("host", "b.node", "b.key").agg(F.count("*").alias("n"))
     places = pages.select("host", F.explode("nodes").alias("n")).groupBy("host", "n.key", "n.style").agg(
         F.count("*").alias("times"), F.max("n.kinds").alias("kinds")
     )
-    nodes = (
-        places.groupBy("host", F.col("key").alias("node_key"))
-        .agg(F.sum("times").alias("m"), F.collect_list("times").alias("styles"), F.avg("kinds").alias("kinds"))
-        .filter(F.col("m") >= MIN_PAGES)
+    nodes = places.groupBy("host", F.col("key").alias("node_key")).agg(
+        F.sum("times").alias("m"), F.collect_list("times").alias("styles"), F.avg("kinds").alias("kinds")
     )
+    log = lambda x: F.ln(F.greatest(F.col(x), F.lit(2 if x == "m" else 1)).cast("double"))
     share = lambda x: x / F.col("m")
-    looks = F.aggregate(
-        "styles", F.lit(0.0), lambda total, x: total - share(x) * F.ln(share(x)) / F.ln(F.col("m").cast("double"))
+    looks = F.aggregate("styles", F.lit(0.0), lambda total, x: total - share(x) * F.ln(share(x)) / log("m"))
+    nodes = written(nodes.select(F.col("host").alias("h"), "node_key", "m", "kinds", looks.alias("looks")), "nodes")
+    seen = written(seen, "seen")
+    measured = nodes.filter(F.col("m") >= MIN_PAGES)
+    own = (
+        seen.filter("n > 1")
+        .join(measured, (seen["host"] == measured["h"]) & (seen["node"] == measured["node_key"]))
+        .select("host", "key", (1 - log("n") / log("m")).alias("importance"))
     )
-    nodes = nodes.select(F.col("host").alias("h"), "node_key", "m", "kinds", looks.alias("looks"))
-    own = seen.join(nodes, seen["host"].eqNullSafe(nodes["h"]) & (seen["node"] == nodes["node_key"])).select(
-        "host", "key", "path", "n", (1 - F.ln("n") / F.ln(F.col("m").cast("double"))).alias("importance")
-    )
-    below = (
-        own.select("host", F.explode(F.array_distinct("path")).alias("node"), "n", "importance")
-        .groupBy("host", "node")
-        .agg((F.sum(F.col("n") * F.col("importance")) / F.sum("n")).alias("content"))
+    # The mean of 1 - ln n / ln m over the texts of a node, each n times, from two sums.
+    sums = seen.groupBy("host", "node").agg(F.sum("n").alias("all"), F.sum(F.col("n") * log("n")).alias("repeated"))
+    steps = written(paths.select("host", "leaf", F.explode(F.array_distinct("path")).alias("up")), "steps")
+    content = (
+        sums.join(measured, (sums["host"] == measured["h"]) & (sums["node"] == measured["node_key"]))
+        .select("host", "node", "all", (F.col("all") - F.col("repeated") / log("m")).alias("weighed"))
+        .join(steps.withColumnsRenamed({"host": "sh"}), (F.col("host") == F.col("sh")) & (F.col("node") == F.col("leaf")))
+        .groupBy("host", "up")
+        .agg((F.sum("weighed") / F.sum("all")).alias("content"))
     )
     fade = F.pow(F.lit(FADE), F.col("kinds"))
-    branches = below.join(nodes, below["host"].eqNullSafe(nodes["h"]) & (below["node"] == nodes["node_key"])).select(
-        "host", F.col("node").alias("key"), ((1 - fade) * F.col("looks") + fade * F.col("content")).alias("importance")
+    branches = content.join(measured, (content["host"] == measured["h"]) & (content["up"] == measured["node_key"])).select(
+        "h", "node_key", ((1 - fade) * F.col("looks") + fade * F.col("content")).alias("importance")
+    )
+    unknown = nodes.filter((F.col("node_key") == _hash("")) & (F.col("m") < MIN_PAGES)).select(
+        "h", "node_key", F.lit(UNKNOWN).alias("importance")
     )
-    return (
-        own.select("host", "key", "importance")
-        .unionAll(branches)
-        .filter(F.col("importance") < LEAST)
-        .groupBy(F.col("host").alias("of"))
-        .agg(F.collect_set("key").alias("low"))
+    branches = branches.unionAll(unknown)
+    below = (
+        steps.join(branches, (steps["host"] == branches["h"]) & (steps["up"] == branches["node_key"]))
+        .groupBy("host", F.col("leaf").alias("key"))
+        .agg(F.min("importance").alias("importance"))
     )
+    return own.unionAll(below).select(F.col("host").alias("of"), F.col("key").alias("low_key"), "importance").filter("importance < 1")
 
 
 def main_text(pages: DataFrame, *, page: str = "html", url: str = "url") -> DataFrame:
-    """`row` (all columns of pages but the page itself) and `text`, the blocks that stay, a line each."""
-    host = F.nullif(F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[a-zA-Z][\w+.-]*://([^/?#]*)", 1)), F.lit(""))
+    """`row` (all columns of pages but the page itself) and `text`, the blocks that stay, a line each.
+
+    Blocks meet the low keys of their host in a join by key; only pages that lose a block come back from it."""
+    host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[a-zA-Z][\w+.-]*://([^/?#]*)", 1))
     rest = [pages[c] for c in pages.columns if c != page]
     picked = pages.select(F.struct(*rest).alias("row"), host.alias("host"), F.col(page).alias("page"))
     fields = picked.select("row", "host", F.lit(None).cast(_BLOCKS).alias("blocks"), F.lit(None).cast(_NODES).alias("nodes")).schema
-    parsed = written(picked.mapInArrow(_parsed, fields), "parsed")
+    parsed = written(picked.mapInArrow(_parsed, fields).withColumn("id", F.monotonically_increasing_id()), "parsed")
+    bars = F.transform(
+        "blocks",
+        lambda b, i: F.struct(
+            i.alias("i"), b["weight"].alias("weight"), F.array(b["key"], F.element_at(b["path"], -1)).alias("keys")
+        ),
+    )
+    asked = parsed.select("id", "host", F.explode(F.filter(bars, lambda b: b["weight"] >= LEAST)).alias("b")).select(
+        "id", "host", "b.i", "b.weight", F.explode("b.keys").alias("key")
+    )
     low = written(low_branches(parsed), "low")
-    none = F.array().cast("array<bigint>")
-    gone = F.coalesce("low", none)
-    stays = F.filter(
-        "blocks", lambda b: b["main"] | ~(F.array_contains(gone, b["key"]) | F.arrays_overlap(gone, b["path"]))
+    gone = written(
+        asked.join(low, (asked["host"] == low["of"]) & (asked["key"] == low["low_key"]))
+        .filter(F.col("weight") * F.col("importance") < LEAST)
+        .groupBy(F.col("id").alias("lost_by"))
+        .agg(F.collect_set("i").alias("lost")),
+        "gone",
+    )
+    total = lambda of: F.aggregate(of, F.lit(0), lambda n, b: n + F.length(b["text"]))
+    none = F.array().cast("array<int>")
+    every = F.when(F.size("blocks") > 0, F.sequence(F.lit(0), F.size("blocks") - 1)).otherwise(none)
+    lost = F.coalesce("lost", none)
+    joined = parsed.join(gone, F.col("id") == F.col("lost_by"), "left").select(
+        "row", "blocks", every.alias("every"), lost.alias("lost"),
+        F.filter("blocks", lambda b: b["main"]).alias("mains"),
+        F.filter(F.transform(lost, lambda i: F.col("blocks")[i]), lambda b: b["main"]).alias("lost_mains"),
     )
-    return parsed.join(low, F.col("host").eqNullSafe(F.col("of")), "left").select(
-        "row", F.array_join(F.transform(stays, lambda b: b["text"]), "\n").alias("text")
+    copies = (2 * total("lost_mains") > total("mains")) & (2 * total("mains") >= total("blocks"))
+    really = F.when(copies, F.filter("lost", lambda i: ~F.col("blocks")[i]["main"])).otherwise(F.col("lost"))
+    stays = F.filter(
+        F.transform(F.array_except("every", really), lambda i: F.col("blocks")[i]), lambda b: b["weight"] >= LEAST
     )
+    return joined.select("row", F.array_join(F.transform(stays, lambda b: b["text"]), "\n").alias("text"))

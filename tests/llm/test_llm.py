@@ -401,6 +401,34 @@ def test_style_tree_learns_unmarked_furniture(spark):
     assert got[100] == want[0] and got[200] == "same"
 
 
+def extracted(spark, pages):
+    df = spark.createDataFrame([(i, f"http://h.example/{i}", p) for i, p in pages.items()], "page_id bigint, url string, html string")
+    return {r["page_id"]: r["text"] for r in style_tree.main_text(df).select("row.page_id", "text").collect()}
+
+
+def test_style_tree_decides_inside_and_beside_articles(spark):
+    rng = np.random.default_rng(2)
+    prose = lambda: " ".join(f"{w:x}" for w in rng.integers(0, 1 << 30, 12))
+    pages, want = {}, {}
+    for i in range(40):
+        body, beside = [prose() for _ in range(4)] + ["A passage of many"] * (i % 2), f"Written by {prose()}"
+        want[i] = "\n".join([beside, *body])
+        inner = "".join(f"<p>{b}</p>" for b in body)
+        pages[i] = f"<body><div>Our shop</div><div>{beside}</div><main><div>Read our rules</div>{inner}</main><div>All rights</div>"
+    assert extracted(spark, pages) == want
+
+
+def test_style_tree_teasers_and_copies(spark):
+    rng = np.random.default_rng(3)
+    prose = lambda: " ".join(f"{w:x}" for w in rng.integers(0, 1 << 30, 12))
+    stories = {i: [prose() for _ in range(4)] for i in range(40)}
+    cards = "<article>Read next: one</article><article>Read next: two</article>"
+    pages = {i: f"<body><div>{''.join(f'<p>{b}</p>' for b in body)}</div>{cards}" for i, body in stories.items()}
+    assert extracted(spark, pages) == {i: "\n".join(body) for i, body in stories.items()}
+    copies = {i: f"<body><article><p>{'</p><p>'.join(stories[0])}</p><p>copy {i}</p></article>" for i in range(40)}
+    assert extracted(spark, copies) == {i: "\n".join([*stories[0], f"copy {i}"]) for i in range(40)}
+
+
 def test_style_tree_odd_pages(spark):
     odd = [(1, None, None), (2, "x", ""), (3, "http://a/", "just text"), (4, "http://a/", "<p>cut <a href='x"), (5, "http://a/", "<p>" * 3000 + "deep"),
            (6, "http://a/", "<script>never closed <p>x"), (None, "http://a/", "<p>&amp &a &#x41;</p>")]
