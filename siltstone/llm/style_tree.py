@@ -10,8 +10,9 @@ A block's importance is the least of its text's and its branches'; blocks whose
 times importance is below LEAST are removed from each page.
 
 The weight comes from the roles that HTML states: elements that never hold content
-(scripts, forms, menus) have weight 0, as have landmarks and class names of page
-furniture. Inside an article or main element blocks weigh MAIN, so that a passage stays
+(scripts, forms, menus) have weight 0, as have landmarks. Class names of page furniture
+and link text lower a weight, but not that of an element that holds an article or main
+element or at least half of the page's text. Inside an article or main element blocks weigh MAIN, so that a passage stays
 and only a text on nearly all pages goes. Where such elements hold at least half of a
 page's text, what lies outside weighs BESIDE; if most of them would go there, the pages
 are copies, and they stay. Hosts with fewer than MIN_PAGES different pages have no statistics:
@@ -44,6 +45,8 @@ LEAST = 0.1
 FADE = 0.9
 #: Weights of blocks in article or main elements, and of those beside them.
 MAIN, BESIDE = 5.0, 0.5
+#: Factors of blocks in elements named as furniture, for sure or perhaps, and of those that are mostly links.
+NAMED, PERHAPS, LINKED = 0.01, 0.3, 0.3
 #: Importance on hosts without statistics: weights of LEAST / UNKNOWN and more stay.
 UNKNOWN = 0.15
 
@@ -70,13 +73,18 @@ _HOLDS = {"ul", "ol", "dl", "table", "div", "section", "article", "main", "body"
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "form", "toolbar"}
 _FURNITURE = {
     "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "promo",
-    "promotion", "banner", "cookie", "cookies", "consent", "gdpr", "notice", "notification", "alert", "popup", "modal",
-    "overlay", "newsletter", "subscribe", "subscription", "signup", "nav", "navbar", "navigation", "menu", "breadcrumb",
-    "breadcrumbs", "masthead", "topbar", "footer", "copyright", "sidebar", "widget", "related", "recommended",
-    "share", "sharing", "social", "comment", "comments", "reply", "replies", "respond", "disqus", "login", "search",
-    "pagination", "pager", "toolbar", "disclaimer",
+    "promotion", "cookie", "cookies", "consent", "gdpr", "popup", "modal", "newsletter", "subscribe", "subscription",
+    "signup", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "masthead", "topbar", "footer", "sidebar",
+    "comment", "comments", "reply", "replies", "respond", "disqus", "login", "pagination", "pager",
 }
-_OUTSIDE_FURNITURE = _FURNITURE | {"header", "side", "top", "bottom", "legal"}
+#: Words that content may be named with as well.
+_PERHAPS = {
+    "banner", "notice", "notification", "alert", "overlay", "copyright", "widget", "related", "recommended", "share",
+    "sharing", "social", "search", "toolbar", "disclaimer",
+}
+_OUTSIDE_PERHAPS = _PERHAPS | {"header", "side", "top", "bottom", "legal"}
+#: A word after one of these says what an element has, not what it is.
+_WITHOUT = {"with", "without", "has", "have", "no", "not"}
 #: On elements that hold the page or the article, only these class names count.
 _FRAME = {"html", "body", "main", "article"}
 _FRAME_FURNITURE = {"ad", "ads", "advert", "advertisement", "sponsored", "promo", "comment", "comments", "reply", "replies", "related"}
@@ -91,11 +99,12 @@ def _hash(text: str) -> int:
 
 
 class _Node:
-    __slots__ = ("tag", "path", "key", "weight", "main", "children", "form")
+    __slots__ = ("tag", "path", "key", "weight", "main", "children", "form", "named", "holds", "size")
 
-    def __init__(self, tag: str, path: str, weight: int, main: bool, form: bool):
-        self.tag, self.path, self.weight, self.main, self.form = tag, path, weight, main, form
+    def __init__(self, tag: str, path: str, weight: int, main: bool, form: bool, named: float = 1.0):
+        self.tag, self.path, self.weight, self.main, self.form, self.named = tag, path, weight, main, form, named
         self.key, self.children = _hash(path), []
+        self.holds, self.size = False, 0  # whether an article or main element with text lies in it; length of its texts
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -103,16 +112,23 @@ def _attributes(raw: str) -> dict[str, str]:
 
 
 def _weightless(tag: str, at: dict[str, str], main: bool) -> bool:
-    """Whether the element is page furniture by its name, role or class names."""
+    """Whether the element is page furniture by its name or role."""
     if tag in _NEVER or tag == "header" and not main:
         return True
     if "hidden" in at or at.get("aria-hidden") == "true" or "display:none" in at.get("style", "").replace(" ", ""):
         return True
-    if at.get("role", "").lower() in _ROLES:
-        return True
-    names = {n.lower() for n in _NAMES.findall(f"{at.get('class', '')} {at.get('id', '')}")}
-    wanted = _FRAME_FURNITURE if tag in _FRAME else _FURNITURE if main else _OUTSIDE_FURNITURE
-    return bool(names & wanted)
+    return at.get("role", "").lower() in _ROLES
+
+
+def _named(tag: str, at: dict[str, str], main: bool) -> float:
+    """The factor of the element's class and id names."""
+    names = set()
+    for name in f"{at.get('class', '')} {at.get('id', '')}".split():
+        words = [n.lower() for n in _NAMES.findall(name)]
+        names |= {w for before, w in zip(["", *words], words) if before not in _WITHOUT}
+    if tag in _FRAME:
+        return NAMED if names & _FRAME_FURNITURE else 1.0
+    return NAMED if names & _FURNITURE else PERHAPS if names & (_PERHAPS if main else _OUTSIDE_PERHAPS) else 1.0
 
 
 def parse(page: str | None) -> tuple[list[dict], list[dict]]:
@@ -142,8 +158,13 @@ def tree(page: str | None) -> tuple[list[dict], list[dict]]:
             if text and top.weight:
                 blocks.append({
                     "text": text, "key": _hash(f"{top.path}\0{text}"), "path": [n.key for n in stack if n.weight],
-                    "main": top.main, "form": top.form, "links": 2 * linked > size,
+                    "main": top.main, "form": top.form, "links": 2 * linked > size, "named": [n for n in stack if n.named < 1],
                 })
+                inner = False
+                for n in reversed(stack):
+                    n.size += len(text)
+                    n.holds |= inner
+                    inner |= n.tag in _MAIN
             run.clear()
         linked = size = 0
 
@@ -195,7 +216,7 @@ def tree(page: str | None) -> tuple[list[dict], list[dict]]:
         form = up.form or tag == "form"
         weight = up.weight and not (tag != "form" and _weightless(tag, at, up.main))
         label = f"{tag}.{at.get('class', '')}#{re.sub(r'[0-9]+', '0', at.get('id', ''))}"
-        node = _Node(tag, f"{up.path}/{label}", int(bool(weight)), main, form)
+        node = _Node(tag, f"{up.path}/{label}", int(bool(weight)), main, form, _named(tag, at, up.main) if weight and at else 1.0)
         up.children.append(label)
         if node.weight:
             nodes.append(node)
@@ -210,16 +231,22 @@ def tree(page: str | None) -> tuple[list[dict], list[dict]]:
         if place < len(source):
             run.append(source[place:])
     flush()
+    total, article = stack[0].size, any(b["main"] for b in blocks)
+    for b in blocks:
+        # Beside an article, an element with a name of furniture stays one at any length.
+        names = (n.named for n in b.pop("named") if not n.holds and (2 * n.size < total or article and not n.main and n.named == NAMED))
+        b["weight"] = min(names, default=1.0)
+        if b["links"] and not b["main"] and 2 * len(b["text"]) < total:
+            b["weight"] *= LINKED
+    size_of = lambda part: sum(len(b["text"]) * b["weight"] for b in part)
     mains = [b for b in blocks if b["main"]]
-    size_of = lambda part: sum(len(b["text"]) for b in part)
     # A form; one that holds most of the article, or of the page, is a frame around it.
     framed = {inner: 2 * size_of(b for b in part if b["form"]) > size_of(part) for inner, part in ((True, mains), (False, blocks))}
     blocks = [b for b in blocks if not b["form"] or framed[b["main"]]]
-    blocks = [b for b in blocks if b["main"] or not b["links"]]
     main = size_of(b for b in blocks if b["main"])
     beside = BESIDE if main and 2 * main >= size_of(blocks) else 1.0
     for b in blocks:
-        b["weight"] = MAIN if b["main"] else beside
+        b["weight"] *= MAIN if b["main"] else beside
     looks: dict[int, set[str]] = {}  # a node's styles on this page, taken together
     for n in nodes:
         looks.setdefault(n.key, set()).add(" ".join(n.children))

@@ -429,6 +429,31 @@ def test_style_tree_teasers_and_copies(spark):
     assert extracted(spark, copies) == {i: "\n".join([*stories[0], f"copy {i}"]) for i in range(40)}
 
 
+@pytest.mark.parametrize("wrapper", ["class='content with-sidebar'", "class='no-sidebar'", "class='hasNav'", "id=top", "class='side-by-side'", "class=sidebar"])
+def test_style_tree_names_of_wrappers(wrapper):
+    of = lambda page: [b["text"] for b in style_tree.parse(page)[0]]
+    assert of(f"<body><div {wrapper}><p>one</p><article>two</article></div>") == ["two"]
+    assert of(f"<body><div {wrapper}><p>one one</p><p>two two</p></div><p>x") == ["one one", "two two", "x"]
+
+
+def test_style_tree_names_and_links_are_priors(spark):
+    of = lambda page: [b["text"] for b in style_tree.parse(page)[0]]
+    names = ("notice", "alert", "share", "search", "related", "widget", "copyright")
+    assert of(f"<article><p>some longer text of the page</p>{''.join(f'<p class={n}>{n}</p>' for n in names)}<p class=ad>buy</p></article>") == [
+        "some longer text of the page", *names
+    ]
+    assert of("<body><div class=ad>longer than the article</div><article>text</article>") == ["text"]
+    assert of("<body><p><a href=x>all of the page</a></p>") == ["all of the page"]
+    rng = np.random.default_rng(4)
+    prose = lambda: " ".join(f"{w:x}" for w in rng.integers(0, 1 << 30, 12))
+    stories = {i: [prose() for _ in range(4)] for i in range(40)}
+    pages = {
+        i: f"<body><p>{a}</p><p>{b}</p><p class=notice>{c}</p><p><a href=x>{d}</a></p><p class=notice>same</p><p><a href=y>same too</a></p>"
+        for i, (a, b, c, d) in stories.items()
+    }
+    assert extracted(spark, pages) == {i: "\n".join(s) for i, s in stories.items()}
+
+
 def test_style_tree_odd_pages(spark):
     odd = [(1, None, None), (2, "x", ""), (3, "http://a/", "just text"), (4, "http://a/", "<p>cut <a href='x"), (5, "http://a/", "<p>" * 3000 + "deep"),
            (6, "http://a/", "<script>never closed <p>x"), (None, "http://a/", "<p>&amp &a &#x41;</p>")]
