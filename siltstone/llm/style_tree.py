@@ -293,12 +293,12 @@ def low_branches(parsed: DataFrame) -> DataFrame:
     places = pages.select("host", F.explode("nodes").alias("n")).groupBy("host", "n.key", "n.style").agg(
         F.count("*").alias("times"), F.max("n.kinds").alias("kinds")
     )
+    log = lambda x: F.ln(F.greatest(F.col(x), F.lit(2 if x == "m" else 1)).cast("double"))
+    # The entropy ln m - sum(times * ln times) / m, as a share of ln m.
     nodes = places.groupBy("host", F.col("key").alias("node_key")).agg(
-        F.sum("times").alias("m"), F.collect_list("times").alias("styles"), F.avg("kinds").alias("kinds")
+        F.sum("times").alias("m"), F.sum(F.col("times") * log("times")).alias("alike"), F.avg("kinds").alias("kinds")
     )
-    log = lambda x: F.ln(F.greatest(F.col(x), F.lit(2 if x == "m" else 1)).cast("double"))
-    share = lambda x: x / F.col("m")
-    looks = F.aggregate("styles", F.lit(0.0), lambda total, x: total - share(x) * F.ln(share(x)) / log("m"))
+    looks = 1 - F.col("alike") / (F.col("m") * log("m"))
     nodes = written(nodes.select(F.col("host").alias("h"), "node_key", "m", "kinds", looks.alias("looks")), "nodes")
     seen = written(seen, "seen")
     measured = nodes.filter(F.col("m") >= MIN_PAGES)

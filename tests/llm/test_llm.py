@@ -454,6 +454,15 @@ def test_style_tree_names_and_links_are_priors(spark):
     assert extracted(spark, pages) == {i: "\n".join(s) for i, s in stories.items()}
 
 
+def test_style_tree_collects_no_rows_of_a_host(spark, monkeypatch):
+    def refused(*_):
+        raise AssertionError("one row for all styles of a node")
+
+    monkeypatch.setattr(style_tree.F, "collect_list", refused)
+    pages = {i: f"<body><div id={'a' if i % 2 else 'b'}>{'<p>x</p>' * (1 + (i // 2 % 2) * (i % 2))}</div><p>{i}</p>" for i in range(40)}
+    assert extracted(spark, pages) == {i: str(i) for i in pages}
+
+
 def test_style_tree_odd_pages(spark):
     odd = [(1, None, None), (2, "x", ""), (3, "http://a/", "just text"), (4, "http://a/", "<p>cut <a href='x"), (5, "http://a/", "<p>" * 3000 + "deep"),
            (6, "http://a/", "<script>never closed <p>x"), (None, "http://a/", "<p>&amp &a &#x41;</p>")]
