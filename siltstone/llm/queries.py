@@ -40,7 +40,7 @@ def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = warc.with_revisits(_table(spark, sf_dir, "pages"))
     files = warc.write_archive(pages, new_path(spark, "warc"))
-    records = warc.resolved(written(warc.read_archive(files, payload=False), "records"))
+    records = warc.resolved(warc.whole(written(warc.read_archive(files, payload=False), "records"), files))
     return records.select(
         "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type",
         F.col("refers_to_page").alias("refers_to"), "digest_holds",

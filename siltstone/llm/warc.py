@@ -38,7 +38,6 @@ FILE_BYTES = 64 << 20
 SPLIT_BYTES = 8 << 20
 MAGIC = b"\x1f\x8b\x08"
 _READ = 1 << 16
-_LONGEST_HEADER = 1 << 20
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _KEY = re.compile(r"<urn:page:(-?\d+)>")
 
@@ -149,7 +148,7 @@ class _Window:
         file.seek(start)
 
     def more(self) -> bool:
-        new = self.file.read(_READ)
+        new = self.file.read(max(_READ, len(self.data)))
         self.data += new
         return bool(new)
 
@@ -158,27 +157,27 @@ class _Window:
 
 
 def _header(window: _Window) -> tuple[dict[str, str], bytes, zlib._Decompress, int] | None:
-    """Decodes a member's WARC header; None if no member with such a header starts here.
+    """Decodes a member's WARC header, however long; None if no member with such a header starts here.
 
     Returns the fields, what was decoded beyond them, the open decoder and the bytes it has read."""
-    unpack, text, used = zlib.decompressobj(31), b"", 0
+    unpack, text, used = zlib.decompressobj(31), bytearray(), 0
     while True:
         if used == len(window.data) and not window.more():
             return None
+        looked = max(0, len(text) - 3)
         try:
             text += unpack.decompress(window.data[used:])
         except zlib.error:
             return None
         used = len(window.data)
-        if text[: len(b"WARC/1.")] != b"WARC/1."[: len(text)] or unpack.eof and b"\r\n\r\n" not in text:
+        ends = text.find(b"\r\n\r\n", looked)
+        if text[: len(b"WARC/1.")] != b"WARC/1."[: len(text)] or unpack.eof and ends < 0:
             return None
-        head, found, rest = text.partition(b"\r\n\r\n")
-        if found:
-            lines = head.decode("utf-8", "surrogatepass").split("\r\n")[1:]
+        if ends >= 0:
+            rest = bytes(text[ends + 4 :])
+            lines = text[:ends].decode("utf-8", "surrogatepass").split("\r\n")[1:]
             fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
             return (fields, rest, unpack, used) if fields.get("content-length", "").isdigit() else None
-        if len(text) > _LONGEST_HEADER:
-            return None
 
 
 def records_of(store: fs.FileSystem, path: str, start: int, end: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
@@ -262,6 +261,14 @@ def read_archive(files: DataFrame, *, payload: bool = True, split_bytes: int = S
     return splits.repartition(int(min(total, 100_000))).mapInArrow(run, schema)
 
 
+def whole(records: DataFrame, files: DataFrame) -> DataFrame:
+    """The records read, if they are as many as the files (path, bytes, records) were written with."""
+    read, stored = records.count(), files.agg(F.sum("records")).first()[0] or 0
+    if read != stored:
+        raise ValueError(f"{read} records read of {stored} written")
+    return records
+
+
 def resolved(records: DataFrame) -> DataFrame:
     """Gives revisits the payload_bytes of the response they refer to.
 

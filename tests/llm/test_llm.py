@@ -165,6 +165,16 @@ def test_warc_round_trip_over_small_splits(spark, sf_dir):
         assert kinds >= {(10**9, "revisit", 10**9 + 1), (10**9 + 1, "response", None), (None, "revisit", 10**9 + 2), (10**9 + 2, "response", None)}
 
 
+def test_warc_reads_long_headers_and_misses_none(spark):
+    url = np.random.default_rng(5).bytes(2 << 20).hex()
+    pages = spark.createDataFrame([(1, url, "abc"), (2, "b", "abcd")], "page_id bigint, url string, html string")
+    files = warc.write_archive(warc.with_revisits(pages), new_path(spark, "warc"))
+    records = written(warc.read_archive(files), "records")
+    assert {r["page_id"]: r["url"] for r in warc.whole(records, files).collect()} == {1: url, 2: "b"}
+    with pytest.raises(ValueError, match="1 records read of 2 written"):
+        warc.whole(records.filter("page_id = 2"), files)
+
+
 def test_warc_stores_small_payloads_each_time(spark):
     pages = spark.createDataFrame([(1, "a", "abc"), (2, "b", "abc"), (3, "c", "abcd"), (4, "d", "abcd")], "page_id bigint, url string, html string")
     rows = warc.with_revisits(pages, min_bytes=4).collect()
