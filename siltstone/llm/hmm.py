@@ -10,9 +10,10 @@ at a time would make of each token seen once. All shares add up to one.
 
 The model is trained by Baum-Welch on all training texts: each task runs the forward and
 backward recursions over its texts and returns expected counts, which are added up across
-partitions; the driver holds the model alone, whose size is fixed. Training reads
-texts in pieces of at most PIECE tokens. Scoring runs the scaled forward recursion
-over each whole text, for many texts at a time, so the likelihood is exact.
+partitions; the driver holds the model alone, whose size is fixed. Both training and
+scoring run over each whole text, for many texts at a time, so likelihood and counts are
+exact. Training keeps the forward variables of every PIECE-th step and computes those in
+between again, so its memory does not grow with the length of a text times the states.
 
 Texts are cut into tokens once. Each block of texts lists its distinct words with their
 counts; the vocabulary is their sum over all blocks, and goes back to the blocks by
@@ -43,6 +44,7 @@ STATES, ROUNDS = 6, 5
 TOP, TAIL = 3000, 400
 #: Share of the class distribution of all training tokens in each state's emissions.
 FLOOR = 0.01
+#: Steps between the forward variables that training keeps.
 PIECE = 512
 BLOCK_BYTES = 16 << 20
 #: Texts whose recursions run side by side hold about this many tokens.
@@ -233,59 +235,78 @@ class _Packed:
         return slice(int(self.first[t]), int(self.first[t + 1]))
 
 
-def forward(model: Model, packed: _Packed, keep: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(log likelihood per sequence, scaled forward variables and scales if kept).
+def _stretch(model: Model, packed: _Packed, alpha: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(forward variables, scales, emissions) of the tokens of steps low to high, from the variables before them.
 
     The forward variables are scaled to one at each step; the logs of the scales add up to
     the log likelihood."""
-    n = len(packed.order)
-    total = np.zeros(n)
-    kept = np.empty((len(packed.tokens), STATES)) if keep else np.empty((0, STATES))
-    scales = np.empty(len(packed.tokens)) if keep else np.empty(0)
-    alpha = np.empty((0, STATES))
-    for t, active in enumerate(packed.active):
-        span = packed.span(t)
-        emit = model.emit[packed.tokens[span]]
-        alpha = (model.start if t == 0 else alpha[:active] @ model.move) * emit
-        scale = alpha.sum(1)
-        alpha /= scale[:, None]
-        total[:active] += np.log(scale)
+    ends = packed.first[low : high + 1].tolist()
+    emit = model.emit[packed.tokens[ends[0] : ends[-1]]]
+    kept, scales = np.empty_like(emit), np.empty(len(emit))
+    for k in range(high - low):
+        a, b = ends[k] - ends[0], ends[k + 1] - ends[0]
+        now, scale = kept[a:b], scales[a:b]
+        if low + k:
+            np.matmul(alpha[: b - a], model.move, out=now)
+            now *= emit[a:b]
+        else:
+            np.multiply(model.start, emit[a:b], out=now)
+        np.add.reduce(now, 1, out=scale)
+        now /= scale[:, None]
+        alpha = now
+    return kept, scales, emit
+
+
+def forward(model: Model, packed: _Packed, keep: bool) -> tuple[np.ndarray, list[np.ndarray], tuple[np.ndarray, ...] | None]:
+    """(log likelihood per sequence; if kept, the variables before each PIECE of steps, and the last stretch)."""
+    n, steps = len(packed.order), len(packed.active)
+    total, alpha, marks, last = np.zeros(n), np.empty((0, STATES)), [], None
+    for low in range(0, steps, PIECE):
+        high = min(low + PIECE, steps)
         if keep:
-            kept[span], scales[span] = alpha, scale
+            marks.append(alpha)
+        last = _stretch(model, packed, alpha, low, high)
+        active = packed.active[low:high]
+        rank = np.arange(active.sum()) - np.repeat(np.cumsum(active) - active, active)
+        total += np.bincount(rank, np.log(last[1]), n)
+        alpha = last[0][len(rank) - int(active[-1]) :].copy()
     out = np.empty(n)
     out[packed.order] = total
-    return out, kept, scales
+    return out, marks, last if keep else None
 
 
 def expected(model: Model, packed: _Packed) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Expected counts (start, move, emit) of the sequences, and their log likelihood."""
-    total, alpha, scales = forward(model, packed, True)
-    move = np.zeros((STATES, STATES))
-    beta = np.ones((0, STATES))
-    for t in range(len(packed.active) - 1, -1, -1):
-        active, span = packed.active[t], packed.span(t)
-        if len(beta) < active:  # sequences that end here
-            beta = np.concatenate([beta, np.ones((active - len(beta), STATES))])
-        alpha[span] *= beta  # from here on: the posterior of the states
-        if t:
-            ahead = model.emit[packed.tokens[span]] * beta / scales[span][:, None]
-            before = alpha[packed.span(t - 1)][:active]
-            move += before.T @ ahead
-            beta = ahead @ model.move.T
-    start = alpha[packed.span(0)].sum(0) if len(packed.active) else np.zeros(STATES)
-    emit = np.stack([np.bincount(packed.tokens, alpha[:, s], CLASSES) for s in range(STATES)], axis=1)
+    total, marks, last = forward(model, packed, True)
+    start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((CLASSES, STATES))
+    beta, back, steps = np.ones((0, STATES)), np.ascontiguousarray(model.move.T), len(packed.active)
+    for low in range((len(marks) - 1) * PIECE, -1, -PIECE):
+        high = min(low + PIECE, steps)
+        alpha, scales, emission = last or _stretch(model, packed, marks[low // PIECE], low, high)
+        last = None
+        ends = packed.first[low : high + 1].tolist()
+        emission /= scales[:, None]
+        for k in range(high - low - 1, -1, -1):
+            a, b = ends[k] - ends[0], ends[k + 1] - ends[0]
+            if len(beta) < b - a:  # sequences that end here
+                beta = np.concatenate([beta, np.ones((b - a - len(beta), STATES))])
+            alpha[a:b] *= beta  # from here on: the posterior of the states
+            if low + k:
+                ahead = emission[a:b]
+                ahead *= beta
+                before = alpha[ends[k - 1] - ends[0] :][: b - a] if k else marks[low // PIECE][: b - a]
+                move += before.T @ ahead
+                beta = ahead @ back
+        if not low:
+            start = alpha[: ends[1] - ends[0]].sum(0)
+        tokens = packed.tokens[ends[0] : ends[-1]]
+        emit += np.stack([np.bincount(tokens, alpha[:, s], CLASSES) for s in range(STATES)], axis=1)
     return start, move * model.move, emit, float(total.sum())
 
 
-def _groups(column: pa.Array, longest: int | None) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+def _groups(column: pa.Array) -> Iterator[tuple[list[int], list[np.ndarray]]]:
     """(places, sequences) of about SIDE_BY_SIDE tokens, of similar lengths."""
-    sequences, places = [], []
-    for i, raw in enumerate(column.to_pylist()):
-        whole = np.frombuffer(raw, dtype=np.int16)
-        step = longest or len(whole)
-        for low in range(0, len(whole), step):
-            sequences.append(whole[low : low + step])
-            places.append(i)
+    sequences = [np.frombuffer(raw, dtype=np.int16) for raw in column.to_pylist()]
     order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
     part: list[int] = []
     held = 0
@@ -293,10 +314,10 @@ def _groups(column: pa.Array, longest: int | None) -> Iterator[tuple[list[int],
         part.append(i)
         held += len(sequences[i])
         if held >= SIDE_BY_SIDE:
-            yield [places[j] for j in part], [sequences[j] for j in part]
+            yield part, [sequences[j] for j in part]
             part, held = [], 0
     if part:
-        yield [places[j] for j in part], [sequences[j] for j in part]
+        yield part, [sequences[j] for j in part]
 
 
 def baum_welch_round(sequences: DataFrame, model: Model, shares: Shares) -> tuple[Model, float]:
@@ -307,7 +328,7 @@ def baum_welch_round(sequences: DataFrame, model: Model, shares: Shares) -> tupl
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, move, emit, total = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((CLASSES, STATES)), 0.0
         for batch in batches:
-            for _, part in _groups(batch.column("classes"), PIECE):
+            for _, part in _groups(batch.column("classes")):
                 a, b, c, d = expected(model, _Packed(part))
                 start, move, emit, total = start + a, move + b, emit + c, total + d
         values = np.concatenate([[total], start, move.reshape(-1), emit.reshape(-1)])
@@ -332,7 +353,7 @@ def _scored(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             score = np.zeros(batch.num_rows)
-            for places, part in _groups(batch.column("classes"), None):
+            for places, part in _groups(batch.column("classes")):
                 score[places] = forward(model, _Packed(part), False)[0] / np.log(10)
             rest = [n for n in batch.schema.names if n not in ("classes", "within")]
             total = score + batch.column("within").to_numpy()

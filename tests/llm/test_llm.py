@@ -209,6 +209,24 @@ def test_forward_and_expected_counts_equal_enumeration():
     assert all(np.allclose(a, b) for a, b in zip(found, (start, move, emit)))
 
 
+def test_hmm_trains_on_whole_texts(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    shares = hmm.Shares(100, 50, np.zeros(hmm.CLASSES), np.zeros(hmm.CLASSES))
+    shares.smoothed[:20] = rng.integers(1, 9, 20)
+    model = hmm.initial(shares)
+    texts = [rng.integers(0, 20, n).astype(np.int16) for n in (1, 511, 512, 513, 1024, 2000)]
+    df = spark.createDataFrame([(t.tobytes(),) for t in texts], "classes binary")
+    got, likelihood = hmm.baum_welch_round(df, model, shares)
+    assert math.isclose(likelihood, hmm.forward(model, hmm._Packed(texts), False)[0].sum(), rel_tol=1e-9)
+    parts = hmm.expected(model, hmm._Packed(texts))
+    monkeypatch.setattr(hmm, "PIECE", 10_000)
+    whole = hmm.expected(model, hmm._Packed(texts))
+    assert all(np.allclose(a, b) for a, b in zip(parts, whole))
+    assert math.isclose(whole[0].sum(), len(texts)) and math.isclose(whole[1].sum(), sum(len(t) - 1 for t in texts))
+    start, move = whole[0] + 0.1, whole[1] + 0.1
+    assert np.allclose(got.start, start / start.sum()) and np.allclose(got.move, move / move.sum(1, keepdims=True))
+
+
 def test_hmm_counts_base_and_gain(spark, sf_dir):
     rows = {r["doc_id"]: r for r in hmm.hmm_scores(documents(spark, sf_dir)).collect()}
     docs = documents(spark, sf_dir).collect()
