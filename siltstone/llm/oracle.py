@@ -111,4 +111,83 @@ SELECT page_id, strlen(h)::BIGINT AS payload_bytes, digest AS payload_digest,
 FROM p JOIN g USING (h) JOIN letters USING (h)
 """
 
-ORACLE = {"op2_warc": _WARC, "op4_adaptive_rules": _adaptive_rules()}
+#: By comparing all pairs. A beam wider than a shard of the graph finds the same rows, so this holds for
+#: small tables; at any size the tests measure recall.
+_NEAREST = """
+WITH v AS (
+    SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+pairs AS (
+    SELECT q.vec_id AS query_id, q.e, v.vec_id,
+        sqrt(list_sum(list_transform(list_zip(q.e, v.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS score
+    FROM v AS q JOIN v ON v.vec_id <> q.vec_id AND len(v.e) = len(q.e) WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id, e ORDER BY score, vec_id))::INTEGER AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 10
+"""
+
+#: The checksum goes byte by byte through a table of 256 remainders; words one edit apart agree once the same
+#: letter is left out of both, or one letter out of the longer.
+_SPELLING = r"""
+WITH RECURSIVE remainders AS (
+    SELECT list_transform(range(256), lambda x: list_reduce(
+        list_prepend(x, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+    )) AS t
+),
+runs AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+    WHERE length(run) >= 5 GROUP BY ALL
+),
+bytes AS (SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs),
+hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT)),
+        lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])
+    )) AS h
+    FROM bytes, remainders
+),
+words AS (
+    SELECT word, sum(n)::BIGINT AS n
+    FROM (
+        SELECT CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed
+    )
+    WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+),
+shorter AS (
+    SELECT word, n, i, word[:i] || word[i + 2:] AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+),
+near AS (
+    SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b USING (i, rest) WHERE a.word <> b.word
+    UNION
+    SELECT s.word, s.n, w.word, w.n FROM shorter s JOIN words w ON w.word = s.rest
+    UNION
+    SELECT w.word, w.n, s.word, s.n FROM shorter s JOIN words w ON w.word = s.rest
+),
+judged AS (
+    SELECT word, n, count(*) AS n_near, min((-near_n, near)) AS best FROM near GROUP BY word, n
+),
+forms AS (
+    SELECT word, n, n_near, CASE WHEN -best[1] >= 2 * n THEN best[2] END AS form, CASE WHEN -best[1] >= 2 * n THEN -best[1] END AS form_n
+    FROM judged
+),
+steps AS (
+    SELECT word, form AS root FROM forms WHERE form IS NOT NULL
+    UNION ALL
+    SELECT s.word, f.form FROM steps s JOIN forms f ON f.word = s.root WHERE f.form IS NOT NULL
+),
+roots AS (
+    SELECT word, root FROM steps WHERE root NOT IN (SELECT word FROM forms WHERE form IS NOT NULL)
+)
+SELECT w.word, f.form, coalesce(r.root, w.word) AS root, w.n, coalesce(f.n_near, 0)::BIGINT AS n_near, f.form_n
+FROM words w LEFT JOIN forms f ON f.word = w.word LEFT JOIN roots r ON r.word = w.word
+"""
+
+ORACLE = {
+    "op2_warc": _WARC,
+    "op4_adaptive_rules": _adaptive_rules(),
+    "op11_hnsw": _NEAREST,
+    "op13_spelling_variants": _SPELLING,
+}

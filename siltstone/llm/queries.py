@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import (
     adaptive_rules,
+    alignment,
     anchor_simhash,
     cross_polytope,
     gumbel_pieces,
     hmm,
+    hnsw,
     pareto_mix,
     quality_gam,
+    spelling,
     splitters,
     style_tree,
     warc,
@@ -100,10 +103,23 @@ def op10_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gumbel_pieces.sampled(docs).select("row.doc_id", *gumbel_pieces.COLUMNS)
 
 
+def op11_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.token_alignment(_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_quality_gam, op2_warc, op3_hmm_lm, op4_adaptive_rules, op5_cross_polytope, op6_pareto_mix, op7_style_tree,
-        op8_splitter_shards, op9_anchor_simhash, op10_gumbel_pieces,
+        op8_splitter_shards, op9_anchor_simhash, op10_gumbel_pieces, op11_hnsw, op12_token_alignment,
+        op13_spelling_variants,
     )
 }

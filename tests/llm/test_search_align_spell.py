@@ -1,0 +1,327 @@
+"""Nearest neighbours, token alignment and spelling variants, each against brute force, and on odd input."""
+
+import hashlib
+import json
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import sentencepiece
+import tokenizers
+
+from siltstone.llm import alignment, hnsw, spelling
+from siltstone.llm.queries import QUERIES
+
+# ---------------------------------------------------------------- nearest neighbours
+
+
+def distance(v, w):
+    """Added up in order; numbers whose squares leave the range of a double are scaled first."""
+    apart = [a - b for a, b in zip(v, w, strict=True)]
+    most = max(map(abs, apart))
+    scale = most if most > 1e100 or 0 < most < 1e-150 else 1.0
+    total = 0.0
+    for x in apart:
+        total += (x / scale) * (x / scale)
+    return scale * float(np.sqrt(total))
+
+
+def brute_nearest(rows, nearest=10):
+    """{(query id, its vector): [(id, distance)]}, over rows (id, list) that may be odd."""
+
+    def usable(v):
+        return v and all(c is not None and np.isfinite(c) for c in v) and any(v)
+
+    rows = {(i, tuple(v)) for i, v in rows if i is not None and usable(v)}
+    found = {}
+    for i, v in rows:
+        if i % 100 == 0:
+            others = [(distance(v, w), j) for j, w in rows if j != i and len(w) == len(v)]
+            found[i, v] = [(j, d) for d, j in sorted(others)[:nearest]]
+    return found
+
+
+def answers(df):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    return {q: [(v, s) for _, v, s in sorted(found)] for q, found in out.items()}
+
+
+def clustered(n, seed, length=24):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(6, length))
+    return (centres[rng.integers(0, 6, n)] + 0.5 * rng.normal(size=(n, length))).astype(np.float32)
+
+
+def test_recall_on_one_shard_and_scores():
+    x = clustered(6000, 1).astype(float)
+    graph = hnsw.build(x, 0)
+    q = x[:200]
+    place, far = graph.nearest(q, hnsw.BEAM)
+    truth = ((q[:, None] - x[None]) ** 2).sum(2)
+    best = np.argsort(truth, 1)[:, :11]
+    assert np.mean([len(set(a) & set(b)) / 11 for a, b in zip(place[:, :11], best, strict=True)]) > 0.97
+    assert np.allclose(far[:, :11], np.take_along_axis(truth, place[:, :11], 1))
+
+
+def test_every_node_is_reached_from_the_entry():
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=(300, 8)) * 0.01 + 50 * k for k in range(6)])  # far clusters
+    graph = hnsw.build(x[rng.permutation(len(x))], 5)
+    seen, edge = {graph.entry}, [graph.entry]
+    while edge:
+        edge = [p for p in {int(p) for e in edge for p in graph.links[0][e] if p >= 0} if p not in seen]
+        seen.update(edge)
+    assert len(seen) == len(x)
+    assert set(np.argsort(((x[:3][:, None] - graph.x) ** 2).sum(2), 1)[0, :3]) <= set(graph.nearest(x[:3], 64)[0][0])
+
+
+def test_upper_layers_hold_a_share_of_the_nodes():
+    level = hnsw.levels(40_000, 1)
+    assert 0.8 / hnsw.LINKS < (level >= 1).mean() < 1.2 / hnsw.LINKS
+    assert (level == hnsw.levels(40_000, 1)).all()
+
+
+def test_search_over_shards_has_recall_and_reruns_agree(spark):
+    x = clustered(5000, 3)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>").repartition(4)
+    got = answers(hnsw.nearest_neighbours(df, df["vec_id"] % 100 == 0))
+    want = brute_nearest([(i, v.tolist()) for i, v in enumerate(x)])
+    hits = [len({v for v, _ in got[q]} & {v for v, _ in near}) for (q, _), near in want.items()]
+    assert np.mean(hits) >= 9.5
+    exact = {(q, v): s for (q, _), near in want.items() for v, s in near}
+    assert all(exact.get((q, v), s) == s for q, near in got.items() for v, s in near)
+    assert got == answers(hnsw.nearest_neighbours(df.repartition(7), df["vec_id"] % 100 == 0))
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 2.0]), (100, [1.0, 2.0]), (200, [1.0, 2.0]), (3, [1.0, 2.5]), (4, None), (5, []), (6, [0.0, 0.0]),
+        (7, [nan, 1.0]), (8, [inf, 1.0]), (9, [None, 1.0]), (None, [1.0, 2.0]), (300, [5.0, 5.0]), (300, [5.0, 5.0]),
+        (400, [1.0, 2.0, 3.0]), (401, [1.0, 2.0, 4.0]), (500, None), (600, [0.0, 0.0]), (700, [7.0]),
+        (-100, [1e300, 1.0]), (11, [1e-200, 0.0]),
+    ]
+    rows += [(1000 + i, [9.0, 9.0]) for i in range(40)]  # many ties
+    df = spark.createDataFrame([(*r, "x", "y", 1.0, 2) for r in rows], "vec_id bigint, embedding array<double>, shard string, ids string, score double, rank int")
+    got = answers(hnsw.nearest_neighbours(df.repartition(3), df["vec_id"] % 100 == 0))
+    want = {q: near for (q, _), near in brute_nearest(rows).items() if near}
+    assert got == want
+    assert 700 not in got and 500 not in got and 600 not in got
+    # Rows of one id with different vectors are searched each, and never find each other.
+    two = spark.createDataFrame([(0, [1.0]), (0, [4.0]), (1, [2.0])], "vec_id bigint, embedding array<double>")
+    assert sorted(map(tuple, hnsw.nearest_neighbours(two, two["vec_id"] % 100 == 0).collect())) == [(0, 1, 1, 1.0), (0, 1, 1, 2.0)]
+
+
+def test_many_shards_stay_exact_where_the_beam_covers_them(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        rows = [(i, v.tolist()) for i, v in enumerate(clustered(900, 4, 7))]
+        df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+        assert answers(hnsw.nearest_neighbours(df, df["vec_id"] % 100 == 0)) == {q: n for (q, _), n in brute_nearest(rows).items()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+# ---------------------------------------------------------------- token alignment
+
+
+def brute_alignment(rows):
+    """[(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, digest)] by loops over tokens."""
+    one = tokenizers.Tokenizer.from_file(alignment.BYTE_FILE)
+    one.encode_special_tokens = True
+    two = sentencepiece.SentencePieceProcessor(model_file=alignment.PIECE_FILE)
+    letters = alignment.byte_alphabet()
+    with open(alignment.BYTE_FILE, encoding="utf-8") as f:
+        spelt = {i: bytes(letters[c] for c in t) for t, i in json.load(f)["model"]["vocab"].items() if i != 50256}
+
+    def piece(i):
+        text = two.id_to_piece(i)
+        return bytes([int(text[3:5], 16)]) if two.is_byte(i) else text.replace("▁", " ").encode()
+
+    found = []
+    for doc_id, text in rows:
+        a = one.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = two.encode(text) if text else []
+        sa, sb = [spelt[i] for i in a], [piece(i) for i in b]
+        if not text or not b"".join(sa) == b"".join(sb) == b" " + text.encode():
+            found.append((doc_id, [], [], [], []))
+            continue
+        ea, eb = np.cumsum([0, *map(len, sa)]), np.cumsum([0, *map(len, sb)])
+        links = [
+            (a[i], b[j]) for i in range(len(a)) for j in range(len(b)) if max(ea[i], eb[j]) < min(ea[i + 1], eb[j + 1])
+        ]
+        groups, low = [], 0
+        for cut in sorted(set(ea[1:]) & set(eb[1:])):
+            sides = [[ids[k] for k in range(len(ids)) if low <= e[k] < cut] for ids, e in ((a, ea), (b, eb))]
+            groups.append("|".join(",".join(map(str, side)) for side in sides))
+            low = cut
+        found.append((doc_id, a, b, groups, links))
+    count = Counter(link for *_, links in found for link in links)
+    most = {}
+    for (_, b), n in count.items():
+        most[b] = max(most.get(b, 0), n)
+    return [
+        (d, len(a), len(b), len(g), len(ls), sum(count[x] == most[x[1]] for x in ls), sum(count[x] for x in ls),
+         hashlib.sha256(";".join(g).encode()).hexdigest() if g else "")
+        for d, a, b, g, ls in found
+    ]
+
+
+ODD_TEXTS = [
+    None, "", " ", "  ", "a", "▁", "a ▁ b", "<|endoftext|> </s> <unk> <0x0A> <s>", "\x00\x01", "línea\r\n\tfin  ",
+    "字字字 😀 ÄÖß Ünïcode", "don't we'll I'M", "x" * 700, "  many   spaces    here", "á​ b", "123 4567,89",
+    "٣٤٥ ½ Ⅷ", " line ", "the the the",
+]
+
+
+def aligned_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: (r[0] is not None, r))
+
+
+def test_alignment_equals_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    short = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect() if r["text"] is None or len(r["text"]) < 900]
+    rows = [*short[:60], *((10_000 + i, t) for i, t in enumerate(ODD_TEXTS)), (None, "no id at all"), (10_001, "twice"), (10_001, "twice")]
+    df = spark.createDataFrame([(*r, "b", 7, "n") for r in rows], "doc_id bigint, text string, block string, place int, low string")
+    got = aligned_rows(alignment.token_alignment(df.repartition(3)))
+    assert got == sorted(brute_alignment(rows), key=lambda r: (r[0] is not None, r))
+    assert sum(1 for r in got if r[1]) > 60 and sum(1 for r in got if not r[1]) >= 4
+
+
+def test_blocks_and_pieces_of_work_change_nothing(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(80).cache()
+    whole = aligned_rows(alignment.token_alignment(docs))
+    stored = alignment._stored(alignment.BYTE_FILE, alignment.PIECE_FILE)
+    monkeypatch.setattr(alignment, "TOGETHER", 5000)
+    monkeypatch.setattr(alignment, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr("pyspark.TaskContext.get", staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 3})()))
+    rows = docs.select("doc_id", "text").collect()
+    batch = pa.RecordBatch.from_pydict({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    table = pa.Table.from_batches(list(stored(iter([batch]))))
+    assert len(set(table["block"].to_pylist())) > 3
+    counts = [dict(zip(table.column_names, row, strict=True)) for row in zip(*(c.to_pylist() for c in table.columns), strict=True)]
+    total = Counter()
+    for r in counts:
+        if r["place"] is not None:
+            total[r["pair"]] += r["n"]
+    assert sum(total.values()) == sum(r[4] for r in whole)
+    by_doc = {r["doc_id"]: (r["n_a"], r["n_b"], r["n_groups"], r["n_links"], r["groups_sha256"]) for r in counts if r["place"] is None}
+    assert by_doc == {r[0]: (r[1], r[2], r[3], r[4], r[7]) for r in whole}
+
+
+def test_fast_encoder_has_the_ids_of_the_file(sf_dir, spark):
+    one = alignment.Bytes(alignment.BYTE_FILE)
+    assert one.fast is not None
+    texts = [r[0] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect() if r[0]] + [t for t in ODD_TEXTS if t]
+    want = [e.ids for e in one.whole.encode_batch(texts, add_special_tokens=False)]
+    assert [list(ids) for ids in one.encode(texts)] == want
+    one.fast = None
+    assert [list(ids) for ids in one.encode(texts[:50])] == want[:50]
+
+
+# ---------------------------------------------------------------- spelling variants
+
+
+def near(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute_spelling(rows):
+    import re
+
+    count = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            low = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{low}".encode())
+            if h % 97 == 0:
+                low = low[: h % len(low)] + low[h % len(low) + 1 :]
+            if len(low) >= 5:
+                count[low] += 1
+    n = {w: c for w, c in count.items() if c >= 3}
+    around = {w: [v for v in n if near(w, v)] for w in n}
+    form = {}
+    for w, vs in around.items():
+        best = min(vs, key=lambda v: (-n[v], v), default=None)
+        if best is not None and n[best] >= 2 * n[w]:
+            form[w] = best
+    out = []
+    for w in n:
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, n[w], len(around[w]), n[form[w]] if w in form else None))
+    return sorted(out)
+
+
+def variants(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def noisy_texts(seed, words=60, docs=40):
+    rng = np.random.default_rng(seed)
+    letters = list("aeinstéß")
+    stems = ["".join(rng.choice(letters, rng.integers(5, 9))) for _ in range(words)]
+    out = []
+    for d in range(docs):
+        picked = []
+        for w in rng.choice(stems, 60):
+            if rng.random() < 0.4:
+                i = int(rng.integers(0, len(w)))
+                w = [w[:i] + w[i + 1 :], w[:i] + str(rng.choice(letters)) + w[i + 1 :], w[:i] + str(rng.choice(letters)) + w[i:]][rng.integers(0, 3)]
+            picked.append(w.upper() if rng.random() < 0.1 else w)
+        out.append((d, "! ".join(picked)))
+    return out
+
+
+def test_variants_equal_brute_force(spark):
+    rows = noisy_texts(1) + [
+        (None, "spelling spelling spelling spellin"), (900, None), (901, ""), (902, "spellin spellin Spelling speling speling speling"),
+        (903, "ÀÉ× straße STRASSE strasse strasse strasse straße straße÷"), (904, "abcdefgh " * 9 + "hgfedcba " * 4), (904, "abcdefgh " * 9),
+        (906, "kattla " * 3 + "kettla " * 6 + "kettle " * 14), (905, "x" * 4000 + " " + ("y" * 3999 + " ") * 3 + ("y" * 4000 + " ") * 7),
+    ]
+    df = spark.createDataFrame([(*r, "w", 1, "f") for r in rows], "doc_id bigint, text string, word string, n int, form string").repartition(3)
+    got = variants(spelling.spelling_variants(df))
+    assert got == brute_spelling(rows)
+    assert any(r[1] for r in got) and any(r[2] not in (r[0], r[1]) for r in got) and any(not r[4] for r in got)
+
+
+def test_a_large_group_is_cut_into_blocks(spark, monkeypatch):
+    rows = noisy_texts(2, words=20)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute_spelling(rows)
+    monkeypatch.setattr(spelling, "GROUP", 3)
+    assert variants(spelling.spelling_variants(df)) == want
+
+
+@pytest.mark.parametrize("pair", [("strasse", "strase"), ("strasse", "strassen"), ("strasse", "strosse"), ("anna", "anan"), ("aaaaa", "aaaab")])
+def test_near_words_share_a_signature(pair):
+    assert set(spelling.signatures(pair[0])) & set(spelling.signatures(pair[1]))
+
+
+def test_signatures_miss_nothing_within_two_dimensions():
+    rng = np.random.default_rng(0)
+    for _ in range(500):
+        w = "".join(rng.choice(list("abcdeé"), rng.integers(5, 12)))
+        i = int(rng.integers(0, len(w)))
+        for v in (w[:i] + w[i + 1 :], w[:i] + "z" + w[i + 1 :], w[:i] + "a" + w[i:]):
+            assert set(spelling.signatures(w)) & set(spelling.signatures(v))
+
+
+# ---------------------------------------------------------------- all three
+
+
+@pytest.mark.parametrize("name", ["op11_hnsw", "op12_token_alignment", "op13_spelling_variants"])
+def test_nothing_is_paired_without_a_key(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
