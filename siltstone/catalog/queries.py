@@ -1,4 +1,8 @@
-"""Registered queries: each reads the whole driver tables below ``sf_dir``."""
+"""Registered queries: each reads the whole driver tables below ``sf_dir``.
+
+Some write tables on their way, into a new folder below that of spark.checkpoint.dir; a
+result is read from there, so clear the folder when the results have been read.
+"""
 
 from __future__ import annotations
 
@@ -12,13 +16,20 @@ from pyspark.sql import functions as F
 from siltstone import credit
 from siltstone.functions import cleaning, validity
 from siltstone.functions.casts import double_to_int, lenient_date
-from siltstone.operators import loans, quality, snapshots
+from siltstone.functions.free_dates import with_free_date
+from siltstone.operators import loans, quality, sketches, snapshots
 from siltstone.operators.dedup import duplicate_keys, keep_first
 from siltstone.operators.rules import rewrite_present
 from siltstone.plans import gold, quality_report
+from siltstone.plans.backfill import Layout, all_months, backfill
 from siltstone.plans.stage_counts import row_counts
 from siltstone.plans.silver import CLEANERS, silver_financials, silver_loan_daily
-from siltstone.sources.derived import raw_table, raw_tables
+from siltstone.sources.derived import CSV_COLUMNS, TABLES, csv_records, free_days, raw_table, raw_tables
+from siltstone.sources.snapshot_store import (
+    NoSnapshotsError, list_snapshots, read_month, read_snapshots, snapshot_counts, write_snapshots,
+)
+from siltstone.sources.text_files import read_csv_checked
+from siltstone.sources.work_folder import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,9 +77,15 @@ def off_spine_rows(spark, sf_dir):
 
 
 def feature_store_union(spark, sf_dir):
-    """The feature store over all its snapshots: inputs are deduplicated and joined once, for all months."""
-    features = _gold(spark, sf_dir)
-    return snapshots.union_snapshots([features.select(*reversed(features.columns))])
+    """The feature store, written once for all months, then united from one frame per month found there."""
+    path = work_folder(spark, "feature-store")
+    write_snapshots(_gold(spark, sf_dir), path, all_months())
+    whole = read_snapshots(spark, path)
+    try:
+        days = list_snapshots(spark, path)
+    except NoSnapshotsError:
+        return whole
+    return snapshots.union_snapshots([read_month(spark, path, day, whole) for day in days])
 
 
 def label_store_union(spark, sf_dir):
@@ -79,6 +96,47 @@ def label_store_union(spark, sf_dir):
     return snapshots.union_snapshots([labels.where(first), rest.select(*reversed(rest.columns))])
 
 
+def _mart(spark: SparkSession, sf_dir: str) -> Layout:
+    """Bronze, silver and gold on disk: all months but one, that one by itself, and then another one again."""
+    root = work_folder(spark, "mart")
+    sources = raw_tables(spark, sf_dir)
+    first = [day for day in all_months() if day != SLICE_DAY]
+    for months in (first, [SLICE_DAY], first[-1:]):
+        backfill(spark, sources, root, months)
+    return Layout(root)
+
+
+def mart_round_trip(spark, sf_dir):
+    """The feature store read back from disk, after months of it were run by themselves and again."""
+    return read_snapshots(spark, _mart(spark, sf_dir).table("gold", "feature_store"))
+
+
+def mart_month_counts(spark, sf_dir):
+    """Rows per month of every table on disk, from the footers of their files."""
+    layout = _mart(spark, sf_dir)
+    tables = [(zone, table) for zone in ("bronze", "silver") for table in TABLES]
+    tables += [("gold", "feature_store"), ("gold", "label_store")]
+    counts = [
+        snapshot_counts(read_snapshots(spark, layout.table(zone, table)))
+        .where(F.col("snapshot_date").isNotNull())
+        .select(F.lit(zone).alias("zone"), F.lit(table).alias("table_name"), "snapshot_date", "row_count")
+        for zone, table in tables
+    ]
+    return snapshots.union_snapshots(counts)
+
+
+def csv_round_trip(spark, sf_dir):
+    """Records written as CSV and read back: the rows, and the broken records with what is wrong with them."""
+    folder = work_folder(spark, "csv")
+    header = spark.range(1).select(F.lit(",".join(CSV_COLUMNS)).alias("value"))
+    header.unionAll(csv_records(spark, sf_dir)).write.text(folder)
+    read = read_csv_checked(spark, folder, CSV_COLUMNS, line_breaks=True)
+    none = lambda names: {name: F.lit(None).cast("string") for name in names}
+    return snapshots.union_snapshots(
+        [read.rows.withColumns(none(("record", "reason"))), read.broken.drop("file").withColumns(none(CSV_COLUMNS))]
+    )
+
+
 def row_counts_by_stage(spark, sf_dir):
     """Rows of every table of every zone; each raw table is read once."""
     return row_counts(raw_tables(spark, sf_dir))
@@ -236,6 +294,21 @@ def invalid_customer_samples(spark, sf_dir):
     return quality.invalid_samples(raw_table(spark, sf_dir, "attributes"), rule, ids=("Customer_ID", "Name"))
 
 
+def invalid_distinct_by_sketch(spark, sf_dir):
+    """Distinct failing values per rule, from the sketches stored for each month."""
+    path = work_folder(spark, "sketches")
+    columns = ("loan_id", "Customer_ID", "loan_start_date", *credit.LOAN_COUNT_COLUMNS, "due_amt", "paid_amt")
+    rules = [rule for rule in quality_report.loan_rules() if rule.column in columns]
+    sketches.store_sketches(_bronze(spark, sf_dir, "loan_daily"), "loan_daily", rules, path, all_months())
+    return sketches.distinct_invalid(spark, path)
+
+
+def free_day_texts(spark, sf_dir):
+    """Days in many forms, read by the shapes that the whole column has."""
+    texts = free_days(spark, sf_dir)
+    return with_free_date(texts.withColumn("day", F.col("day_text")), "day")
+
+
 def occupation_counts(spark, sf_dir):
     return quality.value_counts(raw_table(spark, sf_dir, "attributes"), "Occupation", nulls=True)
 
@@ -346,6 +419,11 @@ QUERIES: dict[str, Query] = {
     "label_balance": label_balance,
     "bad_rate_by_mob": bad_rate_by_mob,
     "final_installment_rows": final_installment_rows,
+    "mart_round_trip": mart_round_trip,
+    "mart_month_counts": mart_month_counts,
+    "csv_round_trip": csv_round_trip,
+    "invalid_distinct_by_sketch": invalid_distinct_by_sketch,
+    "free_day_texts": free_day_texts,
     "feature_store_union": feature_store_union,
     "label_store_union": label_store_union,
     "row_counts_by_stage": row_counts_by_stage,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from siltstone import credit
 from siltstone.functions import validity as v
-from siltstone.sources.derived import FINANCIALS, TABLES, raw_sql
+from siltstone.sources.derived import CSV_COLUMNS, CSV_FAULT, CSV_FIELDS, CSV_RECORD, FINANCIALS, FREE_DAYS, TABLES, raw_sql
 
 _KEYS = ", ".join(credit.KEYS)
 
@@ -212,21 +212,20 @@ _LOAN_SUMMARY = (
 
 _PERFORMANCE = """
 SELECT *,
-  CASE WHEN installments_missed > 0 AND snapshot_date IS NOT NULL
-    THEN date_diff('day', cast(snapshot_date - to_months(cast(installments_missed % 4800 AS integer)) AS date), snapshot_date)
-      + (installments_missed // 4800) * 146097
-    ELSE 0 END AS dpd,
+  CASE WHEN snapshot_date IS NULL OR installments_missed = 0 THEN 0 ELSE try_cast(
+    date_diff('day', cast(snapshot_date - to_months(cast(installments_missed % 4800 AS integer)) AS date), snapshot_date)
+      + cast(installments_missed // 4800 AS hugeint) * 146097 AS bigint) END AS dpd,
   CASE WHEN installments_missed > 0 AND installments_missed <= (year(snapshot_date) - 1) * 12 + month(snapshot_date) - 1
     THEN cast(snapshot_date - to_months(cast(installments_missed AS integer)) AS date) END AS first_missed_date
 FROM (
   SELECT *, installment_num AS mob,
-    CASE WHEN overdue_amt > 0 AND due_amt > 0 THEN cast(ceil(overdue_amt / due_amt) AS bigint) ELSE 0 END
+    CASE WHEN overdue_amt > 0 AND due_amt > 0 THEN try_cast(ceil(overdue_amt / due_amt) AS bigint) ELSE 0 END
       AS installments_missed
   FROM silver_loan_daily) counted
 """
 
 _LABELS = (
-    "SELECT loan_id, Customer_ID, CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS label, "
+    "SELECT loan_id, Customer_ID, CASE WHEN dpd >= 30 OR dpd IS NULL THEN 1 ELSE 0 END AS label, "
     "'30dpd_6mob' AS label_def, snapshot_date FROM performance WHERE mob = 6"
 )
 
@@ -422,6 +421,72 @@ def _day_patterns(column: str) -> str:
     )
 
 
+# The months of the backfill.
+_OF_MART = "snapshot_date BETWEEN DATE '2023-01-01' AND DATE '2024-12-01' AND day(snapshot_date) = 1"
+
+
+def _month_counts() -> str:
+    tables = {("bronze", t): f"(SELECT {_day('snapshot_date')} AS snapshot_date FROM raw_{t}) bronze" for t in TABLES}
+    tables |= {("silver", t): f"silver_{t}" for t in TABLES}
+    tables |= {("gold", "feature_store"): "gold", ("gold", "label_store"): "labels"}
+    lines = [
+        f"SELECT '{zone}' AS zone, '{t}' AS table_name, snapshot_date, count(*) AS row_count FROM {relation} "
+        f"WHERE {_OF_MART} GROUP BY snapshot_date"
+        for (zone, t), relation in tables.items()
+    ]
+    return _query(" UNION ALL ".join(lines), *[f"raw_{t}" for t in TABLES], "silver_loan_daily", "gold", "labels")
+
+
+_SKETCHED = {
+    ("loan_id", "loan_id"): _match("loan_id", v.LOAN_ID),
+    ("customer_id", "Customer_ID"): _match("Customer_ID", v.CUSTOMER_ID),
+    ("strict_day", "loan_start_date"): f"{_strict_day('loan_start_date')} IS NOT NULL",
+    **{("whole_number", c): _is_whole(c) for c in credit.LOAN_COUNT_COLUMNS},
+    **{("numeric", c): _numeric(c) for c in ("due_amt", "paid_amt")},
+}
+
+
+def _distinct_invalid() -> str:
+    lines = [
+        f"SELECT 'loan_daily' AS table_name, '{rule}' AS rule_name, '{c}' AS column_name, cast(count(*) AS bigint) AS total, "
+        f"count(*) FILTER (WHERE NOT coalesce({condition}, false)) AS invalid, "
+        f"count(DISTINCT {c}) FILTER (WHERE NOT coalesce({condition}, false)) AS distinct_invalid "
+        f"FROM {_BRONZE_LOANS} WHERE {_OF_MART}"
+        for (rule, c), condition in _SKETCHED.items()
+    ]
+    return _query(" UNION ALL ".join(lines), "raw_loan_daily")
+
+
+def _free_days() -> str:
+    two = r"'^(\d{1,2})[/.-](\d{1,2})[/.-]\d{4}$'"
+
+    def twofold(sign: str) -> str:
+        day_first, month_first = (f"try_strptime(t, '{f.replace('/', sign)}')" for f in ("%d/%m/%Y", "%m/%d/%Y"))
+        return (
+            f"WHEN {_match('t', two[1:-1])} AND contains(t, '{sign}') THEN CASE WHEN (SELECT max(a) > 12 AND max(b) <= 12 "
+            f"FROM numbers WHERE sign = '{sign}') THEN coalesce({day_first}, {month_first}) ELSE coalesce({month_first}, {day_first}) END "
+        )
+
+    plain = {r"^\d{4}-\d{1,2}-\d{1,2}$": "%Y-%m-%d", r"^\d{4}/\d{1,2}/\d{1,2}$": "%Y/%m/%d", r"^\d{8}$": "%Y%m%d"}
+    plain |= {r"^\d{1,2} [A-Z][a-z]{2} \d{4}$": "%d %b %Y", r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$": "%b %d, %Y"}
+    steps = [f"WHEN {_match('t', p)} THEN try_strptime(t, '{f}') " for p, f in plain.items()]
+    return (
+        f"WITH texts AS MATERIALIZED (SELECT {FREE_DAYS['order_key']} AS order_key, {FREE_DAYS['day_text']} AS t FROM orders), "
+        f"numbers AS MATERIALIZED (SELECT regexp_extract(t, '([/.-])', 1) AS sign, "
+        f"cast(regexp_extract(t, {two}, 1) AS integer) AS a, cast(regexp_extract(t, {two}, 2) AS integer) AS b "
+        f"FROM texts WHERE {_match('t', two[1:-1])}) "
+        f"SELECT order_key, t AS day_text, cast(CASE {''.join(map(twofold, '/-.'))}{''.join(steps)}END AS date) AS day FROM texts"
+    )
+
+
+_CSV = (
+    f"WITH records AS MATERIALIZED (SELECT {CSV_FAULT} AS reason, {CSV_RECORD} AS record, "
+    + ", ".join(f"{text} AS {name}" for name, text in CSV_FIELDS.items())
+    + " FROM customer) SELECT "
+    + ", ".join(f"CASE WHEN reason IS NULL THEN {name} END AS {name}" for name in CSV_COLUMNS)
+    + ", CASE WHEN reason IS NOT NULL THEN record END AS record, reason FROM records"
+)
+
 _AGE = _whole_part("replace(Age, '_', '')")
 _AGE_TRUNCATED = f"cast(trunc({_double('replace(Age, chr(95), chr(32))')}) AS integer)"
 
@@ -581,14 +646,20 @@ ORACLE: dict[str, str] = {
         "labels",
     ),
     "bad_rate_by_mob": _query(
-        "SELECT mob, avg(CASE WHEN dpd >= 30 THEN 1 ELSE 0 END) AS bad_rate, count(*) AS row_count "
+        "SELECT mob, avg(CASE WHEN dpd >= 30 OR dpd IS NULL THEN 1 ELSE 0 END) AS bad_rate, count(*) AS row_count "
         "FROM performance WHERE loan_start_date < DATE '2024-01-01' GROUP BY mob",
         "performance",
     ),
     "final_installment_rows": _query(
         "SELECT * FROM silver_loan_daily WHERE installment_num = 10", "silver_loan_daily"
     ),
-    "feature_store_union": _query("SELECT * FROM gold", "gold"),
+    # The store holds the months of the backfill.
+    "feature_store_union": _query(f"SELECT * FROM gold WHERE {_OF_MART}", "gold"),
+    "mart_round_trip": _query(f"SELECT * FROM gold WHERE {_OF_MART}", "gold"),
+    "mart_month_counts": _month_counts(),
+    "csv_round_trip": _CSV,
+    "invalid_distinct_by_sketch": _distinct_invalid(),
+    "free_day_texts": _free_days(),
     "label_store_union": _query("SELECT * FROM labels", "labels"),
     "row_counts_by_stage": _query(
         " UNION ALL ".join(

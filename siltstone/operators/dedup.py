@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.operators.rules import free_name
+
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: how many keys occur more than once and how many rows are surplus."""
@@ -27,4 +29,5 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ())
     rest = [F.col(name).asc_nulls_first() for name in df.columns if name not in keys]
     ordering = [*order, *rest] or [F.lit(0)]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering))
-    return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+    name = free_name(df, "rank")
+    return df.withColumn(name, rank).where(F.col(name) == 1).drop(name)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.cleaning import flag_at_least
@@ -36,24 +36,33 @@ def with_days_past_due(df: DataFrame) -> DataFrame:
     overdue; the first missed one lies that many months before the snapshot, and
     ``dpd`` (BIGINT) is the number of days since then. Where that month lies before
     year 1, ``first_missed_date`` is null and ``dpd`` counts on in the same calendar:
-    whole cycles of 400 years and the months left over.
+    whole cycles of 400 years and the months left over. A number of installments or of
+    days beyond BIGINT is null, which `past_due` counts as past due.
     """
     overdue, due, day = F.col("overdue_amt"), F.col("due_amt"), F.col("snapshot_date")
     missed = F.col("installments_missed")
     owed = (overdue > 0) & (due > 0)
-    count = F.when(owed, F.ceil(F.try_divide(overdue, due))).otherwise(F.lit(0)).cast("bigint")
+    ratio = F.try_divide(overdue, due)
+    # Beyond BIGINT the first branch is null.
+    whole = F.when(ratio < float(1 << 63), F.ceil(ratio))
+    count = F.when(owed, whole).otherwise(F.lit(0)).cast("bigint")
     since_year_one = (F.year(day) - 1) * 12 + F.month(day) - 1
     first = F.when((missed > 0) & (missed <= since_year_one), F.add_months(day, -missed.cast("int")))
     left_over = F.datediff(day, F.add_months(day, -(missed % CYCLE_MONTHS).cast("int"))).cast("bigint")
     cycles = F.try_multiply(F.floor(missed / CYCLE_MONTHS).cast("bigint"), F.lit(CYCLE_DAYS).cast("bigint"))
-    days = F.coalesce(F.try_add(cycles, left_over), F.lit((1 << 63) - 1))
+    days = F.when(missed.isNull() | (missed > 0), F.try_add(cycles, left_over)).otherwise(F.lit(0))
     return (
         df.withColumns({"mob": F.col("installment_num"), "installments_missed": count})
         .withColumn("first_missed_date", first)
-        .withColumn("dpd", F.when((missed > 0) & day.isNotNull(), days).otherwise(F.lit(0)).cast("bigint"))
+        .withColumn("dpd", F.when(day.isNotNull(), days).otherwise(F.lit(0)).cast("bigint"))
     )
 
 
+def past_due(dpd: Column, days: int) -> Column:
+    """1 from so many days past due on, else 0; null days are more than BIGINT holds."""
+    return F.when(dpd.isNull(), F.lit(1)).otherwise(flag_at_least(dpd, days))
+
+
 def performance_labels(df: DataFrame, *, dpd: int = 30, mob: int = 6) -> DataFrame:
     """Labels of the loans that are ``mob`` months old: 1 from ``dpd`` days past due on.
 
@@ -62,7 +71,7 @@ def performance_labels(df: DataFrame, *, dpd: int = 30, mob: int = 6) -> DataFra
     return df.where(F.col("mob") == mob).select(
         "loan_id",
         "Customer_ID",
-        flag_at_least(F.col("dpd"), dpd).alias("label"),
+        past_due(F.col("dpd"), dpd).alias("label"),
         F.lit(f"{dpd}dpd_{mob}mob").alias("label_def"),
         "snapshot_date",
     )
@@ -78,7 +87,7 @@ def bad_rate_by_mob(df: DataFrame, *, dpd: int = 30, started_before: date = date
         df.where(F.col("loan_start_date") < F.lit(started_before))
         .groupBy("mob")
         .agg(
-            F.avg(flag_at_least(F.col("dpd"), dpd)).alias("bad_rate"),
+            F.avg(past_due(F.col("dpd"), dpd)).alias("bad_rate"),
             F.count(F.lit(1)).alias("row_count"),
         )
         .orderBy("mob")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,8 +123,29 @@ def invalid_samples(df: DataFrame, rule: Rule, n: int = 10, *, ids: Sequence[str
     With ``ids``, the columns that identify a row: the first ``n`` distinct rows of ids and
     value, in the order of the value, then of the ids.
     """
-    order = [F.col(name).asc_nulls_first() for name in (rule.column, *ids)]
-    return invalid_rows(df, rule).select(*ids, rule.column).distinct().orderBy(*order).limit(n)
+    return smallest_distinct(invalid_rows(df, rule).select(*ids, rule.column), [rule.column, *ids], n)
+
+
+def smallest_distinct(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` distinct rows in the order of the columns, which are all of the table's; nulls first.
+
+    Each task keeps the ``n`` smallest rows it has met and sends no more than these, whatever
+    the number of distinct rows; so this suits a small ``n``. Columns are text, numbers or dates.
+    """
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            distinct = rows.group_by(list(order)).aggregate([])
+            first = pc.sort_indices(distinct, sort_keys=[(name, "ascending") for name in order], null_placement="at_start")
+            held = distinct.take(first.slice(0, n)).select(rows.column_names)
+        if held is not None:
+            yield from held.to_batches()
+
+    ordering = [F.col(name).asc_nulls_first() for name in order]
+    return df.mapInArrow(kept, df.schema).distinct().orderBy(*ordering).limit(n)
 
 
 def invalid_patterns(
@@ -171,17 +194,25 @@ def label_counts(df: DataFrame, label: Column, labels: Sequence[str], name: str)
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Rows per non-empty bin of equal width between the smallest and largest value.
 
-    The bounds come from a scalar subquery of two numbers; the last bin holds
-    its upper bound. Nulls are left out; equal bounds give bin 1.
+    The last bin holds its upper bound. Nulls are left out; equal bounds give bin 1.
+
+    A column of whole numbers is read once: its rows are counted per value, with partial
+    counts, and the counts give both the bounds and the bins. Other columns may have a value
+    per row, so they are read twice: for the bounds, which are two numbers, and for the bins.
     """
-    value = F.col(column).cast("double")
-    rows = df.where(value.isNotNull() & ~F.isnan(value))
+    value = F.col("value").cast("double")
+    rows = df.select(F.col(column).alias("value")).where(value.isNotNull() & ~F.isnan(value))
+    if df.schema[column].dataType.typeName() in ("byte", "short", "integer", "long"):
+        rows = rows.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        rows = rows.withColumn("n", F.lit(1).cast("bigint"))
+    # With counts, both uses of `rows` are one exchange, which Spark makes once.
     bounds = rows.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
     # width_bucket is null for equal bounds.
     bucket = F.coalesce(F.width_bucket(value, bounds["lo"], bounds["hi"], F.lit(bins)), F.lit(1))
     bucket = F.least(bucket, F.lit(bins))
     return (
         rows.groupBy(bucket.cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("row_count"), F.min(column).alias("smallest"), F.max(column).alias("largest"))
+        .agg(F.sum("n").alias("row_count"), F.min("value").alias("smallest"), F.max("value").alias("largest"))
         .orderBy("bin")
     )

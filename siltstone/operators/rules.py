@@ -1,7 +1,7 @@
 """Rules which apply only to the columns a table has.
 
-Filters drop rows, or mark them: on a table from `marking`, they only clear its column
-MARK, so that one pass can tell the rows before and after all filters.
+Filters drop rows, or mark them: given the name of a column from `marking`, they only clear
+it, so that one pass can tell the rows before and after all filters.
 """
 
 from __future__ import annotations
@@ -14,18 +14,26 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.validity import holds
 
-MARK = "_kept"
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores after it until no column of the table has it, in any case."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
-def marking(df: DataFrame) -> DataFrame:
-    """The table with a column MARK, true for now, that the filters below clear instead of dropping rows."""
-    return df.withColumn(MARK, F.lit(True))
 
+def marking(df: DataFrame) -> tuple[DataFrame, str]:
+    """The table with one more column, true for now, and its name: the filters below clear it where they are
+    told its name, instead of dropping rows."""
+    mark = free_name(df, "kept")
+    return df.withColumn(mark, F.lit(True)), mark
 
-def _filtered(df: DataFrame, condition: Column) -> DataFrame:
-    if MARK in df.columns:
-        return df.withColumn(MARK, F.col(MARK) & holds(condition))
-    return df.where(condition)
+
+def _filtered(df: DataFrame, condition: Column, mark: str | None) -> DataFrame:
+    if mark is None:
+        return df.where(condition)
+    return df.withColumn(mark, F.col(mark) & holds(condition))
 
 
 def rewrite_present(df: DataFrame, rules: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
@@ -35,9 +43,10 @@ def rewrite_present(df: DataFrame, rules: Mapping[str, Callable[[Column], Column
 
 
 def keep_where(
-    df: DataFrame, columns: str | Sequence[str], condition: Callable[..., Column], *, required: bool = False
-) -> DataFrame:
-    """Keeps the rows whose columns meet the condition; null counts as not met.
+    df: DataFrame, columns: str | Sequence[str], condition: Callable[..., Column], *, required: bool = False,
+    mark: str | None = None,
+) -> DataFrame:
+    """Keeps the rows whose columns meet the condition, or clears ``mark`` in the others; null counts as not met.
 
     Does nothing where ``df`` lacks one of the columns, unless they are ``required``.
     """
@@ -45,15 +54,15 @@ def keep_where(
     missing = [name for name in names if name not in df.columns]
     if missing and required:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    return df if missing else _filtered(df, condition(*[F.col(name) for name in names]))
+    return df if missing else _filtered(df, condition(*[F.col(name) for name in names]), mark)
 
 
-def drop_null_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drops rows with a null in any of those named columns that ``df`` has.
+def drop_null_present(df: DataFrame, columns: Sequence[str], *, mark: str | None = None) -> DataFrame:
+    """Drops, or marks, rows with a null in any of those named columns that ``df`` has.
 
     One condition per column: a single condition over all of them (as ``dropna``
     builds) makes the optimizer's constraint set grow exponentially in their
     number once the columns are computed ones.
     """
     present = [F.col(name).isNotNull() for name in columns if name in df.columns]
-    return _filtered(df, reduce(Column.__and__, present)) if present else df
+    return _filtered(df, reduce(Column.__and__, present), mark) if present else df

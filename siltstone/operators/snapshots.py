@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,8 +77,24 @@ def off_spine(df: DataFrame, days: Sequence[date], column: str = SNAPSHOT) -> Da
 def union_snapshots(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows of all frames, columns matched by name; duplicates stay.
 
-    A column missing in one of the frames is an error, and so is an empty list.
+    The columns are checked first: a column missing in one of the frames is an error, and so
+    is an empty list. Frames are united in pairs, and pairs of pairs: each frame is part of
+    as many steps as the number of frames has binary digits, where a chain of unions would
+    have the first one analysed again by every step.
     """
     if not frames:
         raise ValueError("no snapshots to union")
-    return reduce(DataFrame.unionByName, frames)
+    columns = frames[0].columns
+    for number, frame in enumerate(frames):
+        if sorted(frame.columns) != sorted(columns):
+            differing = sorted(set(columns) ^ set(frame.columns)) or "repeated names"
+            raise ValueError(f"frame {number} differs from the first in {differing}")
+    left = [frame if frame.columns == columns else frame.select(*map(_quoted, columns)) for frame in frames]
+    while len(left) > 1:
+        pairs = zip(left[::2], left[1::2], strict=False)
+        left = [a.union(b) for a, b in pairs] + left[len(left) & ~1 :]
+    return left[0]
+
+
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")

@@ -1,7 +1,8 @@
 """Bronze to silver: raw text tables to clean, typed ones.
 
 Every plan is narrow: one scan, one projection, one filter, no shuffle. Rules
-for columns which a table lacks are skipped; the key columns are mandatory.
+for columns which a table lacks are skipped; the key columns are mandatory. With ``mark``,
+a column from `rules.marking`, rows are not dropped: that column is cleared in them.
 """
 
 from __future__ import annotations
@@ -30,24 +31,24 @@ _valid_loan = partial(matches, pattern=LOAN_ID)
 _valid_ssn = partial(matches, pattern=SSN)
 
 
-def silver_clickstream(raw: DataFrame) -> DataFrame:
+def silver_clickstream(raw: DataFrame, *, mark: str | None = None) -> DataFrame:
     """Features as INT; drops rows with an unreadable feature or customer id."""
-    df = keep_where(raw, "Customer_ID", _valid_customer, required=True)
+    df = keep_where(raw, "Customer_ID", _valid_customer, required=True, mark=mark)
     df = rewrite_present(
         df, {**{name: lenient_int for name in credit.CLICK_FEATURES}, "snapshot_date": lenient_date}
     )
-    return drop_null_present(df, credit.CLICK_FEATURES)
+    return drop_null_present(df, credit.CLICK_FEATURES, mark=mark)
 
 
-def silver_attributes(raw: DataFrame) -> DataFrame:
+def silver_attributes(raw: DataFrame, *, mark: str | None = None) -> DataFrame:
     """Drops names; keeps valid ids and SSNs and ages 18 to 65; adds the age band."""
-    df = keep_where(raw.drop("Name"), "Customer_ID", _valid_customer, required=True)
-    df = keep_where(df, "SSN", _valid_ssn)
+    df = keep_where(raw.drop("Name"), "Customer_ID", _valid_customer, required=True, mark=mark)
+    df = keep_where(df, "SSN", _valid_ssn, mark=mark)
     if "Age" in df.columns:
         # Filtering by the age and not by its band keeps the condition small: the
         # optimizer writes the whole ladder out where a band is filtered.
         df = df.withColumn("Age", int_without_underscores(F.col("Age")))
-        df = keep_where(df, "Age", lambda age: age.between(*credit.AGES_KEPT))
+        df = keep_where(df, "Age", lambda age: age.between(*credit.AGES_KEPT), mark=mark)
         df = df.withColumn("Age_Group", band(F.col("Age"), credit.AGE_BANDS))
     return cast_present(df, {"snapshot_date": "date"})
 
@@ -60,6 +61,7 @@ def silver_financials(
     canonical_min_payment: bool = False,
     strip_counts: bool = False,
     min_count: int | None = None,
+    mark: str | None = None,
 ) -> DataFrame:
     """Counts as INT, amounts as DOUBLE, payment behaviour split in two.
 
@@ -75,7 +77,7 @@ def silver_financials(
     """
     number = partial(clean_number, keep_sign=keep_sign)
     counts = partial(int_or_default, strip=strip_counts, min_value=min_count)
-    df = keep_where(raw, "Customer_ID", _valid_customer, required=True)
+    df = keep_where(raw, "Customer_ID", _valid_customer, required=True, mark=mark)
     df = rewrite_present(
         df,
         {
@@ -105,11 +107,12 @@ def silver_financials(
         df,
         ["Num_of_Loan", "Type_of_Loan"],
         lambda count, kind: counts_agree(count, kind) & kind.isNotNull(),
+        mark=mark,
     )
-    return _keep_valid_amounts(df, keep_sign, keep_null_limit)
+    return _keep_valid_amounts(df, keep_sign, keep_null_limit, mark)
 
 
-def _keep_valid_amounts(df: DataFrame, keep_sign: bool, keep_null_limit: bool) -> DataFrame:
+def _keep_valid_amounts(df: DataFrame, keep_sign: bool, keep_null_limit: bool, mark: str | None) -> DataFrame:
     """Range filters, left out where the cleaning already implies them."""
     if keep_sign:
         for name in (
@@ -118,17 +121,17 @@ def _keep_valid_amounts(df: DataFrame, keep_sign: bool, keep_null_limit: bool) -
             "Amount_invested_monthly",
             "Monthly_Balance",
         ):
-            df = keep_where(df, name, lambda c: c >= 0)
+            df = keep_where(df, name, lambda c: c >= 0, mark=mark)
         if keep_null_limit:
-            return keep_where(df, "Changed_Credit_Limit", lambda c: c.isNull() | (c >= 0))
-        return keep_where(df, "Changed_Credit_Limit", lambda c: c >= 0)
-    return df if keep_null_limit else drop_null_present(df, ["Changed_Credit_Limit"])
+            return keep_where(df, "Changed_Credit_Limit", lambda c: c.isNull() | (c >= 0), mark=mark)
+        return keep_where(df, "Changed_Credit_Limit", lambda c: c >= 0, mark=mark)
+    return df if keep_null_limit else drop_null_present(df, ["Changed_Credit_Limit"], mark=mark)
 
 
-def silver_loan_daily(raw: DataFrame, *, keep_sign: bool = False) -> DataFrame:
+def silver_loan_daily(raw: DataFrame, *, keep_sign: bool = False, mark: str | None = None) -> DataFrame:
     """Dates, counts and amounts typed; drops bad ids, start dates and counts."""
-    df = keep_where(raw, "loan_id", _valid_loan, required=True)
-    df = keep_where(df, "Customer_ID", _valid_customer, required=True)
+    df = keep_where(raw, "loan_id", _valid_loan, required=True, mark=mark)
+    df = keep_where(df, "Customer_ID", _valid_customer, required=True, mark=mark)
     money = partial(clean_number, on_null="zero", keep_sign=keep_sign)
     df = rewrite_present(
         df,
@@ -139,7 +142,7 @@ def silver_loan_daily(raw: DataFrame, *, keep_sign: bool = False) -> DataFrame:
             "snapshot_date": lenient_date,
         },
     )
-    return drop_null_present(df, ["loan_start_date", *credit.LOAN_COUNT_COLUMNS])
+    return drop_null_present(df, ["loan_start_date", *credit.LOAN_COUNT_COLUMNS], mark=mark)
 
 
 CLEANERS: Mapping[str, Callable[[DataFrame], DataFrame]] = {

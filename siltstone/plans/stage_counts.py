@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone import credit
-from siltstone.operators.rules import MARK, marking
+from siltstone.operators.rules import marking
 from siltstone.plans.silver import CLEANERS
 
 
@@ -20,22 +20,23 @@ def row_counts(raw: Mapping[str, DataFrame], *, mob: int = 6) -> DataFrame:
     """
     counted = None
     for table, df in raw.items():
-        marked = CLEANERS[table](marking(df))
+        marked, mark = marking(df)
+        marked = CLEANERS[table](marked, mark=mark)
         if table == "financials":
-            lines = _with_keys(marked)
+            lines = _with_keys(marked, mark)
         else:
-            counts = {("bronze", table): F.count(F.lit(1)), ("silver", table): F.count_if(F.col(MARK))}
+            counts = {("bronze", table): F.count(F.lit(1)), ("silver", table): F.count_if(F.col(mark))}
             if table == "loan_daily":
-                counts["gold", "label_store"] = F.count_if(F.col(MARK) & (F.col("installment_num") == mob))
+                counts["gold", "label_store"] = F.count_if(F.col(mark) & (F.col("installment_num") == mob))
             lines = _lines(marked, counts)
         counted = lines if counted is None else counted.unionByName(lines)
     return counted
 
 
-def _with_keys(marked: DataFrame) -> DataFrame:
+def _with_keys(marked: DataFrame, mark: str) -> DataFrame:
     """Financials: rows and keys. Rows are added up per key before the shuffle."""
     per_key = marked.groupBy(*credit.KEYS).agg(
-        F.count(F.lit(1)).alias("all_rows"), F.count_if(F.col(MARK)).alias("kept_rows")
+        F.count(F.lit(1)).alias("all_rows"), F.count_if(F.col(mark)).alias("kept_rows")
     )
     return _lines(
         per_key,

@@ -117,11 +117,64 @@ LOAN_DAILY = {
     "paid_amt": f"CASE WHEN (o_orderkey + i) % 4 = 0 THEN {_money('0')} WHEN o_orderkey % 73 = 0 THEN '1000.00_' ELSE {_money('1000')} END",
     "overdue_amt": f"CASE WHEN i = 0 THEN NULL "
     # More installments missed than the calendar has months before the snapshot.
-    f"WHEN o_orderkey % 101 = 7 THEN '60000000' ELSE {_money('((o_orderkey + i) % 4) * 1000')} END",
+    f"WHEN o_orderkey % 101 = 7 THEN '60000000' "
+    # More installments, and then more days, than a BIGINT holds.
+    f"WHEN o_orderkey % 103 = 9 THEN '{'9' * 23}' WHEN o_orderkey % 107 = 11 THEN '2{'0' * 21}' ELSE {_money('((o_orderkey + i) % 4) * 1000')} END",
     "balance": _suffix_if("o_orderkey % 67 = 0", _money("cast(o_totalprice AS decimal(14,2)) * (10 - i) * 0.1"), "_"),
     "snapshot_date": _dated("o_orderkey", _month("o_custkey % 14 + i")),
 }
 
+# Days in many forms: one shape day first by its values, one month first, one that tells neither.
+_D, _M = "(o_orderkey % 28 + 1)", "(o_custkey % 12 + 1)"
+_EARLY = "(o_orderkey % 12 + 1)"
+_NAME = f"substr('JanFebMarAprMayJunJulAugSepOctNovDec', cast({_M} * 3 - 2 AS int), 3)"
+
+
+def _two(value: str) -> str:
+    return f"lpad(cast({value} AS string), 2, '0')"
+
+
+FREE_DAYS = {
+    "order_key": "o_orderkey",
+    "day_text": f"CASE o_orderkey % 11 WHEN 0 THEN concat('2023-', cast({_M} AS string), '-', cast({_D} AS string)) "
+    f"WHEN 1 THEN concat({_two(_D)}, '/', {_two(_M)}, '/2023') WHEN 2 THEN concat({_two(_M)}, '-', {_two(_D)}, '-2024') "
+    f"WHEN 3 THEN concat({_two(_EARLY)}, '.', {_two(_M)}, '.2023') "
+    f"WHEN 4 THEN concat(cast({_D} AS string), ' ', {_NAME}, ' 2023') "
+    f"WHEN 5 THEN concat({_NAME}, ' ', cast({_D} AS string), ', 2024') "
+    f"WHEN 6 THEN concat('2024', {_two(_M)}, {_two(_D)}) WHEN 7 THEN '30/02/2023' WHEN 8 THEN NULL "
+    f"WHEN 9 THEN 'soon' ELSE concat('2024/', {_two(_M)}, '/', {_two(_D)}) END",
+}
+
+
+def _quoted(value: str) -> str:
+    return f"""concat('"', replace({value}, '"', '""'), '"')"""
+
+
+# One CSV record per customer: quotes, commas and line breaks in a field, and records that do not parse.
+_NOTE = (
+    f"concat(c_name, CASE {_K} % 3 WHEN 0 THEN ' says \"yes, twice\"' "
+    f"WHEN 1 THEN concat(chr(10), 'second line, ', c_mktsegment) ELSE '' END)"
+)
+CSV_COLUMNS = ("Customer_ID", "Note", "Age", "Segment")
+CSV_FIELDS = {
+    "Customer_ID": _customer_id(_K),
+    "Note": f"CASE WHEN {_K} % 29 = 7 THEN '' ELSE {_NOTE} END",
+    "Age": f"CASE WHEN {_K} % 37 = 0 THEN NULL ELSE cast(12 + {_K} % 70 AS string) END",
+    "Segment": "c_mktsegment",
+}
+_CSV_ID, _CSV_AGE = CSV_FIELDS["Customer_ID"], f"coalesce({CSV_FIELDS['Age']}, '')"
+CSV_FAULT = (
+    f"CASE WHEN {_K} % 13 = 5 THEN 'short' WHEN {_K} % 17 = 3 THEN 'long' WHEN {_K} % 19 = 4 THEN 'unterminated' "
+    f"WHEN {_K} % 23 = 6 THEN 'stray quote' END"
+)
+CSV_RECORD = (
+    f"CASE {CSV_FAULT} WHEN 'short' THEN concat({_CSV_ID}, ',', {_quoted('c_name')}) "
+    f"WHEN 'long' THEN concat({_CSV_ID}, ',', {_quoted('c_name')}, ',', {_CSV_AGE}, ',', c_mktsegment, ',more') "
+    f"WHEN 'unterminated' THEN concat({_CSV_ID}, ',\"', c_name, ',', {_CSV_AGE}, ',', c_mktsegment) "
+    f"WHEN 'stray quote' THEN concat({_CSV_ID}, ',', {_quoted('c_name')}, ' and more,', {_CSV_AGE}, ',', c_mktsegment) "
+    f"ELSE concat({_CSV_ID}, ',', {_quoted(CSV_FIELDS['Note'])}, ',', {_CSV_AGE}, ',', c_mktsegment) END"
+)
+
 TABLES = ("clickstream", "attributes", "financials", "loan_daily")
 
 
@@ -147,6 +200,16 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {table: raw_table(spark, sf_dir, table) for table in TABLES}
 
 
+def csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of a CSV file with faults, without its header."""
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.expr(CSV_RECORD).alias("value"))
+
+
+def free_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days in many forms, one per order."""
+    return _derive(spark.read.parquet(f"{sf_dir}/orders.parquet"), FREE_DAYS)
+
+
 def raw_sql(table: str) -> str:
     """The same raw table as a query over views of the driver tables."""
     sources = {

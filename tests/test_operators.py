@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone import credit
 from siltstone.functions import validity
-from siltstone.operators import dedup, joins, loans, quality, rules, snapshots
+from siltstone.operators import dedup, joins, loans, quality, rules, sketches, snapshots
 from siltstone.plans import silver
 from siltstone.sources.derived import raw_table
 
@@ -224,14 +224,111 @@ def test_a_hot_key_is_combined_before_the_shuffle(spark):
 def test_marking_tells_what_filters_drop(spark, sf_dir):
     for table, clean in silver.CLEANERS.items():
         raw = raw_table(spark, sf_dir, table)
-        marked = clean(rules.marking(raw))
+        start, mark = rules.marking(raw)
+        marked = clean(start, mark=mark)
         assert marked.count() == raw.count()
-        kept = marked.where(rules.MARK).drop(rules.MARK)
+        kept = marked.where(mark).drop(mark)
         dropped = clean(raw)
         assert kept.columns == dropped.columns
         assert rows(kept) == rows(dropped) and 0 < dropped.count() < raw.count()
 
 
+def test_column_names_switch_nothing(spark, sf_dir):
+    """Tables may have columns of any name: none turns filters into marks, none is lost."""
+    names = ("_kept", "kept", "KEPT_", "_rank", "rank", "Rank_")
+    for table, clean in silver.CLEANERS.items():
+        raw = raw_table(spark, sf_dir, table)
+        more = raw.select("*", *[F.lit(i).alias(name) for i, name in enumerate(names)])
+        cleaned = clean(more)
+        assert rows(cleaned.drop(*names)) == rows(clean(raw))
+        assert set(names) <= set(cleaned.columns)
+        start, mark = rules.marking(more)
+        assert mark not in more.columns and clean(start, mark=mark).count() == raw.count()
+    first = dedup.keep_first(more, credit.KEYS)
+    assert first.columns == more.columns
+    assert rows(first.drop(*names)) == rows(dedup.keep_first(raw, credit.KEYS))
+
+
+def test_many_frames_are_united_in_pairs(spark):
+    frames = [spark.range(i, i + 2).select(F.col("id").alias("x"), F.lit(i).alias("y.z")) for i in range(150)]
+    frames[7] = frames[7].select("`y.z`", "x")
+    whole = snapshots.union_snapshots(frames)
+    assert whole.count() == 300 and whole.agg(F.sum("`y.z`")).first()[0] == 2 * sum(range(150))
+    depth = max(len(line) - len(line.lstrip(" :+-")) for line in whole._jdf.queryExecution().logical().toString().split("\n"))
+    assert depth < 60  # a chain of 150 unions is three times as deep
+    assert snapshots.union_snapshots(frames[:1]) is frames[0]
+    with pytest.raises(ValueError, match="frame 2 differs"):
+        snapshots.union_snapshots([frames[0], frames[1], frames[2].withColumnRenamed("x", "w")])
+
+
+def test_smallest_distinct_rows_of_each_task(spark):
+    df = spark.range(40_000, numPartitions=8).select(
+        F.when(F.col("id") % 9 > 0, F.concat(F.lit("v"), F.col("id") % 5_000)).alias("v"), (F.col("id") % 3).alias("k")
+    )
+    found = quality.smallest_distinct(df, ["v", "k"], 25)
+    want = df.distinct().orderBy(F.col("v").asc_nulls_first(), F.col("k").asc_nulls_first()).limit(25)
+    assert [tuple(r) for r in found.collect()] == [tuple(r) for r in want.collect()]
+    plan = quality.smallest_distinct(df, ["v", "k"], 25)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") > plan.rindex("Exchange")  # nothing is exchanged before tasks have cut their rows
+    assert quality.smallest_distinct(df.limit(0), ["v", "k"], 5).collect() == []
+
+
+def test_a_histogram_of_whole_numbers_reads_once(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "n")
+    spark.range(5_000).select((F.col("id") * F.col("id") % 977).cast("int").alias("n"), F.rand(1).alias("d")).write.parquet(path)
+    df = spark.read.parquet(path)
+    found = quality.histogram(df, "n", 20)
+    counts = {row.bin: (row.row_count, row.smallest, row.largest) for row in found.collect()}
+    values = [row[0] for row in df.select("n").collect()]
+    low, high = min(values), max(values)
+    want = {}
+    for value in values:
+        want.setdefault(min(20, (value - low) * 20 // (high - low) + 1), []).append(value)
+    assert counts == {b: (len(vs), min(vs), max(vs)) for b, vs in want.items()}
+    assert found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("FileScan") == 1
+    assert quality.histogram(df, "d", 20).agg(F.sum("row_count")).first()[0] == 5_000
+    for odd in ([], [(None,)], [(3,), (3,)]):
+        got = [tuple(r) for r in quality.histogram(spark.createDataFrame(odd, "n int"), "n", 4).collect()]
+        assert got == ([(1, 2, 3, 3)] if odd == [(3,), (3,)] else [])
+
+
+def test_amounts_beyond_bigint_count_as_past_due(spark):
+    day = date(2024, 5, 1)
+    df = spark.createDataFrame(
+        [(1e300, 1.0, day), (9.3e18, 1.0, day), (2e18, 1.0, day), (float("inf"), 1.0, day), (100.0, 50.0, day), (0.0, 50.0, day),
+         (1e300, 1.0, None), (5.0, 0.0, day)],
+        "overdue_amt double, due_amt double, snapshot_date date",
+    ).select("*", F.lit(6).alias("installment_num"), F.lit("L").alias("loan_id"), F.lit("C").alias("Customer_ID"))
+    found = loans.with_days_past_due(df)
+    got = [tuple(r) for r in found.select("installments_missed", "dpd").collect()]
+    assert got == [(None, None), (None, None), (2 * 10**18, None), (None, None), (2, 61), (0, 0), (None, 0), (0, 0)]
+    labels = [r.label for r in loans.performance_labels(found).collect()]
+    assert labels == [1, 1, 1, 1, 1, 0, 0, 0]
+
+
+def test_merged_sketches_stay_within_their_error(spark, tmp_path):
+    months = snapshots.month_starts("2023-01-01", "2023-03-01")
+    df = spark.range(240_000).select(
+        F.concat(F.lit("bad"), F.col("id") % 90_000).alias("v"),
+        F.element_at(F.array(*[F.lit(d) for d in months]), (F.col("id") % 3 + 1).cast("int")).alias("snapshot_date"),
+    )
+    rule = [quality.Rule("digits", "v", validity.is_integer_text), quality.Rule("missing", "w", validity.is_integer_text)]
+    path = str(tmp_path / "sketches")
+    sketches.store_sketches(df, "t", rule, path, months)
+    row = sketches.distinct_invalid(spark, path).first()
+    assert (row.total, row.invalid) == (240_000, 240_000)
+    assert abs(row.distinct_invalid - 90_000) < 3 * 0.0082 * 90_000
+    assert spark.read.parquet(path).count() == 3  # a row per month
+    # A month that is run again replaces its own sketch only.
+    few = spark.createDataFrame([("x", months[1]), ("y", months[1]), ("7", months[1]), (None, months[1])], "v string, snapshot_date date")
+    sketches.store_sketches(few, "t", rule, path, months[1:2])
+    row = sketches.distinct_invalid(spark, path, months[1:2]).first()
+    assert (row.total, row.invalid, row.distinct_invalid) == (4, 3, 2)
+    assert sketches.distinct_invalid(spark, path).first().total == 160_004
+    with pytest.raises(ValueError):
+        sketches.rule_sketches(few, "t", rule[1:])
+
+
 def test_approximate_distinct_is_within_its_bound(spark):
     df = spark.range(60_000).select(F.concat(F.lit("x"), F.col("id") % 20_000).alias("id_text"))
     check = lambda c: c.rlike("^[0-9]+$")

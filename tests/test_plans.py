@@ -13,10 +13,28 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+SAMPLES = {"invalid_samples", "invalid_loan_day_samples", "invalid_customer_samples"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
     assert not re.search("Python|Pandas|ArrowEval|CartesianProduct|BroadcastNestedLoopJoin", plan)
+    assert ("MapInArrow" in plan) == (name in SAMPLES)
+
+
+@pytest.mark.parametrize("name", sorted(SAMPLES))
+def test_samples_are_cut_before_they_are_sent(spark, sf_dir, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    assert plan.index("MapInArrow") > plan.rindex("Exchange")
+
+
+def test_a_month_is_read_by_one_frame_only(spark, sf_dir):
+    df = QUERIES["feature_store_union"](spark, sf_dir)
+    assert "Union" in plan_of(df)
+    scans = re.findall(r"FileScan [^\n]*Location: InMemoryFileIndex\((\d+) paths?\)", plan_of(df))
+    months = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+    assert len(scans) == len(months) > 20 and set(scans) == {"1"}
 
 
 @pytest.mark.parametrize("table", TABLES)
@@ -35,7 +53,6 @@ def test_no_round_robin(spark, sf_dir, name):
     ("name", "scans"),
     [
         ("date_spine", 1),
-        ("feature_store_union", 3),
         ("label_store_union", 2),
         ("gold_labels", 1),
         ("row_counts_by_stage", 4),

@@ -1,5 +1,6 @@
 """The snapshot store, CSV sources and the backfill, on disk."""
 
+import shutil
 from datetime import date
 
 import pytest
@@ -61,6 +62,89 @@ def test_only_stale_months_are_emptied(spark, tmp_path, file_format):
     assert not (tmp_path / "t" / "snapshot_date=2023-03-01").exists()
 
 
+APR = date(2023, 4, 1)
+
+
+class Stopped(Exception):
+    pass
+
+
+def stop_after(monkeypatch, steps):
+    """Every step that changes files counts; the one after ``steps`` of them fails, as does all that follows."""
+    done = [0]
+    for name in ("make", "move", "delete", "write"):
+        real = getattr(store._Files, name)
+
+        def step(self, *args, real=real):
+            if done[0] >= steps:
+                raise Stopped
+            done[0] += 1
+            return real(self, *args)
+
+        monkeypatch.setattr(store._Files, name, step)
+
+
+def test_months_change_all_at_once_wherever_a_run_ends(spark, tmp_path, monkeypatch):
+    base, file_format = tmp_path / "base", "parquet"
+    first = spark.createDataFrame([("a", JAN), ("b", FEB), ("c", FEB), ("d", APR)], SCHEMA).coalesce(1)
+    store.write_snapshots(first, str(base), [JAN, FEB, MAR, APR], file_format=file_format)
+    second = spark.createDataFrame([("A", JAN), ("B", JAN), ("M", MAR)], SCHEMA).coalesce(1)
+    old = [("a", JAN), ("b", FEB), ("c", FEB), ("d", APR)]
+    new = [("A", JAN), ("B", JAN), ("M", MAR), ("d", APR)]
+    seen, steps = [], 0
+    while True:
+        path = tmp_path / f"t{steps}"
+        shutil.copytree(base, path)
+        with monkeypatch.context() as patch:
+            stop_after(patch, steps)
+            try:
+                store.write_snapshots(second, str(path), [JAN, FEB, MAR], file_format=file_format)
+                ended = True
+            except Stopped:
+                ended = False
+        found = content(spark, str(path), file_format=file_format)
+        assert found in (old, new), (steps, found)
+        assert store.list_snapshots(spark, str(path)) == sorted({day for _, day in found})
+        assert content(spark, str(path), file_format=file_format, months=[JAN]) == [r for r in found if r[1] == JAN]
+        whole = store.read_snapshots(spark, str(path)).select("k", "snapshot_date")
+        for day in (JAN, APR):
+            assert rows(store.read_month(spark, str(path), day, whole)) == [r for r in found if r[1] == day]
+        seen.append(found)
+        counts = store.write_snapshots(second, str(path), [JAN, FEB, MAR], file_format=file_format)  # repairs
+        assert counts.months == {JAN: 2, FEB: 0, MAR: 1}
+        assert content(spark, str(path), file_format=file_format) == new
+        assert not [p.name for p in path.iterdir() if p.name.startswith(("_staging", "_switch", "_old", "._switch"))]
+        if ended:
+            break
+        steps += 1
+    assert steps > 8 and seen[0] == old and seen[-1] == new
+    assert [rows_ == new for rows_ in seen] == sorted(rows_ == new for rows_ in seen)  # once new, it stays
+
+
+def test_a_table_emptied_in_steps_stays_readable(spark, tmp_path, monkeypatch):
+    first = spark.createDataFrame([("a", JAN)], SCHEMA)
+    for steps in range(12):
+        path = str(tmp_path / f"t{steps}")
+        store.write_snapshots(first, path, [JAN])
+        with monkeypatch.context() as patch:
+            stop_after(patch, steps)
+            try:
+                store.write_snapshots(first.limit(0), path, [JAN])
+            except Stopped:
+                pass
+        assert content(spark, path) in ([("a", JAN)], [])
+        store.write_snapshots(first.limit(0), path, [JAN])
+        assert content(spark, path) == []
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(5_000).select(F.sha2(F.col("id").cast("string"), 256).alias("k"), F.lit(JAN).alias("snapshot_date"))
+    store.write_snapshots(df, path, [JAN])
+    plan = store.snapshot_counts(store.read_snapshots(spark, path))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+
+
 def test_many_snapshots_are_counted_exactly(spark, tmp_path):
     path = str(tmp_path / "t")
     days = month_starts("1990-01-01", "2023-04-01")
@@ -170,6 +254,61 @@ def test_csv_sources(spark, tmp_path):
         text_files.read_csv_text(spark, path, ["b", "a"]).collect()
 
 
+CSV = """id,note,n\r
+1,"two
+lines",5\r
+2,plain,
+3,"says ""yes"", twice",
+4,"open,7
+5,,""
+6,short
+7,a,b,c
+8,"closed" tail,1
+9,in"side,2
+
+10,"x
+y
+z",3
+11,"last is open
+"""
+
+
+def test_broken_records_go_to_a_side_table(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text(CSV, newline="")
+    read = text_files.read_csv_checked(spark, str(path), ["id", "note", "n"], line_breaks=True)
+    assert {r.id: (r.note, r.n) for r in read.rows.collect()} == {
+        "1": ("two\nlines", "5"), "2": ("plain", None), "3": ('says "yes", twice', None), "5": (None, ""), "10": ("x\ny\nz", "3"),
+    }
+    broken = {r.record: r.reason for r in read.broken.collect()}
+    assert broken == {
+        '4,"open,7': "unterminated", "6,short": "short", "7,a,b,c": "long", '8,"closed" tail,1': "stray quote",
+        '9,in"side,2': "unterminated", '11,"last is open': "unterminated",
+    }
+    assert {r.file.rsplit("/", 1)[1] for r in read.broken.collect()} == {"a.csv"}
+
+
+def test_lines_are_split_among_tasks(spark, tmp_path):
+    path = tmp_path / "b.csv"
+    path.write_text("id,note\n" + "".join(f'{i},"n ""{i}"""\n' if i % 50 else f'{i},"open\n' for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        read = text_files.read_csv_checked(spark, str(path), ["id", "note"])
+        assert read.rows.select(F.spark_partition_id()).distinct().count() > 4
+        assert read.rows.count() == 19_600 and read.rows.where("note = concat('n \"', id, '\"')").count() == 19_600
+        assert {r.reason: r["count"] for r in read.broken.groupBy("reason").count().collect()} == {"unterminated": 400}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_csv_without_records(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "x.csv").write_text("id,note\n")
+    for line_breaks in (True, False):
+        read = text_files.read_csv_checked(spark, str(tmp_path / "c"), ["id", "note"], line_breaks=line_breaks)
+        assert read.rows.collect() == [] == read.broken.collect()
+
+
 @pytest.fixture(scope="module")
 def mart(spark, sf_dir, tmp_path_factory):
     """CSV files of the raw tables and a full backfill over them."""
