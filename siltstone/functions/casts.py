@@ -49,8 +49,11 @@ def double_to_int(c: Column) -> Column:
 
     Expects a non-null value; null would give the lower bound.
     """
-    bounded = F.least(F.greatest(F.nanvl(c, F.lit(0.0)), F.lit(float(INT_MIN))), F.lit(float(INT_MAX)))
-    return bounded.cast("int")
+    return _bounded(F.nanvl(c, F.lit(0.0)))
+
+
+def _bounded(c: Column) -> Column:
+    return F.least(F.greatest(c, F.lit(float(INT_MIN))), F.lit(float(INT_MAX))).cast("int")
 
 
 def int_or_default(
@@ -76,7 +79,7 @@ def is_whole(c: Column) -> Column:
 def whole_number(c: Column) -> Column:
     """Text to INT where it holds a whole number (``10.0`` is 10), else null."""
     value = lenient_double(c)
-    return F.when(is_whole(value), double_to_int(value))
+    return F.when(value == F.floor(value), _bounded(value))  # NaN is no whole number
 
 
 def strict_date(c: Column) -> Column:

@@ -34,7 +34,7 @@ def _text(value: str) -> str:
 
 
 def _suffix_if(condition: str, text: str, suffix: str) -> str:
-    return f"CASE WHEN {condition} THEN concat({text}, '{suffix}') ELSE {text} END"
+    return f"concat({text}, CASE WHEN {condition} THEN '{suffix}' ELSE '' END)"
 
 
 def _dated(key: str, month: str) -> str:
@@ -118,12 +118,15 @@ LOAN_DAILY = {
     "overdue_amt": f"CASE WHEN i = 0 THEN NULL "
     # More installments missed than the calendar has months before the snapshot.
     f"WHEN o_orderkey % 101 = 7 THEN '60000000' "
-    # More installments, and then more days, than a BIGINT holds.
-    f"WHEN o_orderkey % 103 = 9 THEN '{'9' * 23}' WHEN o_orderkey % 107 = 11 THEN '2{'0' * 21}' ELSE {_money('((o_orderkey + i) % 4) * 1000')} END",
+    # More installments than a BIGINT holds.
+    f"WHEN o_orderkey % 103 = 9 THEN '{'9' * 23}' "
+    f"ELSE concat(cast((o_orderkey + i) % 4 AS string), '000.00') END",
     "balance": _suffix_if("o_orderkey % 67 = 0", _money("cast(o_totalprice AS decimal(14,2)) * (10 - i) * 0.1"), "_"),
     "snapshot_date": _dated("o_orderkey", _month("o_custkey % 14 + i")),
 }
 
+PER_INSTALLMENT = ("installment_num", "paid_amt", "overdue_amt", "balance", "snapshot_date")
+
 # Days in many forms: one shape day first by its values, one month first, one that tells neither.
 _D, _M = "(o_orderkey % 28 + 1)", "(o_custkey % 12 + 1)"
 _EARLY = "(o_orderkey % 12 + 1)"
@@ -191,8 +194,12 @@ def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     if table == "clickstream":
         return _derive(orders, CLICKSTREAM)
     if table == "loan_daily":
-        months = F.explode(F.sequence(F.lit(0), F.lit(LAST_INSTALLMENT))).alias("i")
-        return _derive(orders.select("o_orderkey", "o_custkey", "o_totalprice", months), LOAN_DAILY)
+        # What an order has once is derived before its installments are.
+        once = [F.expr(text).alias(name) for name, text in LOAN_DAILY.items() if name not in PER_INSTALLMENT]
+        price = F.col("o_totalprice").cast("decimal(14,2)").alias("o_totalprice")
+        per_order = orders.select("o_orderkey", "o_custkey", price, *once)
+        each = per_order.select("*", F.explode(F.sequence(F.lit(0), F.lit(LAST_INSTALLMENT))).alias("i"))
+        return each.select(*[F.expr(LOAN_DAILY[n]).alias(n) if n in PER_INSTALLMENT else n for n in LOAN_DAILY])
     raise ValueError(f"no raw table {table!r}")
 
 

@@ -105,3 +105,12 @@ def test_registered_profiles_send_counters_only(spark, sf_dir, name):
 def test_row_counts_join_nothing(spark, sf_dir):
     plan = plan_of(QUERIES["row_counts_by_stage"](spark, sf_dir))
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_loans_are_compiled_with_default_settings(spark, sf_dir):
+    """The virtual machine leaves methods of more than 8,000 bytes to its interpreter."""
+    plan = QUERIES["silver_loan_daily"](spark, sf_dir)._jdf.queryExecution().executedPlan()
+    debug = spark._jvm.org.apache.spark.sql.execution.debug
+    generated = getattr(getattr(debug, "package$"), "MODULE$").codegenStringSeq(plan)
+    sizes = [generated.apply(i)._3().maxMethodCodeSize() for i in range(generated.size())]
+    assert sizes and max(sizes) <= 8000
