@@ -3,11 +3,14 @@
 Each document is measured once. Per measure, language and source a quantile
 sketch is built: counts of logarithmic bins with a relative width of 1/32, which
 merge by addition, so tasks pre-aggregate and the same counts merge into the
-sketch of a language or of everything. Fences come from the quartiles of the
+sketch of a language or of everything. Fences come from quantiles of the
 sketch and replace fixed cutoffs; documents are then joined with the fences of
-their own group and judged.
+their own group and judged. An upper fence lies beyond a high quantile of its group by
+a multiple of that quantile's distance from the first quartile: shares are zero in most
+documents, so their spread is that of the upper tail. A small distance, the noise, is the
+least; it decides only where a group hardly varies.
 
-Groups of fewer than MIN_DOCS documents have no reliable quartiles: they take the
+Groups of fewer than MIN_DOCS documents have no reliable quantiles: they take the
 merged sketch of their language, small languages the sketch of all documents.
 
 Defined results: a null text has no words and fails the base rule; null languages
@@ -17,6 +20,8 @@ row; an empty table gives an empty result; other columns pass through untouched.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,17 +33,28 @@ REPEATED_PERCENT = 20
 MIN_DOCS = 100
 SYMBOLS = "#*$%&|<>"
 
-#: Per measure: the least distance of the upper fence from the third quartile,
-#: and of the lower fence from the first (None: no lower fence). Shares are in
-#: 1/10,000, word_length in 1/100 characters.
+
+
+@dataclass(frozen=True)
+class Fence:
+    """The upper fence lies beyond the quantile of so many percent by `reach` times its distance from the first
+    quartile, by `noise` at least; a lower one so far below the first quartile."""
+
+    percent: int
+    reach: int
+    noise: int
+    lower: bool = False
+
+
+#: Shares are in 1/10,000, word_length in 1/100 characters.
 FENCES = {
-    "symbol_share": (300, None),
-    "dup_line_share": (4000, None),
-    "repeat_share": (1800, None),
-    "word_length": (500, 300),
+    "symbol_share": Fence(75, 6, 100),
+    "dup_line_share": Fence(99, 2, 1000),
+    "repeat_share": Fence(95, 9, 1000),
+    "word_length": Fence(75, 6, 50, lower=True),
 }
-#: Interquartile ranges beyond the quartile at which a fence lies, if that is farther.
-REACH = 6
+#: The quantiles that are read from a sketch, in percent.
+PERCENTS = sorted({25, *(fence.percent for fence in FENCES.values())})
 
 
 def measure(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -148,8 +164,11 @@ def sketches(measured: DataFrame, lang: Column, source: Column) -> DataFrame:
     )
 
 
-def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Per keys and measure: docs, q1, q3 (lower bounds of the bins that hold the quartiles).
+_QUANTILES = ["docs", *(f"q{p}" for p in PERCENTS)]
+
+
+def _quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """Per keys and measure: docs, and a column per quantile, the lower bound of the bin that holds it.
 
     The bins of one group and measure are at most a few hundred, whatever the table."""
     group = Window.partitionBy(*keys, "measure")
@@ -158,20 +177,19 @@ def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
     ranked = merged.withColumn("upto", F.sum("n").over(upto)).withColumn("docs", F.sum("n").over(group))
     return ranked.groupBy(*keys, "measure").agg(
         F.max("docs").alias("docs"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("docs"), F.col("bin"))).alias("q1"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("docs") * 3, F.col("bin"))).alias("q3"),
+        *(F.min(F.when(F.col("upto") * 100 >= F.col("docs") * p, F.col("bin"))).alias(f"q{p}") for p in PERCENTS),
     )
 
 
 def fences(sketch: DataFrame) -> DataFrame:
     """(lang, source, <measure>_low, <measure>_high), one row for each group of the sketch."""
-    own = _quartiles(sketch, ["lang", "source"])
-    of_lang = _quartiles(sketch, ["lang"]).select(
-        F.col("lang").alias("l"), F.col("measure").alias("lm"), F.struct("docs", "q1", "q3").alias("by_lang")
+    own = _quantiles(sketch, ["lang", "source"])
+    of_lang = _quantiles(sketch, ["lang"]).select(
+        F.col("lang").alias("l"), F.col("measure").alias("lm"), F.struct(*_QUANTILES).alias("by_lang")
     )
-    of_all = _quartiles(sketch, []).select(F.col("measure").alias("am"), F.struct("docs", "q1", "q3").alias("by_all"))
+    of_all = _quantiles(sketch, []).select(F.col("measure").alias("am"), F.struct(*_QUANTILES).alias("by_all"))
     chosen = (
-        own.withColumn("by_own", F.struct("docs", "q1", "q3"))
+        own.withColumn("by_own", F.struct(*_QUANTILES))
         .join(of_lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("measure") == F.col("lm")), "left")
         .join(of_all, F.col("measure") == F.col("am"), "left")
         .withColumn(
@@ -181,13 +199,14 @@ def fences(sketch: DataFrame) -> DataFrame:
             .otherwise(F.col("by_all")),
         )
     )
-    spread = (F.col("q.q3") - F.col("q.q1")) * REACH
     columns = []
-    for name, (above, below) in FENCES.items():
+    for name, fence in FENCES.items():
         here = F.col("measure") == name
-        columns.append(F.max(F.when(here, F.col("q.q3") + F.greatest(spread, F.lit(above)))).alias(f"{name}_high"))
-        if below is not None:
-            columns.append(F.max(F.when(here, F.col("q.q1") - F.greatest(spread, F.lit(below)))).alias(f"{name}_low"))
+        high, low = F.col(f"q.q{fence.percent}"), F.col("q.q25")
+        beyond = F.greatest((high - low) * fence.reach, F.lit(fence.noise))
+        columns.append(F.max(F.when(here, high + beyond)).alias(f"{name}_high"))
+        if fence.lower:
+            columns.append(F.max(F.when(here, low - beyond)).alias(f"{name}_low"))
     return chosen.groupBy("lang", "source").agg(*columns)
 
 
@@ -234,8 +253,8 @@ def _judged(for_sketch: DataFrame, measured: DataFrame, lang: str, source: str)
     )
     verdict = ~F.col("base_failed")
     of = {name: F.element_at(measures(), i + 1)["value"] for i, name in enumerate(FENCES)}
-    for name, (_, below) in FENCES.items():
+    for name, fence in FENCES.items():
         verdict = verdict & F.coalesce(of[name] <= F.col(f"fence.{name}_high"), F.lit(True))
-        if below is not None:
+        if fence.lower:
             verdict = verdict & F.coalesce(of[name] >= F.col(f"fence.{name}_low"), F.lit(True))
     return judged.withColumn("kept", verdict)

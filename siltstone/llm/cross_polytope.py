@@ -16,7 +16,7 @@ keys tell.
 
 Equal vectors are one node with a multiplicity. Measured recall: see README.
 
-Defined results: null, empty and zero vectors, and those with null or non-finite
+Defined results: ids are whole numbers; null, empty and zero vectors, and those with null or non-finite
 components, link with nothing; vectors link only with vectors of their own length; rows
 without an id link with nothing and are not kept; rows that repeat count as vectors of
 their own; an empty table gives an empty result; other columns and labels are not read.
@@ -66,7 +66,13 @@ def _hadamard(x: np.ndarray) -> np.ndarray:
 
 def _padded(x: np.ndarray) -> np.ndarray:
     width = max(2, 1 << max(0, x.shape[1] - 1).bit_length())
-    return np.pad(x, ((0, 0), (0, width - x.shape[1]))) / np.linalg.norm(x, axis=1, keepdims=True)
+    return np.pad(_unit(x), ((0, 0), (0, width - x.shape[1])))
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    """The rows at length 1. Scaled first, so that no square leaves the range of a double."""
+    scaled = x / np.abs(x).max(axis=1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
 @cache
@@ -188,7 +194,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, copies = rows.column("id").to_numpy(), rows.column("copies").to_numpy()
         home = rows.column("home").to_numpy(zero_copy_only=False)
         x = np.stack(_vectors(rows.column("vector")))
-        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        unit = _unit(x)
         every = []
         for low, high in zip(np.r_[0, cut], np.r_[cut, len(ids)], strict=True):
             at = np.arange(low, high)
@@ -238,7 +244,7 @@ def _lengths(rows: pa.Table) -> Iterator[tuple[int, pa.Table]]:
 
 def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept), a row per vector."""
-    value = F.col(embedding).cast("array<float>")
+    value = F.col(embedding).cast("array<double>")
     finite = F.forall(value, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     usable = F.col(vec_id).isNotNull() & value.isNotNull() & finite & F.exists(value, lambda v: v != 0)
     rows = written(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from siltstone.llm.adaptive_rules import FENCES, MIN_DOCS, REACH
+from siltstone.llm.adaptive_rules import FENCES, MIN_DOCS, PERCENTS
 
 _SPACE = r"\x20\x09-\x0D"
 
@@ -56,8 +56,7 @@ def _adaptive_rules() -> str:
         by = f"{keys}, " if keys else ""
         return f"""
 {name} AS (
-    SELECT {by}measure, max(docs) AS docs, min(bin) FILTER (upto * 4 >= docs) AS q1,
-        min(bin) FILTER (upto * 4 >= docs * 3) AS q3
+    SELECT {by}measure, max(docs) AS docs, {", ".join(f"min(bin) FILTER (upto * 100 >= docs * {p}) AS q{p}" for p in PERCENTS)}
     FROM (
         SELECT *, sum(n) OVER (PARTITION BY {by}measure ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY {by}measure) AS docs
         FROM (SELECT {by}measure, bin, count(*) AS n FROM long GROUP BY ALL)
@@ -67,11 +66,12 @@ def _adaptive_rules() -> str:
 
     tests = []
     fences = []
-    for m, (above, below) in FENCES.items():
-        fences.append(f"max(q3 + greatest((q3 - q1) * {REACH}, {above})) FILTER (measure = '{m}') AS {m}_high")
+    for m, f in FENCES.items():
+        high = f"q{f.percent}"
+        fences.append(f"max({high} + greatest(({high} - q25) * {f.reach}, {f.noise})) FILTER (measure = '{m}') AS {m}_high")
         tests.append(f"coalesce({m} <= {m}_high, true)")
-        if below is not None:
-            fences.append(f"max(q1 - greatest((q3 - q1) * {REACH}, {below})) FILTER (measure = '{m}') AS {m}_low")
+        if f.lower:
+            fences.append(f"max(q25 - greatest(({high} - q25) * {f.reach}, {f.noise})) FILTER (measure = '{m}') AS {m}_low")
             tests.append(f"coalesce({m} >= {m}_low, true)")
     return f"""
 WITH {_MEASURED},
@@ -81,8 +81,10 @@ long AS ({long}),
 {quartiles("by_all", "")},
 chosen AS (
     SELECT o.lang, o.source, measure,
-        CASE WHEN o.docs >= {MIN_DOCS} THEN o.q1 WHEN l.docs >= {MIN_DOCS} THEN l.q1 ELSE a.q1 END AS q1,
-        CASE WHEN o.docs >= {MIN_DOCS} THEN o.q3 WHEN l.docs >= {MIN_DOCS} THEN l.q3 ELSE a.q3 END AS q3
+        {", ".join(
+            f"CASE WHEN o.docs >= {MIN_DOCS} THEN o.q{p} WHEN l.docs >= {MIN_DOCS} THEN l.q{p} ELSE a.q{p} END AS q{p}"
+            for p in PERCENTS
+        )}
     FROM by_own o
     JOIN by_lang l USING (measure) JOIN by_all a USING (measure)
     WHERE o.lang IS NOT DISTINCT FROM l.lang

@@ -59,6 +59,10 @@ def _ranged(keyed: DataFrame, splitters: np.ndarray) -> DataFrame:
     return keyed.mapInArrow(run, keyed.withColumn("range", F.lit(0).cast("long")).schema)
 
 
+#: Times that overfull ranges are divided; keys are distinct, so a few suffice.
+ROUNDS = 63
+
+
 def _load() -> Column:
     return F.col("size") + ROW_LOAD
 
@@ -108,7 +112,7 @@ def splitter_shards(records: DataFrame, size: Column, key: list[Column], shards:
     ranges = max(shards * RANGES_PER_SHARD, -(-load // RANGE_LOAD))
     due = max(1.0, load / ranges)
     splitters = _quantiles(_sampled(slim, SAMPLED_PER_RANGE / due, 0), ranges)
-    for salt in range(1, 64):
+    for salt in range(1, ROUNDS + 1):
         counted = _counted(_ranged(slim, splitters))
         over = [r for r in counted if r["load"] - r["largest"] > 2 * due]
         if not over:
@@ -118,6 +122,8 @@ def splitter_shards(records: DataFrame, size: Column, key: list[Column], shards:
         at = np.searchsorted(splitters, keys, side="right")
         new = [_quantiles(keys[at == r["range"]], int(r["load"] / due) + 2) for r in over]
         splitters = np.unique(np.concatenate([splitters, *new]))
+    else:  # ranges that stay overfull are only large; counts must be those of the last splitters
+        counted = _counted(_ranged(slim, splitters))
     spark = records.sparkSession
     before, rows = 0, []
     place = 0
