@@ -49,8 +49,8 @@ class Fence:
 #: Shares are in 1/10,000, word_length in 1/100 characters.
 FENCES = {
     "symbol_share": Fence(75, 6, 100),
-    "dup_line_share": Fence(99, 2, 1000),
-    "repeat_share": Fence(95, 9, 1000),
+    "dup_line_share": Fence(99, 2, 2500),
+    "repeat_share": Fence(95, 12, 1500),
     "word_length": Fence(75, 6, 50, lower=True),
 }
 #: The quantiles that are read from a sketch, in percent.
