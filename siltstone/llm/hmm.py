@@ -1,8 +1,9 @@
 """Language model scoring by a hidden Markov model over word classes.
 
-Tokens are words and one end per text. Each word has a class: the TOP most frequent
+Tokens are words and one end per text. Each word has a class: the most frequent
 training tokens are classes of their own, words seen once and words never seen share
-the rare class, and the others go to TAIL classes by the hash of their last two letters. A text's
+the rare class, and the others go to tail classes by the hash of their last two bytes. How many
+there are of both follows the square root of the number of distinct training tokens. A text's
 probability is that of its class sequence under the hidden Markov model, times that of
 each token within its class. Within a class, tokens have their smoothed share; in
 the rare class half is for the token never seen, which leaving out one training token
@@ -10,7 +11,8 @@ at a time would make of each token seen once. All shares add up to one.
 
 The model is trained by Baum-Welch on all training texts: each task runs the forward and
 backward recursions over its texts and returns expected counts, which are added up across
-partitions; the driver holds the model alone, whose size is fixed. Both training and
+partitions; the driver holds the model alone: a billion distinct tokens give 180,000 classes,
+9 MB. Both training and
 scoring run over each whole text, for many texts at a time, so likelihood and counts are
 exact. Training keeps the forward variables of every PIECE-th step and computes those in
 between again, so its memory does not grow with the length of a text times the states.
@@ -27,6 +29,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,22 +40,23 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.shared import written
+from siltstone.llm.shared import Written, written
 
 FOLDS, HELD_OUT = 7, 2
 STATES, ROUNDS = 6, 5
-TOP, TAIL = 3000, 400
+#: Classes per square root of the number of distinct training tokens: single words, and tails of words.
+TOP, TAIL = 5.0, 0.65
 #: Share of the class distribution of all training tokens in each state's emissions.
 FLOOR = 0.01
 #: Steps between the forward variables that training keeps.
 PIECE = 512
 BLOCK_BYTES = 16 << 20
+#: Blocks that one task joins with their words.
+BLOCKS_PER_TASK = 8
 #: Texts whose recursions run side by side hold about this many tokens.
 SIDE_BY_SIDE = 500_000
 SEED = 11
 END = b"\n"  # white space, so no word
-CLASSES = TOP + TAIL + 1
-RARE = CLASSES - 1
 
 
 def held_out(doc_id: Column) -> Column:
@@ -136,21 +140,30 @@ def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flushed()
 
 
-def _with_class(vocabulary: DataFrame) -> DataFrame:
-    """(word, c, class): the TOP most frequent words are at most TOP rows, and broadcast."""
-    top = vocabulary.filter("c > 1").orderBy(F.desc("c"), "word").limit(TOP)
+def sizes(distinct: int) -> tuple[int, int]:
+    """The numbers of classes of single words and of tails, for so many distinct training tokens."""
+    return math.ceil(TOP * math.sqrt(distinct)), max(1, math.ceil(TAIL * math.sqrt(distinct)))
+
+
+def _with_class(vocabulary: DataFrame, singles: int, tails: int) -> DataFrame:
+    """(word, c, class): classes of single words, then of tails, then the rare one.
+
+    The rows of single words grow with the square root of the vocabulary, and are broadcast."""
+    top = vocabulary.filter("c > 1").orderBy(F.desc("c"), "word").limit(singles)
     rows = [(r["word"], i) for i, r in enumerate(top.collect())]
     ranked = vocabulary.sparkSession.createDataFrame(rows, "top binary, rank int")
     end = F.expr("substring(word, greatest(length(word) - 1, 1), 2)")
-    tail = (F.lit(TOP) + F.pmod(F.xxhash64(end), F.lit(TAIL))).cast("int")
+    tail = (F.lit(singles) + F.pmod(F.xxhash64(end), F.lit(tails))).cast("int")
     return vocabulary.join(F.broadcast(ranked), F.col("word") == F.col("top"), "left").select(
-        "word", "c", F.when(F.col("c") <= 1, F.lit(RARE)).otherwise(F.coalesce("rank", tail)).alias("class")
+        "word", "c", F.when(F.col("c") <= 1, F.lit(singles + tails)).otherwise(F.coalesce("rank", tail)).alias("class")
     )
 
 
 @dataclass
 class Shares:
-    """What scoring needs of the vocabulary: N, V, and per class the smoothed and the plain counts."""
+    """What scoring needs of the vocabulary: N, V, and per class the smoothed and the plain counts.
+
+    The last class is the rare one."""
 
     tokens: int
     distinct: int
@@ -159,21 +172,22 @@ class Shares:
 
     def within(self, c: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """log10 of a token's share of its class."""
-        once = self.counts[RARE]
+        rarest, once = len(self.counts) - 1, self.counts[-1]
         rare = np.where(c == 0, 0.5 if once else 1.0, 0.5 / max(once, 1.0))
         plain = (c + 1) / np.maximum(self.smoothed[classes], 1.0)
-        return np.log10(np.where(classes == RARE, rare, plain))
+        return np.log10(np.where(classes == rarest, rare, plain))
 
 
-def _sequences(docs: DataFrame, coded: DataFrame, shares: Shares) -> DataFrame:
+def _sequences(docs: DataFrame, coded: DataFrame, shares: Shares, parts: int) -> DataFrame:
     """Per text: counts, base score, the tokens' log10 shares within their classes, and the classes.
 
-    Texts and words of a block meet by cogroup: a block's size is bounded by BLOCK_BYTES and one text."""
+    Texts and words of a block meet by cogroup, in `parts` tasks: a block's size is bounded by
+    BLOCK_BYTES and one text."""
     floor = float(np.log10(shares.tokens + shares.distinct + 1))
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         size = int(right["code"].max()) + 1 if len(right) else 0
-        c, classes = np.zeros(size, np.int64), np.zeros(size, np.int16)
+        c, classes = np.zeros(size, np.int64), np.zeros(size, np.int32)
         c[right["code"]], classes[right["code"]] = right["c"], right["class"]
         base, within = np.log10(c + 1.0) - floor, shares.within(c, classes)
         rows = [unpacked(x) for x in left["codes"]]
@@ -183,11 +197,12 @@ def _sequences(docs: DataFrame, coded: DataFrame, shares: Shares) -> DataFrame:
             "n_known": np.array([int((c[r] > 0).sum()) for r in rows], np.int64),
             "base_score": np.array([base[r].sum() for r in rows], np.float64),
             "within": np.array([within[r].sum() for r in rows], np.float64),
-            "classes": [classes[r].tobytes() for r in rows],
+            "classes": [packed(classes[r]) for r in rows],
         })
 
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, within double, classes binary"
-    return docs.groupBy("of").cogroup(coded.groupBy("block")).applyInPandas(run, schema)
+    left, right = docs.repartition(parts, "of"), coded.repartition(parts, "block")
+    return left.groupBy("of").cogroup(right.groupBy("block")).applyInPandas(run, schema)
 
 
 # ---------------------------------------------------------------- the hidden Markov model
@@ -203,7 +218,7 @@ class Model:
 def initial(shares: Shares) -> Model:
     """States that differ by random factors of the overall class distribution, and mostly stay."""
     rng = np.random.default_rng(SEED)
-    emit = _overall(shares)[:, None] * np.exp(rng.normal(0, 1, (CLASSES, STATES)))
+    emit = _overall(shares)[:, None] * np.exp(rng.normal(0, 1, (len(shares.smoothed), STATES)))
     move = np.full((STATES, STATES), 0.05 / max(1, STATES - 1))
     np.fill_diagonal(move, 0.95)
     return Model(np.full(STATES, 1 / STATES), move, emit / emit.sum(0))
@@ -212,7 +227,7 @@ def initial(shares: Shares) -> Model:
 def _overall(shares: Shares) -> np.ndarray:
     """The share of each class among training tokens; each class that has a word, and the rare one, has some."""
     smoothed = shares.smoothed.copy()
-    smoothed[RARE] += 1
+    smoothed[-1] += 1
     return smoothed / smoothed.sum()
 
 
@@ -278,7 +293,7 @@ def forward(model: Model, packed: _Packed, keep: bool) -> tuple[np.ndarray, list
 def expected(model: Model, packed: _Packed) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Expected counts (start, move, emit) of the sequences, and their log likelihood."""
     total, marks, last = forward(model, packed, True)
-    start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((CLASSES, STATES))
+    start, move, emit = (np.zeros_like(part) for part in (model.start, model.move, model.emit))
     beta, back, steps = np.ones((0, STATES)), np.ascontiguousarray(model.move.T), len(packed.active)
     for low in range((len(marks) - 1) * PIECE, -1, -PIECE):
         high = min(low + PIECE, steps)
@@ -300,13 +315,13 @@ def expected(model: Model, packed: _Packed) -> tuple[np.ndarray, np.ndarray, np.
         if not low:
             start = alpha[: ends[1] - ends[0]].sum(0)
         tokens = packed.tokens[ends[0] : ends[-1]]
-        emit += np.stack([np.bincount(tokens, alpha[:, s], CLASSES) for s in range(STATES)], axis=1)
+        emit += np.stack([np.bincount(tokens, alpha[:, s], len(emit)) for s in range(STATES)], axis=1)
     return start, move * model.move, emit, float(total.sum())
 
 
 def _groups(column: pa.Array) -> Iterator[tuple[list[int], list[np.ndarray]]]:
     """(places, sequences) of about SIDE_BY_SIDE tokens, of similar lengths."""
-    sequences = [np.frombuffer(raw, dtype=np.int16) for raw in column.to_pylist()]
+    sequences = [unpacked(raw) for raw in column.to_pylist()]
     order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
     part: list[int] = []
     held = 0
@@ -323,10 +338,11 @@ def _groups(column: pa.Array) -> Iterator[tuple[list[int], list[np.ndarray]]]:
 def baum_welch_round(sequences: DataFrame, model: Model, shares: Shares) -> tuple[Model, float]:
     """The model after one round over all sequences, and their log likelihood under the old one.
 
-    Tasks return STATES * CLASSES counts each; they are added up by place before the driver sees them."""
+    Tasks return a count per state and class each; they are added up by place before the driver sees them."""
+    classes = len(shares.smoothed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start, move, emit, total = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((CLASSES, STATES)), 0.0
+        start, move, emit, total = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((classes, STATES)), 0.0
         for batch in batches:
             for _, part in _groups(batch.column("classes")):
                 a, b, c, d = expected(model, _Packed(part))
@@ -339,10 +355,10 @@ def baum_welch_round(sequences: DataFrame, model: Model, shares: Shares) -> tupl
         sequences.select("classes").mapInArrow(run, "at bigint, value double")
         .groupBy("at").agg(F.sum("value").alias("value")).toArrow()
     )
-    values = np.zeros(1 + STATES + STATES**2 + CLASSES * STATES)
+    values = np.zeros(1 + STATES + STATES**2 + classes * STATES)
     values[rows.column("at").to_numpy()] = rows.column("value").to_numpy()
     start, move, emit = np.split(values[1:], np.cumsum([STATES, STATES**2]))
-    start, move, emit = start + 0.1, move.reshape(STATES, STATES) + 0.1, emit.reshape(CLASSES, STATES)
+    start, move, emit = start + 0.1, move.reshape(STATES, STATES) + 0.1, emit.reshape(classes, STATES)
     overall = _overall(shares)[:, None]
     seen = emit.sum(0)
     emit = np.where(seen > 0, (1 - FLOOR) * emit / np.where(seen > 0, seen, 1) + FLOOR * overall, overall)
@@ -367,23 +383,28 @@ def hmm_scores(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -
     picked = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), held_out(F.col(doc_id)).alias("held_out"), F.col(text).alias("t")
     )
-    encoded = written(picked.mapInArrow(_encoded, _ENCODED_DDL), "encoded")
-    words = encoded.filter("word IS NOT NULL").select("block", "word", "code", "n")
-    counts = written(words.groupBy("word").agg(F.sum("n").alias("c")), "counts")
-    vocabulary = written(_with_class(counts), "vocabulary")
-    per_class = vocabulary.filter("c > 0").groupBy("class").agg(
+    encoded = Written(picked.mapInArrow(_encoded, _ENCODED_DDL), "encoded")
+    words = encoded.df.filter("word IS NOT NULL").select("block", "word", "code", "n")
+    counts = Written(words.groupBy("word").agg(F.sum("n").alias("c")), "counts")
+    singles, tails = sizes(counts.df.filter("c > 0").count())
+    vocabulary = Written(_with_class(counts.df, singles, tails), "vocabulary")
+    counts.drop()
+    per_class = vocabulary.df.filter("c > 0").groupBy("class").agg(
         F.sum(F.col("c") + 1).alias("smoothed"), F.sum("c").alias("c"), F.count("*").alias("words")
     ).collect()  # a row per class
-    shares = Shares(
-        sum(r["c"] for r in per_class), sum(r["words"] for r in per_class), np.zeros(CLASSES), np.zeros(CLASSES)
-    )
+    none = np.zeros(singles + tails + 1)
+    shares = Shares(sum(r["c"] for r in per_class), sum(r["words"] for r in per_class), none, none.copy())
     for r in per_class:
         shares.smoothed[r["class"]], shares.counts[r["class"]] = r["smoothed"], r["c"]
-    coded = words.join(vocabulary.withColumnRenamed("word", "known"), F.col("word") == F.col("known")).select(
+    coded = words.join(vocabulary.df.withColumnRenamed("word", "known"), F.col("word") == F.col("known")).select(
         "block", "code", "c", "class"
     )
-    texts = encoded.filter("word IS NULL").select(F.col("block").alias("of"), "doc_id", "held_out", "codes")
-    sequences = written(_sequences(texts, coded, shares), "sequences")
+    texts = encoded.df.filter("word IS NULL").select(F.col("block").alias("of"), "doc_id", "held_out", "codes")
+    blocks = texts.select("of").distinct().count()
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(blocks / BLOCKS_PER_TASK))
+    sequences = written(_sequences(texts, coded, shares, parts), "sequences")
+    encoded.drop()
+    vocabulary.drop()
     training = sequences.filter("NOT held_out")
     model = initial(shares)
     for _ in range(ROUNDS if shares.tokens else 0):

@@ -186,12 +186,12 @@ def test_warc_stores_small_payloads_each_time(spark):
 
 def test_forward_and_expected_counts_equal_enumeration():
     rng = np.random.default_rng(0)
-    shares = hmm.Shares(100, 50, np.zeros(hmm.CLASSES), np.zeros(hmm.CLASSES))
+    shares = hmm.Shares(100, 50, np.zeros(30), np.zeros(30))
     shares.smoothed[:20] = rng.integers(1, 9, 20)
     model = hmm.initial(shares)
     sequences = [rng.integers(0, 20, n).astype(np.int16) for n in (1, 4, 3, 4)]
     likelihood = hmm.forward(model, hmm._Packed(sequences), False)[0]
-    start, move, emit = np.zeros(hmm.STATES), np.zeros((hmm.STATES,) * 2), np.zeros((hmm.CLASSES, hmm.STATES))
+    start, move, emit = np.zeros(hmm.STATES), np.zeros((hmm.STATES,) * 2), np.zeros((30, hmm.STATES))
     for s, got in zip(sequences, likelihood):
         paths = {}
         for z in itertools.product(range(hmm.STATES), repeat=len(s)):
@@ -211,11 +211,11 @@ def test_forward_and_expected_counts_equal_enumeration():
 
 def test_hmm_trains_on_whole_texts(spark, monkeypatch):
     rng = np.random.default_rng(6)
-    shares = hmm.Shares(100, 50, np.zeros(hmm.CLASSES), np.zeros(hmm.CLASSES))
+    shares = hmm.Shares(100, 50, np.zeros(30), np.zeros(30))
     shares.smoothed[:20] = rng.integers(1, 9, 20)
     model = hmm.initial(shares)
     texts = [rng.integers(0, 20, n).astype(np.int16) for n in (1, 511, 512, 513, 1024, 2000)]
-    df = spark.createDataFrame([(t.tobytes(),) for t in texts], "classes binary")
+    df = spark.createDataFrame([(hmm.packed(t),) for t in texts], "classes binary")
     got, likelihood = hmm.baum_welch_round(df, model, shares)
     assert math.isclose(likelihood, hmm.forward(model, hmm._Packed(texts), False)[0].sum(), rel_tol=1e-9)
     parts = hmm.expected(model, hmm._Packed(texts))
@@ -243,15 +243,25 @@ def test_hmm_counts_base_and_gain(spark, sf_dir):
 
 
 def test_hmm_token_shares_of_a_class_add_up_to_one():
-    shares = hmm.Shares(0, 0, np.zeros(hmm.CLASSES), np.zeros(hmm.CLASSES))
+    shares = hmm.Shares(0, 0, np.zeros(9), np.zeros(9))
     c = np.array([5, 3, 1, 1])
-    classes = np.array([7, 7, hmm.RARE, hmm.RARE])
+    classes = np.array([7, 7, 8, 8])
     np.add.at(shares.smoothed, classes, c + 1)
     np.add.at(shares.counts, classes, c)
-    share = 10 ** shares.within(np.r_[c, 0], np.r_[classes, hmm.RARE])
+    share = 10 ** shares.within(np.r_[c, 0], np.r_[classes, 8])
     assert np.allclose([share[:2].sum(), share[2:].sum()], 1)
 
 
+def test_hmm_classes_grow_with_the_vocabulary(spark, sf_dir):
+    assert [hmm.sizes(v) for v in (0, 1, 374_000, 10**9)] == [(0, 1), (5, 1), (3058, 398), (158_114, 20_555)]
+    counts = spark.createDataFrame([(f"w{i}".encode(), 2000 - i) for i in range(1998)] + [(b"once", 1)], "word binary, c bigint")
+    rows = {r["word"].decode(): r["class"] for r in hmm._with_class(counts, 40, 7).collect()}
+    assert [rows[f"w{i}"] for i in range(40)] == list(range(40)) and rows["once"] == 47
+    assert {rows[f"w{i}"] for i in range(40, 1998)} == set(range(40, 47))
+    big = np.arange(0, 400_000, 7, dtype=np.int32)
+    assert (hmm.unpacked(hmm.packed(big)) == big).all()
+
+
 def test_hmm_odd_rows(spark, odd):
     rows = hmm.hmm_scores(odd).collect()
     assert len(rows) == 12 and all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows)
