@@ -1,9 +1,11 @@
 """Near-duplicate embeddings by cross-polytope hashing with multiprobe.
 
 A vector's hash is the nearest signed axis after a fast random rotation: three rounds of
-random signs and a Hadamard transform. HASHES hashes make the key of a bucket; there are
-TABLES tables. In each table a vector is at home in one bucket and probes the PROBES
-buckets whose axes are nearest. Candidates are pairs of a vector at home and one that
+random signs and a Hadamard transform. Several hashes make the key of a bucket, and there are
+several tables. In each table a vector is at home in one bucket and probes the buckets whose
+axes are nearest. The number of hashes follows the number of vectors, so that a bucket
+holds CROWD unrelated vectors at most, and each number of hashes has as many tables and probes as hold
+the recall. Candidates are pairs of a vector at home and one that
 probes; every candidate's cosine is computed in double precision, and pairs of THRESHOLD
 or more link.
 
@@ -36,7 +38,10 @@ from pyspark.sql import functions as F
 from siltstone.llm.shared import connected_components, written
 
 THRESHOLD = 0.9
-TABLES, HASHES, PROBES = 10, 3, 16
+#: Tables and probes for each number of hashes.
+TABLES_PROBES = {3: (10, 16), 4: (16, 24), 5: (32, 64)}
+#: Unrelated vectors at home in a bucket, from which on there is one hash more.
+CROWD = 256
 #: Nearest axes of each hash among which probes are chosen.
 _NEAREST = 4
 #: Homes and guests of a block.
@@ -47,10 +52,15 @@ SEED = 7
 # ---------------------------------------------------------------- hashing
 
 
+def hashes_of(buckets: float, width: int) -> int:
+    """The least number of hashes whose keys make that many buckets, of vectors padded to this width."""
+    return next((k for k in TABLES_PROBES if buckets <= (2 * width) ** k), max(TABLES_PROBES))
+
+
 @cache
-def _signs(width: int) -> np.ndarray:
+def _signs(width: int, n: int) -> np.ndarray:
     rng = np.random.default_rng([SEED, width])
-    return rng.choice([-1.0, 1.0], size=(TABLES * HASHES, 3, width))
+    return rng.choice([-1.0, 1.0], size=(n, 3, width))
 
 
 def _hadamard(x: np.ndarray) -> np.ndarray:
@@ -76,19 +86,21 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 @cache
-def _choices() -> np.ndarray:
-    return np.array(list(itertools.product(range(_NEAREST), repeat=HASHES)))
+def _choices(hashes: int) -> np.ndarray:
+    return np.array(list(itertools.product(range(_NEAREST), repeat=hashes)))
 
 
-def keys(x: np.ndarray) -> np.ndarray:
-    """(n, TABLES, PROBES) bucket keys of the rows of x (n, length): the first probe is home.
+def keys(x: np.ndarray, buckets: float) -> np.ndarray:
+    """(n, tables, probes) bucket keys of the rows of x (n, length): the first probe is home.
 
     Rows give the same keys whatever rows they come with."""
     n, length = x.shape
     unit = _padded(x)
     width = unit.shape[1]
+    hashes = hashes_of(buckets, width)
+    tables, probes = TABLES_PROBES[hashes]
     axes, loss = [], []
-    for signs in _signs(width):
+    for signs in _signs(width, tables * hashes):
         y = unit
         for s in signs:
             y = _hadamard(y * s)
@@ -100,14 +112,14 @@ def keys(x: np.ndarray) -> np.ndarray:
         axis = 2 * top + (picked < 0)
         axes.append(np.pad(axis, ((0, 0), (0, _NEAREST - near)), mode="edge"))
         loss.append(np.pad((height[:, :1] - height) ** 2, ((0, 0), (0, _NEAREST - near)), constant_values=9.0))
-    out = np.empty((n, TABLES, PROBES), dtype=np.int64)
-    for t in range(TABLES):
-        cost, key = 0.0, np.int64(length) * TABLES + t
-        for h in range(HASHES):
-            pick = _choices()[:, h]
-            cost = cost + loss[t * HASHES + h][:, pick]
-            key = key * (2 * width) + axes[t * HASHES + h][:, pick]
-        best = np.argsort(cost, axis=1, kind="stable")[:, :PROBES]
+    out = np.empty((n, tables, probes), dtype=np.int64)
+    for t in range(tables):
+        cost, key = 0.0, np.int64(length) * tables + t
+        for h in range(hashes):
+            pick = _choices(hashes)[:, h]
+            cost = cost + loss[t * hashes + h][:, pick]
+            key = key * (2 * width) + axes[t * hashes + h][:, pick]
+        best = np.argsort(cost, axis=1, kind="stable")[:, :probes]
         out[:, t] = np.take_along_axis(np.broadcast_to(key, cost.shape), best, 1)
     return out
 
@@ -126,22 +138,26 @@ def _by_length(vectors: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarr
         yield at, np.stack([vectors[i] for i in at])
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keyed(buckets: float):
     """A row per vector, table and probe."""
-    for batch in batches:
-        ids = batch.column("id").to_numpy()
-        for at, x in _by_length(_vectors(batch.column("vector"))):
-            for low in range(0, len(x), 2000):
-                found = keys(x[low : low + 2000])
-                n = len(found)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(ids[at[low : low + 2000]], TABLES * PROBES)),
-                        pa.array(found.reshape(-1)),
-                        pa.array(np.tile(np.arange(PROBES) == 0, n * TABLES)),
-                    ],
-                    ["id", "bucket", "home"],
-                )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("id").to_numpy()
+            for at, x in _by_length(_vectors(batch.column("vector"))):
+                for low in range(0, len(x), 2000):
+                    found = keys(x[low : low + 2000], buckets)
+                    n, tables, probes = found.shape
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.repeat(ids[at[low : low + 2000]], tables * probes)),
+                            pa.array(found.reshape(-1)),
+                            pa.array(np.tile(np.arange(probes) == 0, n * tables)),
+                        ],
+                        ["id", "bucket", "home"],
+                    )
+
+    return run
 
 
 # ---------------------------------------------------------------- comparing
@@ -185,51 +201,55 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compared(buckets: float):
     """Links within the groups of a sorted partition, group by group."""
 
-    def found(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        key = [rows.column(c).to_numpy() for c in ("bucket", "home_block", "guest_block")]
-        cut = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
-        ids, copies = rows.column("id").to_numpy(), rows.column("copies").to_numpy()
-        home = rows.column("home").to_numpy(zero_copy_only=False)
-        x = np.stack(_vectors(rows.column("vector")))
-        unit = _unit(x)
-        every = []
-        for low, high in zip(np.r_[0, cut], np.r_[cut, len(ids)], strict=True):
-            at = np.arange(low, high)
-            i, j = _links(unit, at[home[low:high]], at[~home[low:high]])
-            other = ids[i] != ids[j]
-            every.append((i[other], j[other]))
-        i, j = (np.concatenate(side) for side in zip(*every, strict=True))
-        if not len(i):
-            return
-        used = np.unique(np.r_[i, j])
-        own = np.empty((len(ids), TABLES, PROBES), dtype=np.int64)
-        own[used] = keys(x[used])
-        new = _first_meeting(own, i, j, ids, key[0][i])
-        links = np.bincount(i, copies[j] * new, len(ids)) + np.bincount(j, copies[i] * new, len(ids))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[used]), pa.array(links[used].astype(np.int64)), pa.array(_roots(len(ids), i, j, ids)[used])],
-            ["id", "links", "low"],
-        )
-
-    held: pa.Table | None = None
-    for batch in batches:
-        rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-        held = None
-        if not rows.num_rows:
-            continue
-        key = [rows.column(c).to_numpy() for c in ("bucket", "home_block", "guest_block")]
-        last = np.all([k == k[-1] for k in key], axis=0)
-        start = len(last) - int(last.sum())  # the last group may go on in the next batch
-        if start:
-            for at, part in _lengths(rows.slice(0, start)):
-                del at
-                yield from found(part)
-        held = rows.slice(start)
-    if held is not None and held.num_rows:
-        yield from found(held)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            key = [rows.column(c).to_numpy() for c in ("bucket", "home_block", "guest_block")]
+            cut = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
+            ids, copies = rows.column("id").to_numpy(), rows.column("copies").to_numpy()
+            home = rows.column("home").to_numpy(zero_copy_only=False)
+            x = np.stack(_vectors(rows.column("vector")))
+            unit = _unit(x)
+            every = []
+            for low, high in zip(np.r_[0, cut], np.r_[cut, len(ids)], strict=True):
+                at = np.arange(low, high)
+                i, j = _links(unit, at[home[low:high]], at[~home[low:high]])
+                other = ids[i] != ids[j]
+                every.append((i[other], j[other]))
+            i, j = (np.concatenate(side) for side in zip(*every, strict=True))
+            if not len(i):
+                return
+            used = np.unique(np.r_[i, j])
+            of_used = keys(x[used], buckets)
+            own = np.empty((len(ids), *of_used.shape[1:]), dtype=np.int64)
+            own[used] = of_used
+            new = _first_meeting(own, i, j, ids, key[0][i])
+            links = np.bincount(i, copies[j] * new, len(ids)) + np.bincount(j, copies[i] * new, len(ids))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[used]), pa.array(links[used].astype(np.int64)), pa.array(_roots(len(ids), i, j, ids)[used])],
+                ["id", "links", "low"],
+            )
+
+        held: pa.Table | None = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            held = None
+            if not rows.num_rows:
+                continue
+            key = [rows.column(c).to_numpy() for c in ("bucket", "home_block", "guest_block")]
+            last = np.all([k == k[-1] for k in key], axis=0)
+            start = len(last) - int(last.sum())  # the last group may go on in the next batch
+            if start:
+                for at, part in _lengths(rows.slice(0, start)):
+                    del at
+                    yield from found(part)
+            held = rows.slice(start)
+        if held is not None and held.num_rows:
+            yield from found(held)
+
+    return run
 
 
 def _lengths(rows: pa.Table) -> Iterator[tuple[int, pa.Table]]:
@@ -258,7 +278,8 @@ def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: st
         "nodes",
     )
     packed = nodes.select("id", "copies", F.col("value").alias("vector"))
-    keyed = written(packed.select("id", "vector").mapInArrow(_keyed, "id bigint, bucket bigint, home boolean"), "keyed")
+    buckets = nodes.count() / CROWD
+    keyed = written(packed.select("id", "vector").mapInArrow(_keyed(buckets), "id bigint, bucket bigint, home boolean"), "keyed")
     meeting = (
         keyed.groupBy(F.col("bucket").alias("at"))
         .agg(F.count(F.when(F.col("home"), 1)).alias("homes"), F.count("*").alias("guests"))
@@ -286,7 +307,7 @@ def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: st
         .select(*group, "home", "id", "copies", "vector")
         .repartition(*group)
         .sortWithinPartitions(*group)
-        .mapInArrow(_compared, "id bigint, links bigint, low bigint"),
+        .mapInArrow(_compared(buckets), "id bigint, links bigint, low bigint"),
         "found",
     )
     links = found.groupBy(F.col("id").alias("linked")).agg(F.sum("links").alias("links"))
