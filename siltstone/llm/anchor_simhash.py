@@ -177,10 +177,15 @@ def simhash_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     ).select("doc_id", "mark", "component_id")
 
 
+def _spread(marks: DataFrame) -> DataFrame:
+    """The marks in as many tasks as a shuffle has, however few bytes they are: each becomes many guests."""
+    return marks.select("mark").repartition(int(marks.sparkSession.conf.get("spark.sql.shuffle.partitions")), "mark")
+
+
 def classes(marks: DataFrame) -> DataFrame:
     """(of, component_id) for each distinct mark of (mark, low)."""
     marks = written(marks, "marks")
-    roots = connected_components(mark_links(marks.select("mark").repartition("mark")))
+    roots = connected_components(mark_links(_spread(marks)))
     rooted = marks.join(roots, F.col("mark") == F.col("node"), "left").select(
         F.col("mark").alias("of"), "low", F.coalesce("root", "mark").alias("root")
     )
@@ -196,7 +201,7 @@ def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     own = F.col("row")[doc_id]
     first = F.min(F.struct(own.isNull().alias("none"), own.alias("id"), "row_no")).alias("first")
     low = written(marks.groupBy("mark").agg(first), "first")
-    roots = connected_components(mark_links(low.select("mark").repartition("mark")))
+    roots = connected_components(mark_links(_spread(low)))
     rooted = low.join(roots, F.col("mark") == F.col("node"), "left").select(F.coalesce("root", "mark").alias("root"), "first")
     kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row_no").alias("kept_no"))
     return marks.join(kept, F.col("row_no") == F.col("kept_no"), "left_semi").select("row.*")
