@@ -43,8 +43,13 @@ _KEY = re.compile(r"<urn:page:(-?\d+)>")
 
 
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system and path of a URI; Hadoop writes file:/a for file:///a."""
-    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+    """The file system and path of a URI."""
+    return fs.FileSystem.from_uri(arrow_uri(uri))
+
+
+def arrow_uri(uri: str) -> str:
+    """A URI as pyarrow knows it: Hadoop writes file:/a for file:///a, and s3a: or s3n: for s3:."""
+    return re.sub(r"^s3[an]:", "s3:", re.sub(r"^file:/+", "file:///", uri))
 
 
 def qualified(spark: SparkSession, path: str) -> str:
