@@ -8,36 +8,50 @@ a column from `rules.marking`, rows are not dropped: that column is cleared in t
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone import credit
 from siltstone.functions.casts import (
+    SMALL_INTEGER_FIELD,
+    SURE_DAY_FIELD,
     cast_present,
+    fields_match,
     int_or_default,
     lenient_date,
-    lenient_int,
+    lenient_ints,
     strict_date,
     whole_number,
+    whole_numbers,
 )
 from siltstone.functions.cleaning import band, category, clean_number, int_without_underscores
 from siltstone.functions.validity import CUSTOMER_ID, LOAN_ID, SSN, counts_agree, matches
-from siltstone.operators.rules import drop_null_present, keep_where, rewrite_present
+from siltstone.operators.rules import drop_null_present, keep_numbers, keep_where, rewrite_numbers, rewrite_present
 
 _valid_customer = partial(matches, pattern=CUSTOMER_ID)
 _valid_loan = partial(matches, pattern=LOAN_ID)
 _valid_ssn = partial(matches, pattern=SSN)
 
+_LOAN_IDS = ("loan_id", "Customer_ID")
+#: The condition of a row that is kept, and a pattern of texts that are sure to meet it (see `fields_match`).
+_LOAN_RULES: Mapping[str, tuple[Callable[[Column], Column], str]] = {
+    "loan_id": (_valid_loan, r"CUS_0x[0-9a-fA-F]+_[0-9]{4}_[0-9]{2}_[0-9]{2}"),
+    "Customer_ID": (_valid_customer, r"CUS_0x[0-9a-fA-F]+"),
+    "loan_start_date": (lambda c: strict_date(c).isNotNull(), SURE_DAY_FIELD),
+    "tenure": (lambda c: whole_number(c).isNotNull(), SMALL_INTEGER_FIELD),
+}
+
 
 def silver_clickstream(raw: DataFrame, *, mark: str | None = None) -> DataFrame:
     """Features as INT; drops rows with an unreadable feature or customer id."""
     df = keep_where(raw, "Customer_ID", _valid_customer, required=True, mark=mark)
-    df = rewrite_present(
-        df, {**{name: lenient_int for name in credit.CLICK_FEATURES}, "snapshot_date": lenient_date}
-    )
-    return drop_null_present(df, credit.CLICK_FEATURES, mark=mark)
+    df = rewrite_present(df, {"snapshot_date": lenient_date})
+    features = [name for name in credit.CLICK_FEATURES if name in df.columns]
+    if not features:
+        return df
+    return keep_numbers(df, features, lenient_ints, mark=mark)
 
 
 def silver_attributes(raw: DataFrame, *, mark: str | None = None) -> DataFrame:
@@ -130,19 +144,33 @@ def _keep_valid_amounts(df: DataFrame, keep_sign: bool, keep_null_limit: bool, m
 
 def silver_loan_daily(raw: DataFrame, *, keep_sign: bool = False, mark: str | None = None) -> DataFrame:
     """Dates, counts and amounts typed; drops bad ids, start dates and counts."""
-    df = keep_where(raw, "loan_id", _valid_loan, required=True, mark=mark)
-    df = keep_where(df, "Customer_ID", _valid_customer, required=True, mark=mark)
+    # What a loan has once stands in one condition: one match tells most rows that are kept.
+    rules = {name: rule for name, rule in _LOAN_RULES.items() if name in raw.columns or name in _LOAN_IDS}
+    sure = [rule[1] for rule in rules.values()]
+    df = keep_where(
+        raw,
+        list(rules),
+        lambda *texts: fields_match(texts, sure)
+        | reduce(Column.__and__, [rule[0](c) for rule, c in zip(rules.values(), texts)]),
+        required=True,
+        mark=mark,
+    )
+    df = keep_where(
+        df,
+        "installment_num",
+        lambda c: fields_match([c], [SMALL_INTEGER_FIELD]) | whole_number(c).isNotNull(),
+        mark=mark,
+    )
+    df = rewrite_numbers(df, [name for name in credit.LOAN_COUNT_COLUMNS if name in df.columns], whole_numbers)
     money = partial(clean_number, on_null="zero", keep_sign=keep_sign)
-    df = rewrite_present(
+    return rewrite_present(
         df,
         {
             "loan_start_date": strict_date,
-            **{name: whole_number for name in credit.LOAN_COUNT_COLUMNS},
             **{name: money for name in credit.LOAN_MONEY_COLUMNS},
             "snapshot_date": lenient_date,
         },
     )
-    return drop_null_present(df, ["loan_start_date", *credit.LOAN_COUNT_COLUMNS], mark=mark)
 
 
 CLEANERS: Mapping[str, Callable[[DataFrame], DataFrame]] = {
