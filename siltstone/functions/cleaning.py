@@ -8,7 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from siltstone import credit
-from siltstone.functions.casts import lenient_double, lenient_int
+from siltstone.functions.casts import fields_match, lenient_double, lenient_int
+
+#: A text that `clean_number` reads once a currency sign is gone; an empty one too, so that null meets it.
+_AMOUNT_FIELD = "[$]?[0-9.]*"
 
 
 def digits_and_points(c: Column) -> Column:
@@ -38,6 +41,20 @@ def clean_number(
     return F.coalesce(value, F.lit(0.0)) if on_null == "zero" else value
 
 
+def clean_numbers(columns: Sequence[Column], *, on_null: str = "keep", keep_sign: bool = False) -> Column:
+    """`clean_number` of several texts, as one array.
+
+    Where each text is clean but for a currency sign before it, a single match tells so.
+    """
+    texts = [c.cast("string") for c in columns]
+    rule = lambda c: clean_number(c, on_null=on_null, keep_sign=keep_sign)
+    plain = [F.replace(c, F.lit("$"), F.lit("")).try_cast("double") for c in texts]
+    if on_null == "zero":
+        plain = [F.coalesce(c, F.lit(0.0)) for c in plain]
+    sure = fields_match(texts, [_AMOUNT_FIELD] * len(texts))
+    return F.when(sure, F.array(*plain)).otherwise(F.transform(F.array(*texts), rule))
+
+
 def coerce_number(c: Column, scale: int | None = None, *, on_null: str = "keep") -> Column:
     """Number from clean text only: nothing is stripped, so ``__10__`` has no value."""
     if on_null not in ("keep", "zero"):

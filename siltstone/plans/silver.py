@@ -26,7 +26,7 @@ from siltstone.functions.casts import (
     whole_number,
     whole_numbers,
 )
-from siltstone.functions.cleaning import band, category, clean_number, int_without_underscores
+from siltstone.functions.cleaning import band, category, clean_number, clean_numbers, int_without_underscores
 from siltstone.functions.validity import CUSTOMER_ID, LOAN_ID, SSN, counts_agree, matches
 from siltstone.operators.rules import drop_null_present, keep_numbers, keep_where, rewrite_numbers, rewrite_present
 
@@ -41,6 +41,7 @@ _LOAN_RULES: Mapping[str, tuple[Callable[[Column], Column], str]] = {
     "Customer_ID": (_valid_customer, r"CUS_0x[0-9a-fA-F]+"),
     "loan_start_date": (lambda c: strict_date(c).isNotNull(), SURE_DAY_FIELD),
     "tenure": (lambda c: whole_number(c).isNotNull(), SMALL_INTEGER_FIELD),
+    "installment_num": (lambda c: whole_number(c).isNotNull(), SMALL_INTEGER_FIELD),
 }
 
 
@@ -144,7 +145,7 @@ def _keep_valid_amounts(df: DataFrame, keep_sign: bool, keep_null_limit: bool, m
 
 def silver_loan_daily(raw: DataFrame, *, keep_sign: bool = False, mark: str | None = None) -> DataFrame:
     """Dates, counts and amounts typed; drops bad ids, start dates and counts."""
-    # What a loan has once stands in one condition: one match tells most rows that are kept.
+    # All that is checked stands in one condition: one match tells most rows that are kept.
     rules = {name: rule for name, rule in _LOAN_RULES.items() if name in raw.columns or name in _LOAN_IDS}
     sure = [rule[1] for rule in rules.values()]
     df = keep_where(
@@ -155,22 +156,12 @@ def silver_loan_daily(raw: DataFrame, *, keep_sign: bool = False, mark: str | No
         required=True,
         mark=mark,
     )
-    df = keep_where(
-        df,
-        "installment_num",
-        lambda c: fields_match([c], [SMALL_INTEGER_FIELD]) | whole_number(c).isNotNull(),
-        mark=mark,
-    )
-    df = rewrite_numbers(df, [name for name in credit.LOAN_COUNT_COLUMNS if name in df.columns], whole_numbers)
-    money = partial(clean_number, on_null="zero", keep_sign=keep_sign)
-    return rewrite_present(
-        df,
-        {
-            "loan_start_date": strict_date,
-            **{name: money for name in credit.LOAN_MONEY_COLUMNS},
-            "snapshot_date": lenient_date,
-        },
-    )
+    money = partial(clean_numbers, on_null="zero", keep_sign=keep_sign)
+    families = ((credit.LOAN_COUNT_COLUMNS, whole_numbers), (credit.LOAN_MONEY_COLUMNS, money))
+    df = rewrite_numbers(df, *[([name for name in names if name in df.columns], rule) for names, rule in families])
+    # Of rows that are kept, the start date has been matched.
+    started = lenient_date if mark is None else strict_date
+    return rewrite_present(df, {"loan_start_date": started, "snapshot_date": lenient_date})
 
 
 CLEANERS: Mapping[str, Callable[[DataFrame], DataFrame]] = {
