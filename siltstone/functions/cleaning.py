@@ -12,6 +12,7 @@ from siltstone.functions.casts import fields_match, lenient_double, lenient_int
 
 #: A text that `clean_number` reads once a currency sign is gone; an empty one too, so that null meets it.
 _AMOUNT_FIELD = "[$]?[0-9.]*"
+_DIRT_BUT_COMMAS = credit.DIRT.replace("[^", "[^,")
 
 
 def digits_and_points(c: Column) -> Column:
@@ -47,12 +48,19 @@ def clean_numbers(columns: Sequence[Column], *, on_null: str = "keep", keep_sign
     Where each text is clean but for a currency sign before it, a single match tells so.
     """
     texts = [c.cast("string") for c in columns]
-    rule = lambda c: clean_number(c, on_null=on_null, keep_sign=keep_sign)
-    plain = [F.replace(c, F.lit("$"), F.lit("")).try_cast("double") for c in texts]
-    if on_null == "zero":
-        plain = [F.coalesce(c, F.lit(0.0)) for c in plain]
     sure = fields_match(texts, [_AMOUNT_FIELD] * len(texts))
-    return F.when(sure, F.array(*plain)).otherwise(F.transform(F.array(*texts), rule))
+    plain = F.array(*[F.replace(c, F.lit("$"), F.lit("")) for c in texts])
+    if keep_sign or on_null == "zero":
+        rule = lambda c: clean_number(c, on_null=on_null, keep_sign=keep_sign)
+        numbers = plain.try_cast("array<double>")
+        if on_null == "zero":
+            numbers = F.transform(numbers, lambda n: F.coalesce(n, F.lit(0.0)))
+        return F.when(sure, numbers).otherwise(F.transform(F.array(*texts), rule))
+    # Dirt is removed from the joined texts: a function over the elements of an array would keep
+    # the plan around it from being compiled as one stage. A comma in a text is dirt as well.
+    bare = [F.coalesce(F.replace(c, F.lit(","), F.lit("")), F.lit("")) for c in texts]
+    cleaned = F.split(F.regexp_replace(F.concat_ws(",", *bare), _DIRT_BUT_COMMAS, ""), ",", -1)
+    return F.when(sure, plain).otherwise(cleaned).try_cast("array<double>")
 
 
 def coerce_number(c: Column, scale: int | None = None, *, on_null: str = "keep") -> Column:

@@ -18,13 +18,16 @@ from siltstone.functions.casts import (
     SMALL_INTEGER_FIELD,
     SURE_DAY_FIELD,
     cast_present,
+    double_to_int,
+    doubles,
     fields_match,
     int_or_default,
+    is_whole,
     lenient_date,
+    lenient_double,
     lenient_ints,
     strict_date,
-    whole_number,
-    whole_numbers,
+    whole_double,
 )
 from siltstone.functions.cleaning import band, category, clean_number, clean_numbers, int_without_underscores
 from siltstone.functions.validity import CUSTOMER_ID, LOAN_ID, SSN, counts_agree, matches
@@ -40,8 +43,8 @@ _LOAN_RULES: Mapping[str, tuple[Callable[[Column], Column], str]] = {
     "loan_id": (_valid_loan, r"CUS_0x[0-9a-fA-F]+_[0-9]{4}_[0-9]{2}_[0-9]{2}"),
     "Customer_ID": (_valid_customer, r"CUS_0x[0-9a-fA-F]+"),
     "loan_start_date": (lambda c: strict_date(c).isNotNull(), SURE_DAY_FIELD),
-    "tenure": (lambda c: whole_number(c).isNotNull(), SMALL_INTEGER_FIELD),
-    "installment_num": (lambda c: whole_number(c).isNotNull(), SMALL_INTEGER_FIELD),
+    "tenure": (lambda c: is_whole(lenient_double(c)), SMALL_INTEGER_FIELD),
+    "installment_num": (lambda c: is_whole(lenient_double(c)), SMALL_INTEGER_FIELD),
 }
 
 
@@ -156,9 +159,11 @@ def silver_loan_daily(raw: DataFrame, *, keep_sign: bool = False, mark: str | No
         required=True,
         mark=mark,
     )
-    money = partial(clean_numbers, on_null="zero", keep_sign=keep_sign)
-    families = ((credit.LOAN_COUNT_COLUMNS, whole_numbers), (credit.LOAN_MONEY_COLUMNS, money))
-    df = rewrite_numbers(df, *[([name for name in names if name in df.columns], rule) for names, rule in families])
+    money, zero = partial(clean_numbers, keep_sign=keep_sign), lambda amount: F.coalesce(amount, F.lit(0.0))
+    # Counts are cast without a match of their own: of rows that are kept, all are whole numbers.
+    whole = double_to_int if mark is None else whole_double
+    families = ((credit.LOAN_COUNT_COLUMNS, doubles, whole), (credit.LOAN_MONEY_COLUMNS, money, zero))
+    df = rewrite_numbers(df, *[([name for name in names if name in df.columns], *rules) for names, *rules in families])
     # Of rows that are kept, the start date has been matched.
     started = lenient_date if mark is None else strict_date
     return rewrite_present(df, {"loan_start_date": started, "snapshot_date": lenient_date})
