@@ -51,8 +51,10 @@ def with_days_past_due(df: DataFrame) -> DataFrame:
     left_over = F.datediff(day, F.add_months(day, -(missed % CYCLE_MONTHS).cast("int"))).cast("bigint")
     cycles = F.try_multiply(F.floor(missed / CYCLE_MONTHS).cast("bigint"), F.lit(CYCLE_DAYS).cast("bigint"))
     days = F.when(missed.isNull() | (missed > 0), F.try_add(cycles, left_over)).otherwise(F.lit(0))
+    # Exploded, an array of one number is that number, and what follows is a generated method of its
+    # own: together with the cleaning before it, one would be too long to be compiled.
     return (
-        df.withColumns({"mob": F.col("installment_num"), "installments_missed": count})
+        df.withColumns({"mob": F.col("installment_num"), "installments_missed": F.explode(F.array(count))})
         .withColumn("first_missed_date", first)
         .withColumn("dpd", F.when(day.isNotNull(), days).otherwise(F.lit(0)).cast("bigint"))
     )
